@@ -42,8 +42,10 @@ def level_weights(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {WEIGHT_ROWS} AS weights(level, wt)")
 
 
-def epoch_micros(stamp: Column) -> Column:
+def epoch_micros(spark: SparkSession, stamp: Column) -> Column:
     """Microseconds since 1970 of a zone-less timestamp, whatever the session zone."""
+    if spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC"):
+        return F.unix_micros(stamp.cast("timestamp"))
     days = F.datediff(stamp.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
     minutes = (days * 24 + F.hour(stamp)) * 60 + F.minute(stamp)
     seconds = F.date_part(F.lit("SECOND"), stamp)
@@ -62,25 +64,27 @@ def event_code() -> Column:
     )
 
 
-def _epoch_text() -> tuple[Column, Column]:
-    """A ``_micros`` column, and epoch seconds made of it as text with six decimals."""
-    micros = epoch_micros(F.col("ts"))
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    micros = epoch_micros(spark, F.col("ts"))
+    return table(spark, sf_dir, "events").select("*", micros.alias("_micros"))
+
+
+def _epoch_text() -> Column:
+    """Epoch seconds as text with six decimals."""
     whole = F.expr("_micros div 1000000").cast("string")
     rest = F.lpad((F.col("_micros") % 1_000_000).cast("string"), 6, "0")
-    return micros.alias("_micros"), F.concat(whole, F.lit("."), rest)
+    return F.concat(whole, F.lit("."), rest)
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a prepared log."""
-    micros, text = _epoch_text()
     user = F.col("user_id")
-    events = table(spark, sf_dir, "events").select("*", micros)
-    return events.select(
+    return _events(spark, sf_dir).select(
         user.cast("string").alias("system_id"),
         F.concat(F.lit("R"), (user % 3).cast("string")).alias("sw_rev"),
         F.concat(F.lit("C"), (user % 2).cast("string")).alias("config"),
         event_code().alias("code"),
-        text.alias("time_seq"),
+        _epoch_text().alias("time_seq"),
         (F.col("_micros") / F.lit(1e6)).alias("tick"),
         F.col("event_id").alias("seq"),
         F.col("event_id").alias("event_key"),
@@ -99,8 +103,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every tenth row is there twice, every ninth has no text in ``tag``, every eleventh no
     code, and every seventeenth no number as its tick.
     """
-    micros, text = _epoch_text()
-    events = table(spark, sf_dir, "events").select("*", micros)
+    events = _events(spark, sf_dir)
     key = F.col("event_id")
     values = {
         "tarfilename": F.concat(F.lit("tar"), (key % 5).cast("string")),
@@ -110,7 +113,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "msg_code": F.when(key % 11 != 0, event_code()),
         "msg_source": F.col("event_type"),
         "tag": F.when(key % 9 != 0, F.lit("t")),
-        "time_seq": F.when(key % 17 == 0, F.lit("bad")).otherwise(text),
+        "time_seq": F.when(key % 17 == 0, F.lit("bad")).otherwise(_epoch_text()),
         "seq_num": key.cast("string"),
         "msg_date": F.date_format(F.col("ts"), "yyyy-MM-dd"),
     }

@@ -8,9 +8,10 @@ reaches none of these is dropped.
 
 All windows share one partitioning, so the log is shuffled once. Looking ahead is done
 with a running frame over the reversed order, because a frame that ends at the last row
-is evaluated anew for each row. A machine with more than ``max_group_rows`` rows is
-scanned in chunks: each chunk is summed up in one row, the few summary rows of a machine
-are scanned in order, and what a chunk needs to know about its neighbours is joined back.
+is evaluated anew for each row. Where a task would get more than ``max_group_rows`` rows
+of one machine, they are scanned in chunks: each chunk is summed up in one row, the few
+summary rows of a machine are scanned in order, and what a chunk needs to know about its
+neighbours is joined back.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from logstats.operators.catalog import add_roles
 from logstats.operators.cleaning import usable_rows
-from logstats.operators.groups import CHUNK, SplitRows, split_groups
+from logstats.operators.groups import CHUNK, split_groups
 from logstats.schemas import EXAM_RECORD
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings
 
@@ -30,6 +31,10 @@ STOPPED, TIMED_OUT, SUPERSEDED = "stopped", "timed_out", "superseded"
 OPEN, DISCARDED, SERVICE = "open_at_end", "discarded_by_service", "service"
 CLOSED = (STOPPED, TIMED_OUT, SUPERSEDED)
 
+# One task scans the rows of a system and revision. The later dedup and sums are per
+# these keys as well and need no further shuffle.
+TASK_KEYS = ("system_id", "sw_rev")
+
 _FIRST, _THIS, _PREVIOUS = Window.unboundedPreceding, Window.currentRow, -1
 
 
@@ -52,12 +57,16 @@ def _with_start_id(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_start_id", F.when(F.col("is_start"), F.md5(key)))
 
 
+def _is_stop() -> Column:
+    return F.col("is_monitored") & F.col("is_stop")
+
+
 def _chunk_summaries(hot: DataFrame, settings: Settings) -> DataFrame:
     """One row per chunk: its services and starts, and what it does to an open exam."""
     steps = Window.partitionBy(*UNIT, CHUNK).orderBy(*ORDER)
     up_to = steps.rowsBetween(_FIRST, _THIS)
-    tick, start = F.col("tick"), F.col("_start")
-    stop = F.col("is_monitored") & F.col("is_stop")
+    tick = F.col("tick")
+    here = F.struct("_row", "tick", "_service", "_start_id")
     scanned = (
         hot.withColumns(
             {
@@ -65,21 +74,17 @@ def _chunk_summaries(hot: DataFrame, settings: Settings) -> DataFrame:
                 "_service": F.max(F.when(F.col("is_service"), tick)).over(up_to),
             }
         )
-        .withColumn(
-            "_start_here",
-            F.when(F.col("is_start"), F.struct("_row", "tick", "_service", "_start_id")),
-        )
-        .withColumn("_start", F.last("_start_here", ignorenulls=True).over(up_to))
+        .withColumn("_start_here", F.when(F.col("is_start"), here))
+        .withColumn("_start_row", F.max(F.when(F.col("is_start"), F.col("_row"))).over(up_to))
     )
-    ahead_of_start = start.isNull()
-    stops_start = stop & _no(_within_limit(tick, start["tick"], settings))
+    before_starts = F.col("_start_row").isNull()
     return scanned.groupBy(*UNIT, CHUNK).agg(
         F.max("_service").alias("service"),
         F.min("_start_here").alias("first_start"),
         F.max("_start_here").alias("last_start"),
-        F.max(F.when(stops_start, start["_row"])).alias("stopped_start"),
-        F.min(F.when(ahead_of_start & stop, tick)).alias("first_stop"),
-        F.max(F.when(ahead_of_start & F.col("is_monitored"), tick)).alias("last_monitored"),
+        F.max(F.when(_is_stop(), F.col("_start_row"))).alias("stopped_start"),
+        F.min(F.when(before_starts & _is_stop(), tick)).alias("first_stop"),
+        F.max(F.when(before_starts & F.col("is_monitored"), tick)).alias("last_monitored"),
     )
 
 
@@ -88,132 +93,113 @@ def _chunk_carries(hot: DataFrame, settings: Settings) -> DataFrame:
     steps = Window.partitionBy(*UNIT).orderBy(CHUNK)
     before = steps.rowsBetween(_FIRST, _PREVIOUS)
     after = Window.partitionBy(*UNIT).orderBy(F.desc(CHUNK)).rowsBetween(_FIRST, _PREVIOUS)
-    first, last, opened = F.col("first_start"), F.col("last_start"), F.col("carry_start")
+    first, last, opened = F.col("first_start"), F.col("last_start"), F.col("_opened")
 
     def real(start: Column) -> Column:
         service = F.coalesce(start["_service"], F.col("carry_service"))
         return _is_real(start["tick"], service, settings)
 
+    left_open = F.struct(
+        last["tick"].alias("tick"),
+        real(last).alias("real"),
+        last["_start_id"].alias("start_id"),
+        F.col(CHUNK).alias("chunk"),
+        _no(F.col("stopped_start") == last["_row"]).alias("stopped"),
+    )
     carried = (
         _chunk_summaries(hot, settings)
         .withColumn("carry_service", F.max("service").over(before))
+        .withColumn("_left_open", F.when(last.isNotNull(), left_open))
+        .withColumn("_opened", F.last("_left_open", ignorenulls=True).over(before))
         .withColumn(
-            "_left_open",
-            F.when(
-                last.isNotNull(),
-                F.struct(
-                    F.lit(0).alias("_row"),
-                    last["tick"].alias("tick"),
-                    real(last).alias("_real"),
-                    last["_start_id"].alias("_start_id"),
-                    F.col(CHUNK).alias("chunk"),
-                    _no(F.col("stopped_start") == last["_row"]).alias("stopped"),
-                ),
-            ),
+            "_stop_chunk",
+            F.max(F.when(F.col("first_stop").isNotNull(), F.col(CHUNK))).over(before),
         )
-        .withColumn("carry_start", F.last("_left_open", ignorenulls=True).over(before))
     )
-    stops = _no(_within_limit(F.col("first_stop"), opened["tick"], settings))
-    late = _no(~_within_limit(F.col("last_monitored"), opened["tick"], settings))
     ending = (
-        F.when(stops, STOPPED)
-        .when(late, TIMED_OUT)
+        F.when(_within_limit(F.col("first_stop"), opened["tick"], settings), STOPPED)
+        .when(~_within_limit(F.col("last_monitored"), opened["tick"], settings), TIMED_OUT)
         .when(first.isNotNull() & real(first), SUPERSEDED)
         .when(first.isNotNull(), DISCARDED)
     )
-    return (
-        carried.withColumn("_ending", ending)
-        .withColumn("_stop_chunk", F.max(F.when(stops, F.col(CHUNK))).over(before))
-        .select(
-            *UNIT,
-            CHUNK,
-            "carry_service",
-            "carry_start",
-            _no(opened["stopped"] | (F.col("_stop_chunk") > opened["chunk"])).alias(
-                "carry_stopped"
-            ),
-            F.last("_ending", ignorenulls=True).over(after).alias("carry_ending"),
-        )
+    stopped = opened["stopped"] | _no(F.col("_stop_chunk") > opened["chunk"])
+    return carried.withColumn("_ending", ending).select(
+        *UNIT,
+        CHUNK,
+        "carry_service",
+        opened["tick"].alias("carry_tick"),
+        opened["real"].alias("carry_real"),
+        opened["start_id"].alias("carry_id"),
+        stopped.alias("carry_stopped"),
+        F.last("_ending", ignorenulls=True).over(after).alias("carry_ending"),
     )
 
 
-def _with_carries(split: SplitRows, settings: Settings) -> DataFrame:
-    carries = _chunk_carries(split.hot, settings)
-    return split.rows.join(carries, [*UNIT, CHUNK], "left")
-
-
 def _scan(rows: DataFrame, keys: Sequence[str], carried: bool, settings: Settings) -> DataFrame:
     steps = Window.partitionBy(*keys).orderBy(*ORDER)
     up_to, before = steps.rowsBetween(_FIRST, _THIS), steps.rowsBetween(_FIRST, _PREVIOUS)
     backwards = Window.partitionBy(*keys).orderBy(*(F.desc(name) for name in ORDER))
     after = backwards.rowsBetween(_FIRST, _PREVIOUS)
-    tick, start = F.col("tick"), F.col("_start")
+    tick, row, is_start = F.col("tick"), F.col("_row"), F.col("is_start")
 
     def inherit(value: Column, name: str) -> Column:
         return F.coalesce(value, F.col(name)) if carried else value
 
-    service = F.max(F.when(F.col("is_service"), tick)).over(up_to)
-    started = (
-        rows.withColumns(
-            {"_row": F.row_number().over(steps), "_service": inherit(service, "carry_service")}
-        )
-        .withColumn("_real", _is_real(tick, F.col("_service"), settings))
-        .withColumn(
-            "_start",
-            F.last(
-                F.when(F.col("is_start"), F.struct("_row", "tick", "_real", "_start_id")),
-                ignorenulls=True,
-            ).over(up_to),
-        )
-    )
+    last_service = F.max(F.when(F.col("is_service"), tick)).over(up_to)
+    numbered = rows.withColumns(
+        {"_row": F.row_number().over(steps), "_service": inherit(last_service, "carry_service")}
+    ).withColumn("_real", _is_real(tick, F.col("_service"), settings))
+
+    # The running maximum of this mark gives the row of the last start and, in its lowest
+    # bit, whether that start is real. A start carried into the chunk has row 0.
+    mark = row * 2 + F.col("_real").cast("int")
+    last_mark = F.max(F.when(is_start, mark)).over(up_to)
     if carried:
-        fields = ("_row", "tick", "_real", "_start_id")
-        opened = F.when(
-            F.col("carry_start").isNotNull(),
-            F.struct(*(F.col("carry_start")[name].alias(name) for name in fields)),
-        )
-        started = started.withColumn("_start", F.coalesce(start, opened))
-
-    # Rows of no exam have no part in what follows; service starts do, as endings.
-    inside = F.col("is_start") | (F.col("is_monitored") & _no(start["_real"]))
-    in_limit = _within_limit(tick, start["tick"], settings)
-    counted = (
-        started.filter(inside)
-        .withColumn("_in_limit", F.col("is_monitored") & start["_real"] & in_limit)
-        .withColumn("_stops", F.col("_in_limit") & F.col("is_stop"))
-        .withColumn("_last_stop", F.max(F.when(F.col("_stops"), F.col("_row"))).over(before))
+        last_mark = F.coalesce(last_mark, F.col("carry_real").cast("int"))
+    last_id = F.last(F.when(is_start, F.col("_start_id")), ignorenulls=True).over(up_to)
+    started = numbered.withColumns(
+        {
+            "_mark": last_mark,
+            "exam_start": inherit(F.max(F.when(is_start, tick)).over(up_to), "carry_tick"),
+            "exam_id": inherit(last_id, "carry_id"),
+            "_last_stop": F.max(F.when(_is_stop(), row)).over(before),
+        }
     )
-    stopped = _no(F.col("_last_stop") >= start["_row"])
+
+    # A row outside a real exam has no part in what follows, unless it is a start. A stop
+    # before a row within the limit was within the limit, too.
+    start_row = F.shiftright("_mark", 1)
+    in_real = _no(F.col("_mark").bitwiseAND(1) == 1)
+    stopped = _no(F.col("_last_stop") >= start_row)
     if carried:
-        stopped = stopped | ((start["_row"] == 0) & _no(F.col("carry_stopped")))
+        stopped = stopped | ((start_row == 0) & _no(F.col("carry_stopped")))
+    in_limit = F.col("is_monitored") & in_real
+    in_limit = in_limit & _within_limit(tick, F.col("exam_start"), settings)
+    candidates = started.filter(is_start | (F.col("is_monitored") & in_real & ~stopped))
+    candidates = candidates.withColumn("_in_limit", in_limit)
 
+    stops = F.col("_in_limit") & F.col("is_stop")
     event = (
-        F.when(F.col("is_start"), F.when(F.col("_real"), SUPERSEDED).otherwise(DISCARDED))
-        .when(F.col("_stops"), STOPPED)
+        F.when(is_start, F.when(F.col("_real"), SUPERSEDED).otherwise(DISCARDED))
+        .when(stops, STOPPED)
         .when(~F.col("_in_limit"), TIMED_OUT)
     )
     ending = inherit(F.last("_event", ignorenulls=True).over(after), "carry_ending")
     outcome = (
-        F.when(F.col("is_start") & ~F.col("_real"), SERVICE)
-        .when(F.col("_stops"), STOPPED)
-        .otherwise(F.coalesce(ending, F.lit(OPEN)))
+        F.when(is_start & ~F.col("_real"), SERVICE)
+        .when(stops, STOPPED)
+        .otherwise(F.coalesce("_ending", F.lit(OPEN)))
     )
     return (
-        counted.withColumn("_open", ~stopped)
-        .filter(F.col("is_start") | F.col("_open"))
-        .withColumn("_event", event)
+        candidates.withColumn("_event", event)
+        .withColumn("_ending", ending)
         .withColumn("outcome", outcome)
-        .withColumns(
-            {
-                "exam_id": start["_start_id"],
-                "exam_start": start["tick"],
-                "kept": F.col("_in_limit") & F.col("outcome").isin(*CLOSED),
-            }
-        )
+        .withColumn("kept", F.col("_in_limit") & F.col("outcome").isin(*CLOSED))
         .drop(
-            *("_start_id", "_row", "_service", "_real", "_start", "_in_limit", "_stops"),
-            *("_last_stop", "_open", "_event", CHUNK),
-            *("carry_service", "carry_start", "carry_stopped", "carry_ending"),
+            *("_start_id", "_row", "_service", "_real", "_mark", "_last_stop"),
+            *("_in_limit", "_event", "_ending", CHUNK),
+            *("carry_service", "carry_tick", "carry_real", "carry_id"),
+            *("carry_stopped", "carry_ending"),
         )
     )
 
@@ -226,11 +212,16 @@ def cut_exams(
 
     ``log`` has the columns of ``prepare_log``; what else it has is passed on.
     """
-    rows = _with_start_id(add_roles(usable_rows(log), code_actions))
-    split = split_groups(rows, UNIT, ORDER, settings.max_group_rows)
+    relevant = add_roles(log, code_actions)
+    rows = _with_start_id(usable_rows(relevant))
+    split = split_groups(
+        rows, UNIT, ORDER, settings.max_group_rows, task_keys=TASK_KEYS, counted=relevant
+    )
     if split.hot is None:
-        return _scan(split.rows, split.keys, False, settings)
-    return _scan(_with_carries(split, settings), split.keys, True, settings)
+        return _scan(split.rows.repartition(*TASK_KEYS), split.keys, False, settings)
+    carries = _chunk_carries(split.hot, settings)
+    inherited = split.rows.join(carries, list(split.keys), "left")
+    return _scan(inherited, split.keys, True, settings)
 
 
 def exam_segments(

@@ -65,41 +65,45 @@ class SplitRows:
     hot: DataFrame | None
 
 
-def group_sizes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-
-
 def split_groups(
     rows: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     max_rows: int = MAX_GROUP_ROWS,
+    task_keys: Sequence[str] | None = None,
+    counted: DataFrame | None = None,
 ) -> SplitRows:
-    """Cut every group above ``max_rows`` into chunks that follow one another in ``order``.
-
-    The group sizes are counted first (a narrow pass with map-side counts, one row
-    back to the driver). Only if some group is too large are its rows range-partitioned
-    by keys and order; this bounds a chunk even if all rows share one tick, because
-    the order is total. The chunk number is the range partition, so those rows
-    are checkpointed: a second evaluation could sample other range bounds. Keys must
-    not be null in a group that is cut.
+    """Cut large groups into chunks that follow one another in ``order``.
+
+    A group is large when the rows with its ``task_keys`` (part of ``keys``, all of them
+    by default), which one task would get, are more than ``max_rows``. They are counted
+    first: a narrow pass with map-side counts that brings one row to the driver. It may
+    count other rows, ``counted``, that are cheaper to get and never fewer.
+
+    Only if there are large groups, their rows are range-partitioned by keys and order.
+    That bounds a chunk even if all its rows share one tick, because the order is total.
+    The chunk number is the range partition, so these rows are checkpointed: a second
+    evaluation could sample other range bounds. Rows with a null key are not cut.
     """
-    large = group_sizes(rows, keys).filter(F.col("_n") > max_rows)
+    shared = list(task_keys or keys)
+    counted = rows if counted is None else counted
+    sizes = counted.groupBy(*shared).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.filter(F.col("_n") > max_rows)
     found = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).head()
     if found["groups"] == 0:
         return SplitRows(rows, tuple(keys), None)
 
     ensure_checkpoint_dir(rows.sparkSession)
     # At most (all rows / max_rows) groups are large, which bounds the broadcast.
-    marks = F.broadcast(large.select(*keys).withColumn("_large", F.lit(True)).checkpoint())
+    marks = F.broadcast(large.select(*shared).checkpoint())
     chunks = -(-2 * found["rows"] // max_rows)
     hot = (
-        rows.join(marks, list(keys), "left_semi")
+        rows.join(marks, shared, "left_semi")
         .repartitionByRange(chunks, *keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
         .checkpoint()
     )
-    rest = rows.join(marks, list(keys), "left_anti").withColumn(CHUNK, F.lit(-1))
+    rest = rows.join(marks, shared, "left_anti").withColumn(CHUNK, F.lit(-1))
     return SplitRows(rest.unionByName(hot), (*keys, CHUNK), hot)
 
 
