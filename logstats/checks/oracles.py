@@ -447,3 +447,5 @@ ORACLES: dict[str, str] = {
     ),
     "cumulative_ipte": _exams(_TOTALS),
 }
+ORACLES["stepwise_report"] = ORACLES["machine_report"]
+ORACLES["stepwise_report_literal"] = ORACLES["machine_report_literal"]

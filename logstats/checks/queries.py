@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,14 @@ from logstats.checks.views import SETTINGS
 from logstats.functions import event_day, ipte_rate, parse_tick, sevone
 from logstats.operators import catalog, cleaning, exams, incidents, metrics
 from logstats.operators.groups import scratch_path
-from logstats.plans import final_events, machine_report, report_stage_counts, run_report
-from logstats.settings import EXAM, UNIT
+from logstats.plans import (
+    final_events,
+    machine_report,
+    report_stage_counts,
+    run_report,
+    stepwise_report,
+)
+from logstats.settings import EXAM, UNIT, Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,37 +42,58 @@ def rounded(name: str) -> Column:
     return F.round(name, 6).alias(name)
 
 
-# Frames the queries start from.
+# Frames the queries start from. Each checks the size of its groups once, on the log.
 
 
-def _cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Settings, bool]:
     log, codes = views.event_log(spark, sf_dir), views.code_actions(spark)
-    return exams.exam_events(log, codes, SETTINGS)
+    return log, codes, SETTINGS, exams.log_bounded(log, codes, SETTINGS)
 
 
-def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes, weights = views.code_actions(spark), views.level_weights(spark)
-    return final_events(views.event_log(spark, sf_dir), codes, weights, SETTINGS)
+@dataclass(frozen=True)
+class Sized:
+    """Rows and whether their groups are bounded."""
+
+    rows: DataFrame
+    bounded: bool
+
+    def then(self, step: Callable[..., DataFrame], *args: object) -> Sized:
+        return Sized(step(self.rows, *args), self.bounded)
+
+    def then_grouped(self, step: Callable[..., DataFrame], *args: object) -> Sized:
+        return Sized(step(self.rows, *args, bounded=self.bounded), self.bounded)
+
+
+def _cut(spark: SparkSession, sf_dir: str) -> Sized:
+    log, codes, settings, bounded = _inputs(spark, sf_dir)
+    return Sized(exams.exam_events(log, codes, settings, bounded), bounded)
+
 
+def _final(spark: SparkSession, sf_dir: str) -> Sized:
+    log, codes, settings, bounded = _inputs(spark, sf_dir)
+    weights = views.level_weights(spark)
+    return Sized(final_events(log, codes, weights, settings, bounded), bounded)
 
-def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.exam_duration(metrics.add_day(_final(spark, sf_dir)))
 
+def _timed(spark: SparkSession, sf_dir: str) -> Sized:
+    return _final(spark, sf_dir).then(metrics.add_day).then_grouped(metrics.exam_duration)
 
-def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.exams_long(_timed(spark, sf_dir), SETTINGS)
 
+def _long(spark: SparkSession, sf_dir: str) -> Sized:
+    return _timed(spark, sf_dir).then(metrics.exams_long, SETTINGS)
 
-def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incidents.incident_flags(_long(spark, sf_dir), SETTINGS)
 
+def _flagged(spark: SparkSession, sf_dir: str) -> Sized:
+    return _long(spark, sf_dir).then(incidents.incident_flags, SETTINGS)
 
-def _ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incidents.subtraction_rule(incidents.exam_incidents(_flagged(spark, sf_dir)))
 
+def _ruled(spark: SparkSession, sf_dir: str) -> Sized:
+    summed = _flagged(spark, sf_dir).then_grouped(incidents.exam_incidents)
+    return summed.then(incidents.subtraction_rule)
 
-def _totalled(spark: SparkSession, sf_dir: str, mode: str = "intended") -> DataFrame:
-    return incidents.total_shutdowns(_ruled(spark, sf_dir), mode)
+
+def _totalled(spark: SparkSession, sf_dir: str, mode: str = "intended") -> Sized:
+    return _ruled(spark, sf_dir).then_grouped(incidents.total_shutdowns, mode)
 
 
 def _report(spark: SparkSession, sf_dir: str, mode: str = "intended") -> DataFrame:
@@ -212,7 +240,7 @@ def prepare_log(spark, sf_dir):
 
 @query("dedup_events")
 def dedup_events(spark, sf_dir):
-    cut = _cut(spark, sf_dir)
+    cut = _cut(spark, sf_dir).rows
     later = {"exam_start": F.col("exam_start") + 1, "exam_id": F.lit("copy")}
     copies = cut.filter(F.col("event_key") % 10 == 0).withColumns(later)
     return cleaning.dedup_events(cut.unionByName(copies)).select(*PLACE, "code", "time_seq")
@@ -221,7 +249,7 @@ def dedup_events(spark, sf_dir):
 @query("drop_blank_exam")
 def drop_blank_exam(spark, sf_dir):
     blank = F.when(F.col("event_key") % 10 == 0, "").otherwise(F.col("exam_id"))
-    cut = _cut(spark, sf_dir).withColumn("exam_id", blank)
+    cut = _cut(spark, sf_dir).rows.withColumn("exam_id", blank)
     return cleaning.drop_blank_exam(cut).select(*PLACE)
 
 
@@ -247,13 +275,13 @@ def code_roles(spark, sf_dir):
 @query("attach_level")
 def attach_level(spark, sf_dir):
     known = views.code_actions(spark).filter("error_code <> 'MON'")
-    return catalog.attach_level(_cut(spark, sf_dir), known).select(*PLACE, "code", "mebef_level")
+    return catalog.attach_level(_cut(spark, sf_dir).rows, known).select(*PLACE, "code", "mebef_level")
 
 
 @query("attach_weight")
 def attach_weight(spark, sf_dir):
     known = views.level_weights(spark).filter("level <> 'L2'")
-    events = catalog.attach_level(_cut(spark, sf_dir), views.code_actions(spark))
+    events = catalog.attach_level(_cut(spark, sf_dir).rows, views.code_actions(spark))
     return catalog.attach_weight(events, known).select(*PLACE, "mebef_level", "mebef_wt")
 
 
@@ -281,17 +309,17 @@ def exam_segments(spark, sf_dir):
 
 @query("exam_events")
 def exam_events(spark, sf_dir):
-    return _cut(spark, sf_dir).drop("tick", "seq")
+    return _cut(spark, sf_dir).rows.drop("tick", "seq")
 
 
 @query("exam_records")
 def exam_records(spark, sf_dir):
-    return _final(spark, sf_dir).drop("tick", "seq", "exam_start")
+    return _final(spark, sf_dir).rows.drop("tick", "seq", "exam_start")
 
 
 @query("exam_summary")
 def exam_summary(spark, sf_dir):
-    return exams.exam_summary(_cut(spark, sf_dir))
+    return exams.exam_summary(_cut(spark, sf_dir).rows)
 
 
 # Scalars.
@@ -306,16 +334,16 @@ def day_of_event(spark, sf_dir):
 @query("incident_flags")
 def incident_flags(spark, sf_dir):
     flags = ("actual_num_shutdowns", "actual_num_crashes", "sum_shutdown_crashes", "ip_st")
-    return _flagged(spark, sf_dir).select(*PLACE, "code", *flags)
+    return _flagged(spark, sf_dir).rows.select(*PLACE, "code", *flags)
 
 
 @query("subtraction_rule")
 def subtraction_rule(spark, sf_dir):
-    return _ruled(spark, sf_dir).select(*PLACE, "sum_ipst", "num_shutdowns_day")
+    return _ruled(spark, sf_dir).rows.select(*PLACE, "sum_ipst", "num_shutdowns_day")
 
 
 def _sevone(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    exam_sums = _flagged(spark, sf_dir).groupBy(*EXAM).agg(
+    exam_sums = _flagged(spark, sf_dir).rows.groupBy(*EXAM).agg(
         F.sum("ip_st").alias("sum_ipst"), F.sum("actual_num_shutdowns").alias("shutdowns")
     )
     value = sevone(F.col("sum_ipst"), F.col("shutdowns"), mode)
@@ -346,69 +374,73 @@ def rate_per_system(spark, sf_dir):
 
 @query("exam_duration")
 def exam_duration(spark, sf_dir):
-    timed = _timed(spark, sf_dir)
+    timed = _timed(spark, sf_dir).rows
     return timed.select(*PLACE, "day", "exam_dur_max", "exam_dur_min", "exam_dur_sec")
 
 
 @query("exams_long")
 def exams_long(spark, sf_dir):
-    return _long(spark, sf_dir).select(*PLACE, "exam_dur_sec")
+    return _long(spark, sf_dir).rows.select(*PLACE, "exam_dur_sec")
 
 
 @query("exams_short")
 def exams_short(spark, sf_dir):
-    return metrics.exams_short(_timed(spark, sf_dir), SETTINGS).select(*PLACE, "exam_dur_sec")
+    return metrics.exams_short(_timed(spark, sf_dir).rows, SETTINGS).select(*PLACE, "exam_dur_sec")
 
 
 @query("rank_duration")
 def rank_duration(spark, sf_dir):
     # Duration up to the row's own tick, so that not all rows of an exam tie.
     so_far = F.floor((F.col("tick") - F.col("exam_dur_min")) / 3600).cast("double")
-    timed = _timed(spark, sf_dir).withColumn("exam_dur_sec", so_far)
-    return metrics.rank_duration(timed).select(*PLACE, "exam_dur_sec", "rank_val")
+    timed = _timed(spark, sf_dir).then(DataFrame.withColumn, "exam_dur_sec", so_far)
+    ranked = timed.then_grouped(metrics.rank_duration)
+    return ranked.rows.select(*PLACE, "exam_dur_sec", "rank_val")
 
 
 @query("time_lag")
 def time_lag(spark, sf_dir):
-    return metrics.time_lag(_cut(spark, sf_dir), SETTINGS).select(*PLACE, "tick", "time_seq_lag")
+    lagged = _cut(spark, sf_dir).then_grouped(metrics.time_lag, SETTINGS)
+    return lagged.rows.select(*PLACE, "tick", "time_seq_lag")
 
 
 @query("exam_incidents")
 def exam_incidents(spark, sf_dir):
-    return incidents.exam_incidents(_flagged(spark, sf_dir)).select(*PLACE, "ip_st", "sum_ipst")
+    summed = _flagged(spark, sf_dir).then_grouped(incidents.exam_incidents)
+    return summed.rows.select(*PLACE, "ip_st", "sum_ipst")
 
 
 @query("total_shutdowns")
 def total_shutdowns(spark, sf_dir):
-    return _totalled(spark, sf_dir).select(*PLACE, "num_shutdowns_day", "num_shutdowns")
+    return _totalled(spark, sf_dir).rows.select(*PLACE, "num_shutdowns_day", "num_shutdowns")
 
 
 @query("total_shutdowns_literal")
 def total_shutdowns_literal(spark, sf_dir):
-    rows = _totalled(spark, sf_dir, "literal")
+    rows = _totalled(spark, sf_dir, "literal").rows
     return rows.select(*PLACE, "num_shutdowns_day", "num_shutdowns")
 
 
 @query("shutdown_crash_counts")
 def shutdown_crash_counts(spark, sf_dir):
-    rows = incidents.shutdown_crash_counts(_long(spark, sf_dir), SETTINGS)
+    rows = incidents.shutdown_crash_counts(_long(spark, sf_dir).rows, SETTINGS)
     return rows.select(*PLACE, "day", "actual_num_shutdowns", "actual_num_crashes")
 
 
 @query("shutdown_crash_counts_exam_day")
 def shutdown_crash_counts_exam_day(spark, sf_dir):
-    rows = incidents.shutdown_crash_counts(_long(spark, sf_dir), SETTINGS, "exam_day")
+    counts = incidents.shutdown_crash_counts
+    rows = _long(spark, sf_dir).then_grouped(counts, SETTINGS, "exam_day").rows
     return rows.select(*PLACE, "day", "actual_num_shutdowns", "actual_num_crashes")
 
 
 @query("shutdown_crash_counts_literal")
 def shutdown_crash_counts_literal(spark, sf_dir):
-    rows = incidents.shutdown_crash_counts(_long(spark, sf_dir), SETTINGS, mode="literal")
+    rows = incidents.shutdown_crash_counts(_long(spark, sf_dir).rows, SETTINGS, mode="literal")
     return rows.select(*PLACE, "day", "actual_num_shutdowns", "actual_num_crashes")
 
 
 def _ipte(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    rows = metrics.ipte(_totalled(spark, sf_dir, mode), SETTINGS, mode)
+    rows = _totalled(spark, sf_dir, mode).then_grouped(metrics.ipte, SETTINGS, mode).rows
     names = ("event_key", "num_exams", "num_sev1")
     return rows.select(*UNIT, *names, rounded("ipte_severity"))
 
@@ -424,7 +456,7 @@ def ipte_literal(spark, sf_dir):
 
 
 def _ipte_weighted(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    rows = metrics.ipte_weighted(_long(spark, sf_dir), SETTINGS, mode)
+    rows = _long(spark, sf_dir).then_grouped(metrics.ipte_weighted, SETTINGS, mode).rows
     names = (rounded("sum_max_wt_all_exams"), rounded("ipte_weighted"))
     return rows.select(*UNIT, "event_key", *names)
 
@@ -441,20 +473,21 @@ def ipte_weighted_literal(spark, sf_dir):
 
 @query("additional_stats")
 def additional_stats(spark, sf_dir):
-    rows = metrics.additional_stats(_long(spark, sf_dir), SETTINGS)
+    rows = _long(spark, sf_dir).then_grouped(metrics.additional_stats, SETTINGS).rows
     return rows.select(*PLACE, "num_tps_resets", "time_seq_min", "time_seq_max")
 
 
 @query("additional_stats_literal")
 def additional_stats_literal(spark, sf_dir):
-    rows = metrics.additional_stats(_long(spark, sf_dir), SETTINGS, "literal")
+    stats = metrics.additional_stats
+    rows = _long(spark, sf_dir).then_grouped(stats, SETTINGS, "literal").rows
     return rows.select(*PLACE, "num_tps_resets", "time_seq_min", "time_seq_max")
 
 
 @query("top_row_per_machine")
 def top_row_per_machine(spark, sf_dir):
     # A rate that differs from row to row, so that there is something to choose.
-    timed = _timed(spark, sf_dir)
+    timed = _timed(spark, sf_dir).rows
     rated = timed.withColumn("ipte_severity", F.floor(F.col("exam_dur_sec") / 3600))
     top = metrics.top_row_per_machine(rated)
     return top.select(*UNIT, "event_key", "ipte_severity", "row_num")
@@ -465,39 +498,41 @@ def top_row_per_machine(spark, sf_dir):
 
 @query("stage_counts")
 def stage_counts(spark, sf_dir):
-    return report_stage_counts(views.raw_log(spark, sf_dir), _cut(spark, sf_dir), SETTINGS)
+    return report_stage_counts(
+        views.raw_log(spark, sf_dir), _cut(spark, sf_dir).rows, SETTINGS
+    )
 
 
 @query("run_metrics")
 def run_metrics(spark, sf_dir):
-    return metrics.run_metrics(_final(spark, sf_dir), SETTINGS)
+    return metrics.run_metrics(_final(spark, sf_dir).rows, SETTINGS)
 
 
 @query("distinct_counts")
 def distinct_counts(spark, sf_dir):
-    return metrics.distinct_counts(_final(spark, sf_dir))
+    return metrics.distinct_counts(_final(spark, sf_dir).rows)
 
 
 @query("duration_stats")
 def duration_stats(spark, sf_dir):
-    return metrics.duration_stats(_final(spark, sf_dir), SETTINGS)
+    return metrics.duration_stats(_final(spark, sf_dir).rows, SETTINGS)
 
 
 @query("fleet_shutdowns")
 def fleet_shutdowns(spark, sf_dir):
-    return metrics.fleet_shutdowns(_totalled(spark, sf_dir))
+    return metrics.fleet_shutdowns(_totalled(spark, sf_dir).rows)
 
 
 @query("fleet_shutdowns_literal")
 def fleet_shutdowns_literal(spark, sf_dir):
-    return metrics.fleet_shutdowns(_totalled(spark, sf_dir, "literal"))
+    return metrics.fleet_shutdowns(_totalled(spark, sf_dir, "literal").rows)
 
 
 @query("sum_by_key")
 def sum_by_key(spark, sf_dir):
     names = ("num_exams", "num_shutdowns", "num_tps_resets")
     sums = metrics.sum_by_key(_report(spark, sf_dir).select(*names), "num_exams")
-    return sums.select("num_exams", *(F.col(f"sum_{n}").cast("bigint").alias(f"sum_{n}") for n in names))
+    return sums.select("num_exams", *(f"sum_{name}" for name in names))
 
 
 # Whole analyses.
@@ -513,6 +548,17 @@ def report_literal(spark, sf_dir):
     return _rounded_report(_report(spark, sf_dir, "literal"))
 
 
+@query("stepwise_report")
+def report_by_steps(spark, sf_dir):
+    return _rounded_report(_final(spark, sf_dir).then_grouped(stepwise_report, SETTINGS).rows)
+
+
+@query("stepwise_report_literal")
+def report_by_steps_literal(spark, sf_dir):
+    steps = _final(spark, sf_dir).then_grouped(stepwise_report, SETTINGS, "literal")
+    return _rounded_report(steps.rows)
+
+
 @query("cumulative_ipte")
 def cumulative_ipte(spark, sf_dir):
     totals = metrics.cumulative_ipte(_report(spark, sf_dir))

@@ -84,6 +84,12 @@ def add_roles(log: DataFrame, code_actions: DataFrame) -> DataFrame:
     return log.join(code_roles(code_actions), "code")
 
 
+def keep_known_codes(log: DataFrame, code_actions: DataFrame) -> DataFrame:
+    """Raw log rows whose code has a role."""
+    known = code_roles(code_actions).select(F.col("code").alias("msg_code"))
+    return log.join(known, "msg_code", "left_semi").select(*log.columns)
+
+
 def attach_level(events: DataFrame, code_actions: DataFrame) -> DataFrame:
     """``mebef_level`` by code; ``'-1'`` where the code is unknown."""
     levels = code_actions.groupBy(F.col("error_code").alias("code")).agg(

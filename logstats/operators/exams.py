@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from logstats.operators.catalog import add_roles
 from logstats.operators.cleaning import usable_rows
-from logstats.operators.groups import CHUNK, split_groups
+from logstats.operators.groups import CHUNK, groups_bounded, split_groups
 from logstats.schemas import EXAM_RECORD
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings
 
@@ -204,8 +204,17 @@ def _scan(rows: DataFrame, keys: Sequence[str], carried: bool, settings: Setting
     )
 
 
+def log_bounded(log: DataFrame, code_actions: DataFrame, settings: Settings = DEFAULTS) -> bool:
+    """Whether no task gets more rows of a machine than it may; see ``groups``."""
+    relevant = add_roles(log.select(*TASK_KEYS, "code"), code_actions)
+    return groups_bounded(relevant, TASK_KEYS, settings.max_group_rows)
+
+
 def cut_exams(
-    log: DataFrame, code_actions: DataFrame, settings: Settings = DEFAULTS
+    log: DataFrame,
+    code_actions: DataFrame,
+    settings: Settings = DEFAULTS,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Rows that start an exam or may belong to one, with ``exam_id``, ``exam_start``,
     the ``outcome`` of their exam and whether they are ``kept``.
@@ -215,7 +224,7 @@ def cut_exams(
     relevant = add_roles(log, code_actions)
     rows = _with_start_id(usable_rows(relevant))
     split = split_groups(
-        rows, UNIT, ORDER, settings.max_group_rows, task_keys=TASK_KEYS, counted=relevant
+        rows, UNIT, ORDER, settings.max_group_rows, TASK_KEYS, counted=relevant, bounded=bounded
     )
     if split.hot is None:
         return _scan(split.rows.repartition(*TASK_KEYS), split.keys, False, settings)
@@ -225,32 +234,41 @@ def cut_exams(
 
 
 def exam_segments(
-    log: DataFrame, code_actions: DataFrame, settings: Settings = DEFAULTS
+    log: DataFrame,
+    code_actions: DataFrame,
+    settings: Settings = DEFAULTS,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """One row per start with the outcome of what it started."""
     return (
-        cut_exams(log, code_actions, settings)
+        cut_exams(log, code_actions, settings, bounded)
         .filter("is_start")
         .select(*EXAM, F.col("event_key").alias("start_event"), "exam_start", "outcome")
     )
 
 
 def service_starts(
-    log: DataFrame, code_actions: DataFrame, settings: Settings = DEFAULTS
+    log: DataFrame,
+    code_actions: DataFrame,
+    settings: Settings = DEFAULTS,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Start rows that a service code came shortly before."""
-    segments = exam_segments(log, code_actions, settings)
+    segments = exam_segments(log, code_actions, settings, bounded)
     return segments.filter(F.col("outcome") == SERVICE).drop("outcome")
 
 
 def exam_events(
-    log: DataFrame, code_actions: DataFrame, settings: Settings = DEFAULTS
+    log: DataFrame,
+    code_actions: DataFrame,
+    settings: Settings = DEFAULTS,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """The kept rows as exam records without level and weight, with their order columns.
 
     A record column the log does not have is null.
     """
-    kept = cut_exams(log, code_actions, settings).filter("kept")
+    kept = cut_exams(log, code_actions, settings, bounded).filter("kept")
     # Columns that hold their own name.
     kept = kept.withColumns({name: F.lit(name) for name in ("psd", "coil", "scan")})
     later = ("mebef_level", "mebef_wt")

@@ -1,15 +1,20 @@
 """Work per group without ever putting a large group into one task.
 
-Two tools: ``add_group_stats`` attaches aggregates of a group to its rows with a
-partial aggregation and a join, and ``split_groups`` cuts large ordered groups into
-consecutive chunks so that a running window only has to scan a chunk.
+A window evaluates a whole group in one task. That is the cheapest way as long as groups
+are bounded: it adds no shuffle to rows that are partitioned already. ``groups_bounded``
+checks that. Beyond the bound, ``add_group_stats`` aggregates partially and joins, and
+``split_groups`` cuts an ordered group into chunks that are scanned on their own.
+
+The row-level operators take ``bounded``: None lets them check their own rows. A caller
+who has checked the log once passes the answer on, because neither exams nor machines
+have more rows later than in the log.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,11 +54,47 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Data
     return rows.join(renamed, condition, "left").drop(*(f"_g_{key}" for key in keys))
 
 
-def add_group_stats(rows: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
-    """Every row with aggregates of its group, as an unbounded window would give them."""
-    aggregates = [value.alias(name) for name, value in stats.items()]
-    kept = rows.drop(*stats)
-    return join_groups(kept, rows.groupBy(*keys).agg(*aggregates), keys)
+def _large_groups(rows: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.filter(F.col("_n") > max_rows)
+
+
+def groups_bounded(
+    rows: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS
+) -> bool:
+    """Whether no group has more than ``max_rows`` rows.
+
+    This is a job: a pass over the key columns with map-side counts.
+    """
+    return _large_groups(rows, keys, max_rows).isEmpty()
+
+
+def add_group_stats(
+    rows: DataFrame,
+    keys: Sequence[str],
+    stats: Mapping[str, Column],
+    bounded: bool | None = None,
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Every row with aggregates of its group.
+
+    Groups that are not bounded are aggregated partially and joined back. The rows are
+    needed twice for that, so they are checkpointed instead of being computed twice.
+    """
+    rows = rows.drop(*stats)
+    if bounded is None:
+        bounded = groups_bounded(rows, keys, max_rows)
+    if bounded:
+        group = Window.partitionBy(*keys)
+        return rows.select("*", *(stat.over(group).alias(name) for name, stat in stats.items()))
+    rows = checkpointed(rows)
+    aggregates = [stat.alias(name) for name, stat in stats.items()]
+    return join_groups(rows, rows.groupBy(*keys).agg(*aggregates), keys)
+
+
+def checkpointed(rows: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(rows.sparkSession)
+    return rows.checkpoint()
 
 
 @dataclass(frozen=True)
@@ -72,6 +113,7 @@ def split_groups(
     max_rows: int = MAX_GROUP_ROWS,
     task_keys: Sequence[str] | None = None,
     counted: DataFrame | None = None,
+    bounded: bool | None = None,
 ) -> SplitRows:
     """Cut large groups into chunks that follow one another in ``order``.
 
@@ -85,23 +127,21 @@ def split_groups(
     The chunk number is the range partition, so these rows are checkpointed: a second
     evaluation could sample other range bounds. Rows with a null key are not cut.
     """
+    if bounded:
+        return SplitRows(rows, tuple(keys), None)
     shared = list(task_keys or keys)
-    counted = rows if counted is None else counted
-    sizes = counted.groupBy(*shared).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > max_rows)
+    large = _large_groups(rows if counted is None else counted, shared, max_rows)
     found = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).head()
     if found["groups"] == 0:
         return SplitRows(rows, tuple(keys), None)
 
-    ensure_checkpoint_dir(rows.sparkSession)
     # At most (all rows / max_rows) groups are large, which bounds the broadcast.
-    marks = F.broadcast(large.select(*shared).checkpoint())
+    marks = F.broadcast(checkpointed(large.select(*shared)))
     chunks = -(-2 * found["rows"] // max_rows)
-    hot = (
+    hot = checkpointed(
         rows.join(marks, shared, "left_semi")
         .repartitionByRange(chunks, *keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
-        .checkpoint()
     )
     rest = rows.join(marks, shared, "left_anti").withColumn(CHUNK, F.lit(-1))
     return SplitRows(rest.unionByName(hot), (*keys, CHUNK), hot)
@@ -114,9 +154,10 @@ def running_total(
     value: str,
     result: str,
     max_rows: int = MAX_GROUP_ROWS,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Sum of ``value`` from the start of the group up to and with each row."""
-    split = split_groups(rows, keys, order, max_rows)
+    split = split_groups(rows, keys, order, max_rows, bounded=bounded)
     up_to = Window.partitionBy(*split.keys).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -143,9 +184,10 @@ def lagged(
     value: str,
     result: str,
     max_rows: int = MAX_GROUP_ROWS,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """``value`` of the row before, in the order of the group."""
-    split = split_groups(rows, keys, order, max_rows)
+    split = split_groups(rows, keys, order, max_rows, bounded=bounded)
     steps = Window.partitionBy(*split.keys).orderBy(*order)
     local = split.rows.withColumn(result, F.lag(value).over(steps))
     if split.hot is None:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logstats.functions import code_flag
-from logstats.operators.groups import add_group_stats, join_groups
-from logstats.settings import DEFAULTS, EXAM, UNIT, Settings, check_mode
+from logstats.operators.groups import (
+    add_group_stats,
+    checkpointed,
+    groups_bounded,
+    join_groups,
+)
+from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings, check_mode
 
 
 def incident_flags(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -24,9 +29,9 @@ def incident_flags(events: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     )
 
 
-def exam_incidents(flagged: DataFrame) -> DataFrame:
+def exam_incidents(flagged: DataFrame, bounded: bool | None = None) -> DataFrame:
     """``sum_ipst``: interruptions of the row's exam."""
-    return add_group_stats(flagged, EXAM, sum_ipst=F.sum("ip_st"))
+    return add_group_stats(flagged, EXAM, {"sum_ipst": F.sum("ip_st")}, bounded)
 
 
 def subtraction_rule(rows: DataFrame) -> DataFrame:
@@ -35,7 +40,9 @@ def subtraction_rule(rows: DataFrame) -> DataFrame:
     return rows.withColumn("num_shutdowns_day", less.otherwise(F.col("sum_ipst")))
 
 
-def total_shutdowns(rows: DataFrame, mode: str = "intended") -> DataFrame:
+def total_shutdowns(
+    rows: DataFrame, mode: str = "intended", bounded: bool | None = None
+) -> DataFrame:
     """``num_shutdowns`` of the row's machine.
 
     Intended: an exam counts once, with its interruptions less one if it was shut down.
@@ -43,12 +50,24 @@ def total_shutdowns(rows: DataFrame, mode: str = "intended") -> DataFrame:
     """
     check_mode(mode)
     if mode == "literal":
-        return add_group_stats(rows, UNIT, num_shutdowns=F.sum("num_shutdowns_day"))
+        return add_group_stats(
+            rows, UNIT, {"num_shutdowns": F.sum("num_shutdowns_day")}, bounded
+        )
+    if bounded is None:
+        bounded = groups_bounded(rows, UNIT)
+    # Each row bears its own interruption, and an exam's first shutdown row one less.
+    nth = Window.partitionBy(*EXAM, "actual_num_shutdowns").orderBy(*ORDER)
+    first_shutdown = (F.col("actual_num_shutdowns") > 0) & (F.row_number().over(nth) == 1)
+    if bounded:
+        less = F.when(first_shutdown, 1).otherwise(0)
+        share = rows.withColumn("_share", F.col("ip_st") - less)
+        return add_group_stats(share, UNIT, {"num_shutdowns": F.sum("_share")}, True).drop("_share")
+    rows = checkpointed(rows.drop("num_shutdowns"))
     exams = rows.groupBy(*EXAM).agg(
         (F.sum("ip_st") - F.max("actual_num_shutdowns")).alias("_interruptions")
     )
     machines = exams.groupBy(*UNIT).agg(F.sum("_interruptions").alias("num_shutdowns"))
-    return join_groups(rows.drop("num_shutdowns"), machines, UNIT)
+    return join_groups(rows, machines, UNIT)
 
 
 def shutdown_crash_counts(
@@ -56,6 +75,7 @@ def shutdown_crash_counts(
     settings: Settings = DEFAULTS,
     frame: str = "row",
     mode: str = "intended",
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Shutdown and crash rows counted over the row itself or over its exam and day.
 
@@ -69,13 +89,9 @@ def shutdown_crash_counts(
     else:
         shutdown = code_flag(F.col("code"), settings.shutdown_codes).cast("bigint")
         crash = code_flag(F.col("code"), settings.crash_codes).cast("bigint")
+    counts = {"actual_num_shutdowns": shutdown, "actual_num_crashes": crash}
     if frame == "row":
-        return events.withColumns(
-            {"actual_num_shutdowns": shutdown, "actual_num_crashes": crash}
-        )
-    return add_group_stats(
-        events,
-        (*UNIT, "day", "exam_id"),
-        actual_num_shutdowns=F.sum(shutdown),
-        actual_num_crashes=F.sum(crash),
-    )
+        return events.withColumns(counts)
+    keys = (*UNIT, "day", "exam_id")
+    sums = {name: F.sum(count) for name, count in counts.items()}
+    return add_group_stats(events, keys, sums, bounded, settings.max_group_rows)

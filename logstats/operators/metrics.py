@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logstats.functions import count_rows_where, event_day, ipte_rate
-from logstats.operators.groups import add_group_stats, join_groups, lagged, running_total
+from logstats.operators.groups import (
+    add_group_stats,
+    checkpointed,
+    groups_bounded,
+    join_groups,
+    lagged,
+    running_total,
+)
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings, check_mode
 
 
@@ -21,11 +28,10 @@ def add_day(events: DataFrame) -> DataFrame:
     return events.withColumn("day", event_day(F.col("tick")))
 
 
-def exam_duration(events: DataFrame) -> DataFrame:
+def exam_duration(events: DataFrame, bounded: bool | None = None) -> DataFrame:
     """Last and first tick of the row's exam and the seconds between them."""
-    timed = add_group_stats(
-        events, EXAM, exam_dur_max=F.max("tick"), exam_dur_min=F.min("tick")
-    )
+    ends = {"exam_dur_max": F.max("tick"), "exam_dur_min": F.min("tick")}
+    timed = add_group_stats(events, EXAM, ends, bounded)
     return timed.withColumn("exam_dur_sec", F.col("exam_dur_max") - F.col("exam_dur_min"))
 
 
@@ -37,103 +43,146 @@ def exams_long(timed: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return timed.filter(F.col("exam_dur_sec") >= settings.min_exam_s)
 
 
-def rank_duration(timed: DataFrame) -> DataFrame:
+def rank_duration(timed: DataFrame, bounded: bool | None = None) -> DataFrame:
     """Rows that rank first by duration in their exam, ties included.
 
     These are the rows with the exam's largest duration, found without sorting it.
     """
-    ranked = add_group_stats(timed, EXAM, _longest=F.max("exam_dur_sec"))
+    ranked = add_group_stats(timed, EXAM, {"_longest": F.max("exam_dur_sec")}, bounded)
     first = F.col("exam_dur_sec").eqNullSafe(F.col("_longest"))
     return ranked.filter(first).drop("_longest").withColumn("rank_val", F.lit(1))
 
 
-def time_lag(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def time_lag(
+    events: DataFrame, settings: Settings = DEFAULTS, bounded: bool | None = None
+) -> DataFrame:
     """Tick of the row before in the same exam."""
-    return lagged(events, EXAM, ORDER, "tick", "time_seq_lag", settings.max_group_rows)
+    max_rows = settings.max_group_rows
+    return lagged(events, EXAM, ORDER, "tick", "time_seq_lag", max_rows, bounded)
 
 
-def _first_rows(rows: DataFrame) -> DataFrame:
-    """The first row of each machine; cut down on the map side before the shuffle."""
-    steps = Window.partitionBy(*UNIT).orderBy(*ORDER)
-    return rows.withColumn("_nth", F.row_number().over(steps)).filter("_nth = 1").drop("_nth")
-
+def _nth_row() -> Column:
+    return F.row_number().over(Window.partitionBy(*UNIT).orderBy(*ORDER))
 
-def _is_code(code: str) -> Column:
-    return F.col("code") == code
 
+def _first_rows(rows: DataFrame) -> DataFrame:
+    """The first row of each machine; cut down on the map side before the shuffle."""
+    return rows.withColumn("_nth", _nth_row()).filter("_nth = 1").drop("_nth")
 
-def _num_exams(settings: Settings) -> Column:
-    if settings.num_exams_by == "segment":
-        return F.count_distinct("exam_id")
-    return count_rows_where(_is_code(settings.exam_code))
 
+def _with_machine_sums(
+    rows: DataFrame,
+    of_exam: Mapping[str, Column],
+    of_machine: Mapping[str, Column],
+    bounded: bool | None,
+    max_rows: int,
+) -> DataFrame:
+    """First row of each machine with aggregates over its exams.
 
-def ipte(rows: DataFrame, settings: Settings = DEFAULTS, mode: str = "intended") -> DataFrame:
+    ``of_exam`` are aggregates of an exam's rows, ``of_machine`` aggregates of those.
+    """
+    if bounded is None:
+        bounded = groups_bounded(rows, UNIT, max_rows)
+    if not bounded:
+        rows = checkpointed(rows)
+        exams = rows.groupBy(*EXAM).agg(*(value.alias(name) for name, value in of_exam.items()))
+        sums = [value.alias(name) for name, value in of_machine.items()]
+        return join_groups(_first_rows(rows), exams.groupBy(*UNIT).agg(*sums), UNIT)
+    # A window per exam marks one row of it, and one per machine sums those rows up.
+    first_of_exam = F.row_number().over(Window.partitionBy(*EXAM).orderBy(*ORDER)) == 1
+    marked = rows.withColumn("_first", first_of_exam)
+    exam, machine = Window.partitionBy(*EXAM), Window.partitionBy(*UNIT)
+    marked = marked.withColumns({name: value.over(exam) for name, value in of_exam.items()})
+    once = {name: F.when(F.col("_first"), F.col(name)) for name in of_exam}
+    marked = marked.withColumns(once)
+    marked = marked.withColumns({name: v.over(machine) for name, v in of_machine.items()})
+    helpers = [name for name in of_exam if name not in of_machine]
+    return _first_rows(marked).drop("_first", *helpers)
+
+
+def _exam_count(settings: Settings) -> tuple[Column, Column]:
+    """What an exam counts, and the sum of that: its rows of the exam code, or one."""
+    coded = count_rows_where(F.col("code") == settings.exam_code)
+    counts = {"code": coded, "segment": F.max(F.lit(1).cast("bigint"))}
+    return counts[settings.num_exams_by], F.sum("_exams")
+
+
+def ipte(
+    rows: DataFrame,
+    settings: Settings = DEFAULTS,
+    mode: str = "intended",
+    bounded: bool | None = None,
+) -> DataFrame:
     """First row per machine with its exams, severity-one incidents and their rate.
 
     Literal looks at that row alone, so every machine has one exam.
     """
     check_mode(mode)
-    first = _first_rows(rows)
     if mode == "literal":
-        counted = first.withColumns(
-            {"num_exams": F.lit(1).cast("bigint"), "num_sev1": F.col("num_shutdowns")}
+        one = F.lit(1).cast("bigint")
+        counted = _first_rows(rows).withColumns(
+            {"num_exams": one, "num_sev1": F.col("num_shutdowns")}
         )
     else:
-        machines = rows.groupBy(*UNIT).agg(
-            _num_exams(settings).alias("num_exams"), F.min("num_shutdowns").alias("num_sev1")
+        count, total = _exam_count(settings)
+        of_exam = {"_exams": count, "_least": F.min("num_shutdowns")}
+        of_machine = {"num_exams": total, "num_sev1": F.min("_least")}
+        counted = _with_machine_sums(
+            rows, of_exam, of_machine, bounded, settings.max_group_rows
         )
-        counted = join_groups(first, machines, UNIT)
     return counted.withColumn("ipte_severity", ipte_rate(F.col("num_sev1"), F.col("num_exams")))
 
 
 def ipte_weighted(
-    rows: DataFrame, settings: Settings = DEFAULTS, mode: str = "intended"
+    rows: DataFrame,
+    settings: Settings = DEFAULTS,
+    mode: str = "intended",
+    bounded: bool | None = None,
 ) -> DataFrame:
     """First row per machine with the sum of its exams' largest weights and their rate."""
     check_mode(mode)
-    first = _first_rows(rows)
     if mode == "literal":
-        counted = first.withColumns(
-            {"_exams": F.lit(1).cast("bigint"), "sum_max_wt_all_exams": F.col("mebef_wt")}
+        counted = _first_rows(rows).withColumns(
+            {"_total": F.lit(1), "sum_max_wt_all_exams": F.col("mebef_wt")}
         )
     else:
-        exams = rows.groupBy(*EXAM).agg(
-            F.max("mebef_wt").alias("_weight"),
-            count_rows_where(_is_code(settings.exam_code)).alias("_coded"),
+        count, total = _exam_count(settings)
+        of_exam = {"_exams": count, "_weight": F.max("mebef_wt")}
+        of_machine = {"_total": total, "sum_max_wt_all_exams": F.sum("_weight")}
+        counted = _with_machine_sums(
+            rows, of_exam, of_machine, bounded, settings.max_group_rows
         )
-        counts = {"segment": F.count(F.lit(1)), "code": F.sum("_coded")}
-        machines = exams.groupBy(*UNIT).agg(
-            counts[settings.num_exams_by].alias("_exams"),
-            F.sum("_weight").alias("sum_max_wt_all_exams"),
-        )
-        counted = join_groups(first, machines, UNIT)
-    rate = ipte_rate(F.col("sum_max_wt_all_exams"), F.col("_exams"))
-    return counted.withColumn("ipte_weighted", rate).drop("_exams")
+    rate = ipte_rate(F.col("sum_max_wt_all_exams"), F.col("_total"))
+    return counted.withColumn("ipte_weighted", rate).drop("_total")
 
 
 def additional_stats(
-    rows: DataFrame, settings: Settings = DEFAULTS, mode: str = "intended"
+    rows: DataFrame,
+    settings: Settings = DEFAULTS,
+    mode: str = "intended",
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Resets of the row's machine and its last and first tick.
 
     Literal has all three as the number of the machine's rows up to the row's tick.
     """
     check_mode(mode)
-    if mode == "intended":
-        return add_group_stats(
-            rows,
-            UNIT,
-            num_tps_resets=count_rows_where(_is_code(settings.reset_code)),
-            time_seq_min=F.min("tick"),
-            time_seq_max=F.max("tick"),
-        )
-    keys = (*UNIT, "tick")
-    per_tick = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    counts = running_total(per_tick, UNIT, ("tick",), "_n", "_count", settings.max_group_rows)
-    counts = counts.drop("_n")
     names = ("num_tps_resets", "time_seq_min", "time_seq_max")
-    counted = join_groups(rows, counts, keys)
+    max_rows = settings.max_group_rows
+    if bounded is None:
+        bounded = groups_bounded(rows, UNIT, max_rows)
+    if mode == "intended":
+        resets = count_rows_where(F.col("code") == settings.reset_code)
+        stats = dict(zip(names, (resets, F.min("tick"), F.max("tick"))))
+        return add_group_stats(rows, UNIT, stats, bounded)
+    if bounded:
+        up_to = Window.partitionBy(*UNIT).orderBy("tick")  # equal ticks included
+        counted = rows.withColumn("_count", F.count(F.lit(1)).over(up_to))
+    else:
+        rows, keys = checkpointed(rows), (*UNIT, "tick")
+        per_tick = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        counts = running_total(per_tick, UNIT, ("tick",), "_n", "_count", max_rows)
+        counted = join_groups(rows, counts.drop("_n"), keys)
     return counted.withColumns({name: F.col("_count") for name in names}).drop("_count")
 
 

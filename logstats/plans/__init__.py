@@ -6,12 +6,12 @@ from logstats.plans.report import (
     report_stage_counts,
     stepwise_report,
 )
-from logstats.plans.job import load_log, run_report
+from logstats.plans.job import read_log, run_report
 
 __all__ = [
     "final_events",
-    "load_log",
     "machine_report",
+    "read_log",
     "report_stage_counts",
     "run_report",
     "stepwise_report",

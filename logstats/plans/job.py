@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from logstats import sources
-from logstats.operators import cleaning, metrics
+from logstats.operators import catalog, cleaning, metrics
+from logstats.operators.exams import log_bounded
 from logstats.plans.report import machine_report
 from logstats.settings import DEFAULTS, Settings, check_mode
 
 
-def load_log(
+def read_log(
     spark: SparkSession,
     log_path: str,
     *,
@@ -19,10 +20,9 @@ def load_log(
     end_date: str | None = None,
     config: str = "MR750W",
     software_rev: str = "DV25.0_R02_1549.b",
-    all_columns: bool = False,
     mode: str = "intended",
 ) -> DataFrame:
-    """The prepared log of the listed systems and days; literal ignores both filters."""
+    """The log of the listed systems and days; literal ignores both filters."""
     check_mode(mode)
     log = sources.read_machine_log(spark, log_path)
     if system_list_path is not None:
@@ -30,8 +30,7 @@ def load_log(
         log = cleaning.filter_systems(log, listed, mode)
     if start_date is not None and end_date is not None:
         log = cleaning.filter_dates(log, start_date, end_date, mode)
-    log = cleaning.add_constants(cleaning.clean_log(log, all_columns), config, software_rev)
-    return cleaning.prepare_log(log)
+    return cleaning.add_constants(log, config, software_rev)
 
 
 def run_report(
@@ -42,21 +41,23 @@ def run_report(
     code_actions_path: str,
     report_path: str,
     stamp: str = "",
+    all_columns: bool = False,
     settings: Settings = DEFAULTS,
     mode: str = "intended",
-    **log_options,
+    **log_options: str | None,
 ) -> DataFrame:
     """Write the machine report and return the fleet totals.
 
-    The totals are computed from the written report, not by running the analysis again.
+    Rows whose code plays no part are dropped before the dedup, and group sizes are
+    counted ahead of it, so that the dedup shuffles little and runs once. The totals are
+    computed from the written report, not by running the analysis again.
     """
-    log = load_log(spark, log_path, mode=mode, **log_options)
-    report = machine_report(
-        log,
-        sources.read_code_actions(spark, code_actions_path),
-        sources.read_level_weights(spark, level_weights_path),
-        settings,
-        mode,
-    )
+    codes = sources.read_code_actions(spark, code_actions_path)
+    weights = sources.read_level_weights(spark, level_weights_path)
+    log = read_log(spark, log_path, mode=mode, **log_options)
+    bounded = log_bounded(cleaning.prepare_log(log), codes, settings)
+    log = cleaning.clean_log(catalog.keep_known_codes(log, codes), all_columns)
+    log = cleaning.prepare_log(log)
+    report = machine_report(log, codes, weights, settings, mode, bounded)
     written = sources.write_report(report, report_path, stamp)
     return metrics.cumulative_ipte(sources.read_report(spark, written))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logstats.functions import code_flag, count_rows_where, ipte_rate
 from logstats.operators import catalog, cleaning, exams, incidents, metrics
+from logstats.operators.groups import groups_bounded
 from logstats.schemas import MACHINE_REPORT
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings, check_mode
 
@@ -16,9 +17,10 @@ def final_events(
     code_actions: DataFrame,
     level_weights: DataFrame,
     settings: Settings = DEFAULTS,
+    bounded: bool | None = None,
 ) -> DataFrame:
     """Exam records with level and weight, once per system, revision, code and time."""
-    events = cleaning.dedup_events(exams.exam_events(log, code_actions, settings))
+    events = cleaning.dedup_events(exams.exam_events(log, code_actions, settings, bounded))
     events = catalog.attach_level(cleaning.drop_blank_exam(events), code_actions)
     return catalog.attach_weight(events, level_weights)
 
@@ -88,6 +90,7 @@ def machine_report(
     level_weights: DataFrame,
     settings: Settings = DEFAULTS,
     mode: str = "intended",
+    bounded: bool | None = None,
 ) -> DataFrame:
     """One row per machine that has an exam of at least ``min_exam_s``.
 
@@ -95,31 +98,36 @@ def machine_report(
     aggregation, so neither a long exam nor a busy machine is gathered in one task.
     """
     check_mode(mode)
-    events = final_events(log, code_actions, level_weights, settings)
+    events = final_events(log, code_actions, level_weights, settings, bounded)
     totals = _intended_totals if mode == "intended" else _literal_totals
     return _as_report(totals(events, settings))
 
 
 def stepwise_report(
-    events: DataFrame, settings: Settings = DEFAULTS, mode: str = "intended"
+    events: DataFrame,
+    settings: Settings = DEFAULTS,
+    mode: str = "intended",
+    bounded: bool | None = None,
 ) -> DataFrame:
     """The same report from ``final_events``, through the row-level operators."""
-    rows = metrics.exams_long(metrics.exam_duration(metrics.add_day(events)), settings)
+    if bounded is None:
+        bounded = groups_bounded(events, UNIT, settings.max_group_rows)
+    rows = metrics.exam_duration(metrics.add_day(events), bounded)
+    rows = metrics.exams_long(rows, settings)
     rows = rows.withColumns({"mebef_wt_new": F.col("mebef_wt"), "code_new": F.col("code")})
-    rows = incidents.exam_incidents(incidents.incident_flags(rows, settings))
-    rows = incidents.total_shutdowns(incidents.subtraction_rule(rows), mode)
-    severity = metrics.ipte(rows, settings, mode)
+    rows = incidents.exam_incidents(incidents.incident_flags(rows, settings), bounded)
+    rows = incidents.total_shutdowns(incidents.subtraction_rule(rows), mode, bounded)
     if mode == "literal":
-        rated = metrics.ipte_weighted(severity, settings, mode)
-        rated = metrics.additional_stats(rated, settings, mode)
+        rows = metrics.ipte(rows, settings, mode)
+        rows = metrics.ipte_weighted(rows, settings, mode)
+        rows = metrics.additional_stats(rows, settings, mode, bounded=True)
     else:
-        weighted = metrics.ipte_weighted(rows, settings, mode)
-        stats = metrics.additional_stats(rows, settings, mode).dropDuplicates(list(UNIT))
-        names = ("num_tps_resets", "time_seq_max", "time_seq_min")
-        rated = severity.join(weighted.select(*UNIT, "ipte_weighted"), list(UNIT)).join(
-            stats.select(*UNIT, *names), list(UNIT)
-        )
-    top = metrics.top_row_per_machine(rated)
+        # The totals of a machine come before its first row is taken.
+        rows = metrics.additional_stats(rows, settings, mode, bounded)
+        weighted = metrics.ipte_weighted(rows, settings, mode, bounded)
+        rows = metrics.ipte(rows, settings, mode, bounded)
+        rows = rows.join(weighted.select(*UNIT, "ipte_weighted"), list(UNIT))
+    top = metrics.top_row_per_machine(rows)
     return top.select(*(F.col(f.name).cast(f.dataType) for f in MACHINE_REPORT.fields))
 
 

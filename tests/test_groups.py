@@ -44,8 +44,10 @@ def test_nothing_to_cut(spark):
     assert split.hot is None and split.rows is frame
 
 
-def test_group_stats_keep_null_keys(spark):
-    stats = groups.add_group_stats(rows(spark, 3), ["k"], total=F.sum("n"), n_rows=F.count("*"))
+@pytest.mark.parametrize("bounded", [True, False, None])
+def test_group_stats_keep_null_keys(spark, bounded):
+    sums = {"total": F.sum("n"), "n_rows": F.count("*")}
+    stats = groups.add_group_stats(rows(spark, 3), ["k"], sums, bounded)
     assert {(r.k, r.total, r.n_rows) for r in stats.collect()} == {
         ("a", 3, 3), ("b", 10, 5), (None, 3, 2)
     }

@@ -1,6 +1,6 @@
 from logstats import schemas, sources
 from logstats.operators import catalog, cleaning
-from logstats.plans import load_log, run_report
+from logstats.plans import read_log, run_report
 from logstats.settings import Settings
 
 WIDTH = len(schemas.MACHINE_LOG.names)
@@ -130,7 +130,7 @@ def test_clean_log_is_the_stepwise_result(spark, tmp_path):
 
 
 def test_loaded_log_is_typed(spark, tmp_path):
-    log = load_log(spark, job_files(tmp_path)["log_path"])
+    log = cleaning.prepare_log(read_log(spark, job_files(tmp_path)["log_path"]))
     ticks = {r.tick for r in log.filter("system_id = 's2'").collect()}
     assert ticks == {0.0, 179.0, None}
     assert log.select("config", "sw_rev").distinct().collect() == [
