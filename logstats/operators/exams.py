@@ -6,9 +6,9 @@ away. An exam ends with its first stop code (kept), with its first row later tha
 ``max_exam_s`` after the start (not kept), or when the next exam starts. An exam that
 reaches none of these is dropped.
 
-All windows share one partitioning, so the log is shuffled once. Looking ahead is done
-with a running frame over the reversed order, because a frame that ends at the last row
-is evaluated anew for each row. Where a task would get more than ``max_group_rows`` rows
+All windows share one partitioning and order, so the log is shuffled and sorted once.
+Looking ahead is a lead that skips nulls, which is one pass; a frame that ends at the last
+row would be evaluated anew for each row. Where a task would get more than ``max_group_rows`` rows
 of one machine, they are scanned in chunks: each chunk is summed up in one row, the few
 summary rows of a machine are scanned in order, and what a chunk needs to know about its
 neighbours is joined back.
@@ -57,6 +57,11 @@ def _with_start_id(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_start_id", F.when(F.col("is_start"), F.md5(key)))
 
 
+def _next_known(name: str) -> Column:
+    """The first value after the row that is not null; over an ordered window."""
+    return F.expr(f"lead({name}) IGNORE NULLS")
+
+
 def _is_stop() -> Column:
     return F.col("is_monitored") & F.col("is_stop")
 
@@ -92,7 +97,6 @@ def _chunk_carries(hot: DataFrame, settings: Settings) -> DataFrame:
     """What each chunk inherits: last service, open start, whether it stopped, how it ends."""
     steps = Window.partitionBy(*UNIT).orderBy(CHUNK)
     before = steps.rowsBetween(_FIRST, _PREVIOUS)
-    after = Window.partitionBy(*UNIT).orderBy(F.desc(CHUNK)).rowsBetween(_FIRST, _PREVIOUS)
     first, last, opened = F.col("first_start"), F.col("last_start"), F.col("_opened")
 
     def real(start: Column) -> Column:
@@ -131,15 +135,13 @@ def _chunk_carries(hot: DataFrame, settings: Settings) -> DataFrame:
         opened["real"].alias("carry_real"),
         opened["start_id"].alias("carry_id"),
         stopped.alias("carry_stopped"),
-        F.last("_ending", ignorenulls=True).over(after).alias("carry_ending"),
+        _next_known("_ending").over(steps).alias("carry_ending"),
     )
 
 
 def _scan(rows: DataFrame, keys: Sequence[str], carried: bool, settings: Settings) -> DataFrame:
     steps = Window.partitionBy(*keys).orderBy(*ORDER)
     up_to, before = steps.rowsBetween(_FIRST, _THIS), steps.rowsBetween(_FIRST, _PREVIOUS)
-    backwards = Window.partitionBy(*keys).orderBy(*(F.desc(name) for name in ORDER))
-    after = backwards.rowsBetween(_FIRST, _PREVIOUS)
     tick, row, is_start = F.col("tick"), F.col("_row"), F.col("is_start")
 
     def inherit(value: Column, name: str) -> Column:
@@ -184,7 +186,7 @@ def _scan(rows: DataFrame, keys: Sequence[str], carried: bool, settings: Setting
         .when(stops, STOPPED)
         .when(~F.col("_in_limit"), TIMED_OUT)
     )
-    ending = inherit(F.last("_event", ignorenulls=True).over(after), "carry_ending")
+    ending = inherit(_next_known("_event").over(steps), "carry_ending")
     outcome = (
         F.when(is_start & ~F.col("_real"), SERVICE)
         .when(stops, STOPPED)

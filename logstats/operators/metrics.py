@@ -6,6 +6,7 @@ report in ``logstats.plans`` gets the same numbers from two aggregations.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -252,12 +253,7 @@ def cumulative_ipte(report: DataFrame) -> DataFrame:
     )
 
 
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
+def stage_counts(*counts: DataFrame) -> DataFrame:
     """(stage, n) from one-row frames whose columns are stage names."""
-    parts = [
-        frame.unpivot([], list(frame.columns), "stage", "n") for frame in stages.values()
-    ]
-    counted = parts[0]
-    for part in parts[1:]:
-        counted = counted.unionByName(part)
-    return counted
+    parts = [frame.unpivot([], list(frame.columns), "stage", "n") for frame in counts]
+    return functools.reduce(DataFrame.unionByName, parts)

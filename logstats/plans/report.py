@@ -147,13 +147,20 @@ def report_stage_counts(
         F.count(F.lit(1)).alias("deduplicated"),
         count_rows_where(complete).alias("complete"),
     )
-    key = ("system_id", "sw_rev", "code", "time_seq")
-    of_events = events.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("in_exams"),
-        F.count(F.lit(1)).alias("events_deduplicated"),
+    # One row per event, as ``dedup_events`` leaves it, with the number of its copies.
+    survivor = F.struct("exam_start", *ORDER, "exam_id", "config")
+    unique = events.groupBy("system_id", "sw_rev", "code", "time_seq").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(survivor).alias("_row")
+    )
+    of_exams = unique.groupBy("system_id", "sw_rev", "_row.config", "_row.exam_id").agg(
+        F.sum("_n").alias("_n"),
+        F.count(F.lit(1)).alias("_unique"),
+        (F.max("_row.tick") - F.min("_row.tick")).alias("_seconds"),
     )
-    unique = cleaning.dedup_events(events)
-    of_exams = metrics.duration_stats(unique, settings).select(
-        F.col("long_rows").alias("in_long_exams")
+    long = F.when(F.col("_seconds") >= settings.min_exam_s, F.col("_unique"))
+    of_events = of_exams.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("in_exams"),
+        F.coalesce(F.sum("_unique"), F.lit(0)).alias("events_deduplicated"),
+        F.coalesce(F.sum(long), F.lit(0)).alias("in_long_exams"),
     )
-    return metrics.stage_counts({"log": of_log, "events": of_events, "exams": of_exams})
+    return metrics.stage_counts(of_log, of_events)
