@@ -89,11 +89,11 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         F.col("event_id").alias("event_key"),
         F.concat(F.lit("tar"), (F.col("event_id") % 5).cast("string")).alias("file_name"),
-        F.date_format(F.col("ts"), "HH:mm:ss").alias("log_local_ts"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("log_message_ts"),
+        F.substring(F.col("ts").cast("string"), 12, 8).alias("log_local_ts"),
+        F.substring(F.col("ts").cast("string"), 1, 19).alias("log_message_ts"),
         F.col("props").alias("msg_text"),
         F.col("event_type").alias("source"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd").alias("msg_date"),
+        F.col("ts").cast("date").cast("string").alias("msg_date"),
     )
 
 
@@ -115,7 +115,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tag": F.when(key % 9 != 0, F.lit("t")),
         "time_seq": F.when(key % 17 == 0, F.lit("bad")).otherwise(_epoch_text()),
         "seq_num": key.cast("string"),
-        "msg_date": F.date_format(F.col("ts"), "yyyy-MM-dd"),
+        "msg_date": F.col("ts").cast("date").cast("string"),
     }
     names = schemas.MACHINE_LOG.names
     log = events.select(*(values.get(name, F.lit("x")).alias(name) for name in names))
