@@ -228,11 +228,12 @@ def cut_exams(
     split = split_groups(
         rows, UNIT, ORDER, settings.max_group_rows, TASK_KEYS, counted=relevant, bounded=bounded
     )
+    whole = _scan(split.rows.repartition(*TASK_KEYS), UNIT, False, settings)
     if split.hot is None:
-        return _scan(split.rows.repartition(*TASK_KEYS), split.keys, False, settings)
-    carries = _chunk_carries(split.hot, settings)
-    inherited = split.rows.join(carries, list(split.keys), "left")
-    return _scan(inherited, split.keys, True, settings)
+        return whole
+    keys = [*UNIT, CHUNK]
+    inherited = split.hot.join(_chunk_carries(split.hot, settings), keys)
+    return whole.unionByName(_scan(inherited, keys, True, settings))
 
 
 def exam_segments(

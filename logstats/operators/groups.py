@@ -99,10 +99,9 @@ def checkpointed(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SplitRows:
-    """Rows to scan per ``keys``; ``hot`` are those of cut groups, or None."""
+    """Rows of bounded groups, and those of large groups with their chunk, or None."""
 
     rows: DataFrame
-    keys: tuple[str, ...]
     hot: DataFrame | None
 
 
@@ -128,12 +127,12 @@ def split_groups(
     evaluation could sample other range bounds. Rows with a null key are not cut.
     """
     if bounded:
-        return SplitRows(rows, tuple(keys), None)
+        return SplitRows(rows, None)
     shared = list(task_keys or keys)
     large = _large_groups(rows if counted is None else counted, shared, max_rows)
     found = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).head()
     if found["groups"] == 0:
-        return SplitRows(rows, tuple(keys), None)
+        return SplitRows(rows, None)
 
     # At most (all rows / max_rows) groups are large, which bounds the broadcast.
     marks = F.broadcast(checkpointed(large.select(*shared)))
@@ -143,8 +142,7 @@ def split_groups(
         .repartitionByRange(chunks, *keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
     )
-    rest = rows.join(marks, shared, "left_anti").withColumn(CHUNK, F.lit(-1))
-    return SplitRows(rest.unionByName(hot), (*keys, CHUNK), hot)
+    return SplitRows(rows.join(marks, shared, "left_anti"), hot)
 
 
 def running_total(
@@ -158,23 +156,28 @@ def running_total(
 ) -> DataFrame:
     """Sum of ``value`` from the start of the group up to and with each row."""
     split = split_groups(rows, keys, order, max_rows, bounded=bounded)
-    up_to = Window.partitionBy(*split.keys).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    local = split.rows.withColumn(result, F.sum(value).over(up_to))
+
+    def totals(part: DataFrame, part_keys: Sequence[str]) -> DataFrame:
+        steps = Window.partitionBy(*part_keys).orderBy(*order)
+        up_to = steps.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return part.withColumn(result, F.sum(value).over(up_to))
+
+    whole = totals(split.rows, keys)
     if split.hot is None:
-        return local
+        return whole
+    chunk_keys = [*keys, CHUNK]
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        split.hot.groupBy(*split.keys)
+        split.hot.groupBy(*chunk_keys)
         .agg(F.sum(value).alias("_total"))
-        .select(*split.keys, F.sum("_total").over(earlier).alias("_carried"))
+        .select(*chunk_keys, F.sum("_total").over(earlier).alias("_carried"))
     )
-    return (
-        local.join(carried, list(split.keys), "left")
+    chunks = (
+        totals(split.hot, chunk_keys)
+        .join(carried, chunk_keys)
         .withColumn(result, F.col(result) + F.coalesce("_carried", F.lit(0)))
-        .drop("_carried", CHUNK)
     )
+    return whole.unionByName(chunks.drop("_carried", CHUNK))
 
 
 def lagged(
@@ -188,19 +191,20 @@ def lagged(
 ) -> DataFrame:
     """``value`` of the row before, in the order of the group."""
     split = split_groups(rows, keys, order, max_rows, bounded=bounded)
-    steps = Window.partitionBy(*split.keys).orderBy(*order)
-    local = split.rows.withColumn(result, F.lag(value).over(steps))
+    before = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))
+    whole = split.rows.withColumn(result, before)
     if split.hot is None:
-        return local
-    local = local.withColumn("_first", F.row_number().over(steps) == 1)
+        return whole
+    chunk_keys = [*keys, CHUNK]
+    steps = Window.partitionBy(*chunk_keys).orderBy(*order)
     chunk_steps = Window.partitionBy(*keys).orderBy(CHUNK)
     carried = (
-        split.hot.groupBy(*split.keys)
+        split.hot.groupBy(*chunk_keys)
         .agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
-        .select(*split.keys, F.lag("_last").over(chunk_steps).getField(value).alias("_carried"))
+        .select(*chunk_keys, F.lag("_last").over(chunk_steps).getField(value).alias("_carried"))
     )
-    return (
-        local.join(carried, list(split.keys), "left")
-        .withColumn(result, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(result)))
-        .drop("_first", "_carried", CHUNK)
+    first = F.row_number().over(steps) == 1
+    chunks = split.hot.join(carried, chunk_keys).withColumn(
+        result, F.when(first, F.col("_carried")).otherwise(F.lag(value).over(steps))
     )
+    return whole.unionByName(chunks.drop("_carried", CHUNK))
