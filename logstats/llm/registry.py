@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from logstats.llm import mixing, sharding
+from logstats.llm import mixing, sharding, urls, warc
 
 QUERIES = {
     "op2_systematic_mix": mixing.op2_systematic_mix,
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
+    "op7_url_models": urls.op7_url_models,
+    "op10_zip_warc": warc.op10_zip_warc,
 }
-ORACLES = {"op2_systematic_mix": mixing.ORACLE}
+ORACLES = {"op2_systematic_mix": mixing.ORACLE, "op10_zip_warc": warc.ORACLE}
