@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from logstats.llm import mixing, sharding, urls, warc
+from logstats.llm import hamming_search, language, mixing, sharding, urls, warc
 
 QUERIES = {
     "op2_systematic_mix": mixing.op2_systematic_mix,
+    "op3_hamming_top_k": hamming_search.op3_hamming_top_k,
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
+    "op6_rank_order": language.op6_rank_order,
     "op7_url_models": urls.op7_url_models,
     "op10_zip_warc": warc.op10_zip_warc,
 }
-ORACLES = {"op2_systematic_mix": mixing.ORACLE, "op10_zip_warc": warc.ORACLE}
+ORACLES = {
+    "op2_systematic_mix": mixing.ORACLE,
+    "op3_hamming_top_k": hamming_search.ORACLE,
+    "op10_zip_warc": warc.ORACLE,
+}
