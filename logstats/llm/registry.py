@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logstats.llm import hamming_search, language, mixing, sharding, urls, warc
+from logstats.llm import hamming_search, jaccard_join, language, mixing, sharding, urls, warc
 
 QUERIES = {
     "op2_systematic_mix": mixing.op2_systematic_mix,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
     "op6_rank_order": language.op6_rank_order,
     "op7_url_models": urls.op7_url_models,
+    "op9_size_aware_join": jaccard_join.op9_size_aware_join,
     "op10_zip_warc": warc.op10_zip_warc,
 }
 ORACLES = {
