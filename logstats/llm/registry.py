@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from logstats.llm import hamming_search, jaccard_join, language, mixing, sharding, urls, warc
+from logstats.llm import decontamination, hamming_search, jaccard_join, language, mixing, sharding, urls, warc
 
 QUERIES = {
     "op2_systematic_mix": mixing.op2_systematic_mix,
     "op3_hamming_top_k": hamming_search.op3_hamming_top_k,
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
+    "op5_simhash_leaks": decontamination.op5_simhash_leaks,
     "op6_rank_order": language.op6_rank_order,
     "op7_url_models": urls.op7_url_models,
     "op9_size_aware_join": jaccard_join.op9_size_aware_join,
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLES = {
     "op2_systematic_mix": mixing.ORACLE,
     "op3_hamming_top_k": hamming_search.ORACLE,
+    "op5_simhash_leaks": decontamination.ORACLE,
     "op10_zip_warc": warc.ORACLE,
 }
