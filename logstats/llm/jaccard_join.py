@@ -46,8 +46,10 @@ THRESHOLD = 75
 SLOT_BITS = 20
 # Shingles seen less often in all are taken as rare.
 LEAST_FREQUENT = 8
+# Sets above this have over 150 subsets each and count as large in any case.
+LARGEST_SMALL = 64
 # A candidate pair costs as much as so many keys.
-PAIR_COST = 4.0
+PAIR_COST = 30.0
 # Rounds of comparing with one member before all pairs across components are compared,
 # and the number of such pairs for each list entry that makes further rounds needless.
 STAR_ROUNDS = 6
@@ -66,6 +68,35 @@ def _size_bin(n: int) -> int:
     return int(8 * math.log2(n))
 
 
+def _subset_keys(ordered: np.ndarray) -> np.ndarray:
+    """Keys of all two-element subsets."""
+    i, j = np.triu_indices(len(ordered), 1)
+    return mixed(ordered[i] * _FIRST + ordered[j] * _SECOND)
+
+
+def _costs(sets: list[np.ndarray], tokens: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+    """By size of set, what its keys and the pairs they lead to cost in these sets, as
+    subsets and as lists."""
+    if not sets:
+        return pd.DataFrame({"kind": [], "at": [], "n": [], "more": []})
+    lists, subsets = [], []
+    for one in sets:
+        length = len(one) - least_overlap(len(one)) + 2
+        ordered = one[np.argsort(counts[np.searchsorted(tokens, one)], kind="stable")[:length]]
+        lists.append(ordered[:-1])
+        subsets.append(_subset_keys(ordered))
+    bins = np.array([_size_bin(len(one)) for one in sets])
+
+    def cost(keys: list[np.ndarray]) -> np.ndarray:
+        _, place, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        owner = np.repeat(bins, [len(k) for k in keys])
+        return np.bincount(owner, weights=1 + PAIR_COST * (times[place] - 1))
+
+    by_lists, by_subsets = cost(lists), cost(subsets)
+    found = np.unique(bins)
+    return pd.DataFrame({"kind": 1, "at": found, "n": by_subsets[found], "more": by_lists[found]})
+
+
 def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per batch: how often frequent shingles occur, and both costs by size of set."""
     for batch in batches:
@@ -77,17 +108,7 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(
             {"kind": 0, "at": tokens[frequent].astype(np.int64), "n": counts[frequent].astype(float), "more": 0.0}
         )
-        costs: dict[int, list[float]] = {}
-        for one in sets:
-            n = len(one)
-            prefix = n - least_overlap(n) + 1
-            length = float(counts[np.searchsorted(tokens, one)].mean())
-            cost = costs.setdefault(_size_bin(n), [0.0, 0.0])
-            cost[0] += (prefix + 1) * prefix / 2
-            cost[1] += prefix * (1 + PAIR_COST * (length - 1))
-        yield pd.DataFrame(
-            [(1, size, *cost) for size, cost in costs.items()], columns=["kind", "at", "n", "more"]
-        )
+        yield _costs([one for one in sets if len(one) <= LARGEST_SMALL], tokens, counts)
 
 
 def survey(docs: DataFrame) -> tuple[np.ndarray, int]:
@@ -110,7 +131,7 @@ def survey(docs: DataFrame) -> tuple[np.ndarray, int]:
     total = best
     for size, subsets, scan in costs:
         total += subsets - scan
-        if total < best:
+        if total <= best:
             best, boundary = total, math.ceil(2 ** ((size + 1) / 8)) - 1
     return classes, boundary
 
@@ -124,8 +145,7 @@ def set_keys(one: np.ndarray, classes: np.ndarray, boundary: int) -> np.ndarray:
     ordered = one[np.argsort(classes[(one & _SLOTS).astype(np.int64)], kind="stable")[:length]]
     keys = []
     if n <= boundary:
-        i, j = np.triu_indices(length, 1)
-        keys.append(mixed(ordered[i] * _FIRST + ordered[j] * _SECOND))
+        keys.append(_subset_keys(ordered))
     if n > boundary or 100 * n >= THRESHOLD * (boundary + 1):
         keys.append(ordered[:-1])
     return np.concatenate(keys)
