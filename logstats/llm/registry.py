@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logstats.llm import decontamination, hamming_search, jaccard_join, language, mixing, sharding, urls, warc
+from logstats.llm import decontamination, hamming_search, jaccard_join, language, mixing, pii, sharding, urls, warc
 
 QUERIES = {
     "op2_systematic_mix": mixing.op2_systematic_mix,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_simhash_leaks": decontamination.op5_simhash_leaks,
     "op6_rank_order": language.op6_rank_order,
     "op7_url_models": urls.op7_url_models,
+    "op8_surrogates": pii.op8_surrogates,
     "op9_size_aware_join": jaccard_join.op9_size_aware_join,
     "op10_zip_warc": warc.op10_zip_warc,
 }
