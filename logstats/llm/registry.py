@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from logstats.llm import decontamination, hamming_search, jaccard_join, language, mixing, pii, sharding, urls, warc
+from logstats.llm import decontamination, hamming_search, jaccard_join, language, mixing, pii, sharding, urls, warc, wrappers
 
 QUERIES = {
+    "op1_wrapper_text": wrappers.op1_wrapper_text,
     "op2_systematic_mix": mixing.op2_systematic_mix,
     "op3_hamming_top_k": hamming_search.op3_hamming_top_k,
     "op4_hilbert_shards": sharding.op4_hilbert_shards,
