@@ -214,7 +214,8 @@ def _host_trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(held) >= HELD_TREES:
                 yield _tree_rows(held)
                 held = {}
-    yield _tree_rows(held)
+    if held:
+        yield _tree_rows(held)
 
 
 def _tree_rows(held: dict[str, list]) -> pd.DataFrame:
@@ -234,7 +235,8 @@ def _merge_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if key:
                     rows.append((key[0], json.dumps(pruned(tree))))
                 key, tree = (host, part), json.loads(text)
-        yield pd.DataFrame(rows, columns=["host", "tree"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["host", "tree"])
     if key:
         yield pd.DataFrame([(key[0], json.dumps(pruned(tree)))], columns=["host", "tree"])
 
@@ -256,7 +258,8 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def rules(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: json.dumps(wrapper(json.loads(text))))
+        found = [json.dumps(wrapper(json.loads(text))) for text in texts]
+        return pd.Series(found, index=texts.index, dtype=object)
 
     return trees.select("host", rules("tree").alias("rule"))
 
@@ -283,7 +286,8 @@ def extract_main_text(pages: DataFrame, page: str = "html", url: str = "url") ->
                 known[rule] = json.loads(rule)
             return main_text(text, known.get(rule))
 
-        return pd.Series([extract(*both) for both in zip(texts, rules_of, strict=True)], dtype=object)
+        found = [extract(*both) for both in zip(texts, rules_of, strict=True)]
+        return pd.Series(found, index=texts.index, dtype=object)
 
     joined = rows.join(rules, F.col(host) == F.col("_of"), "left")
     return (
