@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from logstats import schemas
 from logstats.checks.queries import FIRST_DAY, LAST_DAY
-from logstats.checks.views import CODE_ROWS, WEIGHT_ROWS
+from logstats.checks.views import CODE_ROWS, TICK_TEXTS, WEIGHT_ROWS
 
 _CODE = """CASE WHEN event_type = 'signup' THEN 'START' WHEN event_type = 'purchase' THEN 'STOP'
     WHEN event_type = 'view' THEN 'MON' WHEN event_type = 'click' THEN 'SVC'
@@ -214,24 +214,47 @@ _CATEGORIES = """categories AS (
         WHERE description LIKE '%Non Service Exam%'
 )"""
 
+_TEXTS = ", ".join(f"'{text}'" for text in TICK_TEXTS)
 _PLACE = "system_id, exam_id, event_key"
 _RECORD = """system_id, sw_rev, file_name, log_local_ts, log_message_ts, code, exam_id, time_seq,
     source, 'psd' AS psd, 'coil' AS coil, 'scan' AS scan, config, msg_text, event_key"""
 
 ORACLES: dict[str, str] = {
     "scan_machine_log": _raw("SELECT * FROM raw"),
-    "scan_system_list": f"WITH {_LISTED} FROM listed UNION ALL FROM listed",
+    "scan_system_list": "SELECT CAST(c_custkey AS VARCHAR) AS sysid FROM customer",
     "scan_level_weights": """SELECT DISTINCT 'L' || CAST(p_size AS VARCHAR) AS level,
         CAST(p_size % 10 AS VARCHAR) || '.5' AS wt FROM part""",
     "scan_code_actions": f"WITH {_PARTS} SELECT error_code, description, action, level FROM parts",
     "report_roundtrip": _exams(_ROUNDED_REPORT),
     "run_report": f"""WITH {_CODES}, {_RAW}, {_LISTED}, {_PREPARED},
         chosen AS ({_FROM_FILES}),{_cut("chosen")}\n{_TOTALS}""",
+    "run_diagnostics": f"""WITH {_CODES}, {_RAW}, {_LISTED}, {_PREPARED},
+        chosen AS ({_FROM_FILES}),{_cut("chosen")}
+        SELECT 'staged' AS stage, count(*) AS n FROM prepared
+            WHERE msg_date BETWEEN '{FIRST_DAY}' AND '{LAST_DAY}' AND system_id IN (FROM listed)
+        UNION ALL SELECT 'in_exams', count(*) FROM kept
+        UNION ALL SELECT 'num_exams', count(DISTINCT exam_id) FROM final
+        UNION ALL SELECT 'num_systems', count(DISTINCT system_id) FROM final
+        UNION ALL SELECT 'shutdown_rows', count(*) FROM final WHERE code = 'SHUT'
+        UNION ALL SELECT 'crash_rows', count(*) FROM final WHERE code = 'CRASH'
+        UNION ALL SELECT 'weight_one_rows', count(*) FROM final WHERE mebef_wt = 1
+        UNION ALL SELECT 'short_rows', count(*) FROM timed WHERE exam_dur_sec < 180
+        UNION ALL SELECT 'long_rows', count(*) FROM timed WHERE exam_dur_sec >= 180
+        UNION ALL SELECT 'all_rows', count(*) FROM timed
+        UNION ALL SELECT 'short_exams', count(DISTINCT exam_id) FROM timed WHERE exam_dur_sec < 180
+        UNION ALL SELECT 'long_exams', count(DISTINCT exam_id) FROM timed WHERE exam_dur_sec >= 180
+        UNION ALL SELECT 'all_exams', count(DISTINCT exam_id) FROM timed""",
     "drop_columns": _raw("SELECT * EXCLUDE (dummy, tarfilename) FROM raw"),
     "filter_dates": _log(
         f"""SELECT system_id, event_key, msg_date FROM log
         WHERE msg_date >= '{FIRST_DAY}' AND msg_date <= '{LAST_DAY}'"""
     ),
+    "filter_dates_open": _log(
+        f"""SELECT 'early' AS part, system_id, event_key, msg_date FROM log
+        WHERE msg_date <= '{FIRST_DAY}'
+        UNION ALL SELECT 'late', system_id, event_key, msg_date FROM log
+        WHERE msg_date >= '{LAST_DAY}'"""
+    ),
     "filter_dates_literal": _log("SELECT system_id, event_key, msg_date FROM log"),
     "filter_systems": f"""WITH {_RAW}, {_LISTED}
         SELECT tar_systemid, seq_num, msg_code FROM raw WHERE tar_systemid IN (FROM listed)""",
@@ -271,6 +294,11 @@ ORACLES: dict[str, str] = {
     "code_catalog": f"""WITH {_PARTS}, {_CATEGORIES}
         SELECT category, string_agg(error_code, ',' ORDER BY error_code) AS error_codes
         FROM categories GROUP BY category""",
+    "code_catalog_blocks": f"""WITH {_PARTS}, {_CATEGORIES}, numbered AS (
+            SELECT *, CAST((row_number() OVER (PARTITION BY category ORDER BY error_code) - 1) // 50
+                AS INTEGER) AS block FROM categories)
+        SELECT category, block, string_agg(error_code, ',' ORDER BY error_code) AS error_codes
+        FROM numbered GROUP BY category, block""",
     "code_roles": f"""WITH {_PARTS}
         SELECT error_code AS code, bool_or(action = 'Start') AS is_start,
             bool_or(action IN ('Stop', 'Disable')) AS is_stop,
@@ -288,10 +316,15 @@ ORACLES: dict[str, str] = {
             END AS DOUBLE) AS mebef_wt
         FROM kept JOIN codes ON error_code = code"""
     ),
-    "parse_ticks": _raw(
-        """SELECT seq_num, time_seq, TRY_CAST(time_seq AS DOUBLE) AS tick FROM raw
-        WHERE TRY_CAST(time_seq AS DOUBLE) IS NOT NULL"""
-    ),
+    "parse_ticks": f"""WITH {_RAW}, texts AS (
+            SELECT seq_num, coalesce([{_TEXTS}][CAST(seq_num AS BIGINT) % 29 + 1], time_seq)
+                AS time_seq FROM raw
+        ), ticks AS (
+            SELECT *, TRY_CAST(regexp_replace(time_seq, '[\\s+]*', '') AS DOUBLE) AS tick FROM texts
+            WHERE regexp_full_match(time_seq,
+                '\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*')
+        )
+        SELECT * FROM ticks WHERE isfinite(tick)""",
     "service_starts": _exams(
         f"""SELECT {_UNIT}, exam_id, start_event, exam_start FROM segments
         WHERE outcome = 'service'"""
@@ -328,7 +361,7 @@ ORACLES: dict[str, str] = {
     "ipte_rate": _log(
         """SELECT *, round(1000 * CAST(crashes AS DOUBLE) / nullif(starts, 0), 6) AS rate FROM (
             SELECT system_id, count(*) FILTER (WHERE code = 'CRASH') AS crashes,
-                count(*) FILTER (WHERE code = 'START' AND event_key % 3 = 0) AS starts
+                count(*) FILTER (WHERE code = 'START') AS starts
             FROM log GROUP BY system_id)"""
     ),
     "exam_duration": _exams(
@@ -446,6 +479,23 @@ ORACLES: dict[str, str] = {
         FROM totals WHERE nth = 1"""
     ),
     "cumulative_ipte": _exams(_TOTALS),
+    "running_total_nulls": _log(
+        """SELECT machine, tick, event_key, value, CAST(sum(value) OVER (
+            PARTITION BY machine ORDER BY tick, event_key ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
+        FROM (SELECT *, CASE WHEN event_key % 5 <> 0 THEN system_id END AS machine,
+            CASE WHEN event_key % 3 <> 0 THEN event_key % 7 END AS value FROM log)"""
+    ),
 }
 ORACLES["stepwise_report"] = ORACLES["machine_report"]
 ORACLES["stepwise_report_literal"] = ORACLES["machine_report_literal"]
+# Machines cut into chunks give what whole machines give.
+for _name in (
+    "run_report",
+    "exam_segments",
+    "exam_events",
+    "machine_report",
+    "time_lag",
+    "additional_stats_literal",
+    "stepwise_report",
+):
+    ORACLES[f"{_name}_chunked"] = ORACLES[_name]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from logstats.checks import views
 from logstats.checks.views import SETTINGS
 from logstats.functions import event_day, ipte_rate, parse_tick, sevone
 from logstats.operators import catalog, cleaning, exams, incidents, metrics
-from logstats.operators.groups import scratch_path
+from logstats.operators.groups import Bounded, running_total
 from logstats.plans import (
     final_events,
     machine_report,
@@ -21,11 +21,15 @@ from logstats.plans import (
     run_report,
     stepwise_report,
 )
+from logstats.scratch import checkpointed, scratch_folder
 from logstats.settings import EXAM, UNIT, Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# The same rules with groups of a few rows, so that machines are cut into chunks.
+CHUNKED = replace(SETTINGS, max_group_rows=20)
+
 FIRST_DAY, LAST_DAY = "2024-01-05", "2024-01-20"
 PLACE = ("system_id", "exam_id", "event_key")
 
@@ -45,9 +49,11 @@ def rounded(name: str) -> Column:
 # Frames the queries start from. Each checks the size of its groups once, on the log.
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Settings, bool]:
+def _inputs(
+    spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS
+) -> tuple[DataFrame, DataFrame, Settings, Bounded]:
     log, codes = views.event_log(spark, sf_dir), views.code_actions(spark)
-    return log, codes, SETTINGS, exams.log_bounded(log, codes, SETTINGS)
+    return log, codes, settings, exams.log_bounded(log, codes, settings)
 
 
 @dataclass(frozen=True)
@@ -55,7 +61,7 @@ class Sized:
     """Rows and whether their groups are bounded."""
 
     rows: DataFrame
-    bounded: bool
+    bounded: Bounded
 
     def then(self, step: Callable[..., DataFrame], *args: object) -> Sized:
         return Sized(step(self.rows, *args), self.bounded)
@@ -64,13 +70,13 @@ class Sized:
         return Sized(step(self.rows, *args, bounded=self.bounded), self.bounded)
 
 
-def _cut(spark: SparkSession, sf_dir: str) -> Sized:
-    log, codes, settings, bounded = _inputs(spark, sf_dir)
+def _cut(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> Sized:
+    log, codes, settings, bounded = _inputs(spark, sf_dir, settings)
     return Sized(exams.exam_events(log, codes, settings, bounded), bounded)
 
 
-def _final(spark: SparkSession, sf_dir: str) -> Sized:
-    log, codes, settings, bounded = _inputs(spark, sf_dir)
+def _final(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> Sized:
+    log, codes, settings, bounded = _inputs(spark, sf_dir, settings)
     weights = views.level_weights(spark)
     return Sized(final_events(log, codes, weights, settings, bounded), bounded)
 
@@ -107,61 +113,88 @@ def _rounded_report(report: DataFrame) -> DataFrame:
     )
 
 
-def _written(frame: DataFrame, name: str, **options: object) -> str:
-    """The frame as CSV in the scratch folder, blanks kept."""
-    path = scratch_path(frame.sparkSession, name)
+def _written(frame: DataFrame, folder: str, name: str, **options: object) -> str:
+    """The frame as CSV in a folder, blanks kept."""
+    path = f"{folder}/{name}"
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     frame.write.options(**blanks, **options).csv(path)
     return path
 
 
-# Sources and sinks.
+# Sources and sinks: files are written, read back, and removed.
 
 
 @query("scan_machine_log")
 def scan_machine_log(spark, sf_dir):
-    path = _written(views.raw_log(spark, sf_dir), "machine_log", quote="~")
-    return sources.read_machine_log(spark, path)
+    with scratch_folder(spark, "files") as folder:
+        path = _written(views.raw_log(spark, sf_dir), folder, "machine_log", quote="~")
+        return checkpointed(sources.read_machine_log(spark, path))
 
 
 @query("scan_system_list")
 def scan_system_list(spark, sf_dir):
-    path = _written(views.customer_systems(spark, sf_dir), "system_list")
-    return sources.read_system_list(spark, path)
+    with scratch_folder(spark, "files") as folder:
+        path = _written(views.all_systems(spark, sf_dir), folder, "system_list")
+        return checkpointed(sources.read_system_list(spark, path))
 
 
 @query("scan_level_weights")
 def scan_level_weights(spark, sf_dir):
-    path = _written(views.part_level_weights(spark, sf_dir), "level_weights", header=True)
-    return sources.read_level_weights(spark, path)
+    with scratch_folder(spark, "files") as folder:
+        weights = views.part_level_weights(spark, sf_dir)
+        path = _written(weights, folder, "level_weights", header=True)
+        return checkpointed(sources.read_level_weights(spark, path))
 
 
 @query("scan_code_actions")
 def scan_code_actions(spark, sf_dir):
-    path = _written(views.part_code_actions(spark, sf_dir), "code_actions", header=True)
-    return sources.read_code_actions(spark, path)
+    with scratch_folder(spark, "files") as folder:
+        codes = views.part_code_actions(spark, sf_dir)
+        path = _written(codes, folder, "code_actions", header=True)
+        return checkpointed(sources.read_code_actions(spark, path))
 
 
 @query("report_roundtrip")
 def report_roundtrip(spark, sf_dir):
-    target = scratch_path(spark, "report")
-    written = sources.write_report(_report(spark, sf_dir), target, "_2024-01-31")
-    return _rounded_report(sources.read_report(spark, written))
+    with scratch_folder(spark, "files") as folder:
+        written = sources.write_report(_report(spark, sf_dir), f"{folder}/report", "_2024-01-31")
+        return checkpointed(_rounded_report(sources.read_report(spark, written)))
 
 
-@query("run_report")
-def run_report_from_files(spark, sf_dir):
+def _job(spark: SparkSession, sf_dir: str, folder: str, **options: object) -> DataFrame:
     return run_report(
         spark,
-        log_path=_written(views.raw_log(spark, sf_dir), "machine_log", quote="~"),
-        level_weights_path=_written(views.level_weights(spark), "level_weights", header=True),
-        code_actions_path=_written(views.code_actions(spark), "code_actions", header=True),
-        report_path=scratch_path(spark, "report"),
-        system_list_path=_written(views.customer_systems(spark, sf_dir), "system_list"),
+        log_path=_written(views.raw_log(spark, sf_dir), folder, "machine_log", quote="~"),
+        level_weights_path=_written(views.level_weights(spark), folder, "weights", header=True),
+        code_actions_path=_written(views.code_actions(spark), folder, "codes", header=True),
+        report_path=f"{folder}/report",
+        system_list_path=_written(views.customer_systems(spark, sf_dir), folder, "systems"),
         start_date=FIRST_DAY,
         end_date=LAST_DAY,
-        settings=SETTINGS,
-    ).withColumn("cum_ipte", F.round("cum_ipte", 6))
+        **options,
+    )
+
+
+@query("run_report")
+def run_report_from_files(spark, sf_dir):
+    with scratch_folder(spark, "files") as folder:
+        totals = _job(spark, sf_dir, folder, settings=SETTINGS)
+        return checkpointed(totals.withColumn("cum_ipte", F.round("cum_ipte", 6)))
+
+
+@query("run_report_chunked")
+def run_report_chunked(spark, sf_dir):
+    with scratch_folder(spark, "files") as folder:
+        totals = _job(spark, sf_dir, folder, settings=CHUNKED)
+        return checkpointed(totals.withColumn("cum_ipte", F.round("cum_ipte", 6)))
+
+
+@query("run_diagnostics")
+def run_diagnostics(spark, sf_dir):
+    with scratch_folder(spark, "files") as folder:
+        _job(spark, sf_dir, folder, settings=SETTINGS, metrics_path=f"{folder}/metrics")
+        written = spark.read.schema("stage string, n bigint").csv(f"{folder}/metrics.csv", header=True)
+        return checkpointed(written)
 
 
 # Cleaning.
@@ -178,6 +211,14 @@ def filter_dates(spark, sf_dir):
     return log.select("system_id", "event_key", "msg_date")
 
 
+@query("filter_dates_open")
+def filter_dates_open(spark, sf_dir):
+    log = views.event_log(spark, sf_dir)
+    early = cleaning.filter_dates(log, None, FIRST_DAY).withColumn("part", F.lit("early"))
+    late = cleaning.filter_dates(log, LAST_DAY, None).withColumn("part", F.lit("late"))
+    return early.unionByName(late).select("part", "system_id", "event_key", "msg_date")
+
+
 @query("filter_dates_literal")
 def filter_dates_literal(spark, sf_dir):
     log = views.event_log(spark, sf_dir)
@@ -267,6 +308,13 @@ def code_catalog(spark, sf_dir):
     return packed.select("category", F.array_join("error_codes", ",").alias("error_codes"))
 
 
+@query("code_catalog_blocks")
+def code_catalog_blocks(spark, sf_dir):
+    packed = catalog.code_catalog_blocks(views.part_code_actions(spark, sf_dir), 50)
+    codes = F.array_join("error_codes", ",").alias("error_codes")
+    return packed.select("category", "block", codes)
+
+
 @query("code_roles")
 def code_roles(spark, sf_dir):
     return catalog.code_roles(views.part_code_actions(spark, sf_dir))
@@ -290,7 +338,7 @@ def attach_weight(spark, sf_dir):
 
 @query("parse_ticks")
 def parse_ticks(spark, sf_dir):
-    log = views.raw_log(spark, sf_dir)
+    log = views.tick_texts(spark, sf_dir)
     ticks = log.select("seq_num", "time_seq", parse_tick(F.col("time_seq")).alias("tick"))
     return ticks.filter("tick is not null")
 
@@ -364,7 +412,7 @@ def sevone_literal(spark, sf_dir):
 def rate_per_system(spark, sf_dir):
     counts = views.event_log(spark, sf_dir).groupBy("system_id").agg(
         F.count_if(F.col("code") == "CRASH").alias("crashes"),
-        F.count_if((F.col("code") == "START") & (F.col("event_key") % 3 == 0)).alias("starts"),
+        F.count_if(F.col("code") == "START").alias("starts"),
     )
     return counts.withColumn("rate", F.round(ipte_rate(F.col("crashes"), F.col("starts")), 6))
 
@@ -493,6 +541,56 @@ def top_row_per_machine(spark, sf_dir):
     return top.select(*UNIT, "event_key", "ipte_severity", "row_num")
 
 
+# Machines cut into chunks: the same rows as without.
+
+
+@query("exam_segments_chunked")
+def exam_segments_chunked(spark, sf_dir):
+    log, codes = views.event_log(spark, sf_dir), views.code_actions(spark)
+    return exams.exam_segments(log, codes, CHUNKED)
+
+
+@query("exam_events_chunked")
+def exam_events_chunked(spark, sf_dir):
+    return _cut(spark, sf_dir, CHUNKED).rows.drop("tick", "seq")
+
+
+@query("machine_report_chunked")
+def machine_report_chunked(spark, sf_dir):
+    log, codes = views.event_log(spark, sf_dir), views.code_actions(spark)
+    return _rounded_report(machine_report(log, codes, views.level_weights(spark), CHUNKED))
+
+
+@query("time_lag_chunked")
+def time_lag_chunked(spark, sf_dir):
+    cut = _cut(spark, sf_dir, CHUNKED)
+    lagged = Sized(checkpointed(cut.rows), cut.bounded).then_grouped(metrics.time_lag, CHUNKED)
+    return lagged.rows.select(*PLACE, "tick", "time_seq_lag")
+
+
+@query("additional_stats_literal_chunked")
+def additional_stats_literal_chunked(spark, sf_dir):
+    long = _long(spark, sf_dir).rows
+    rows = metrics.additional_stats(checkpointed(long), CHUNKED, "literal")
+    return rows.select(*PLACE, "num_tps_resets", "time_seq_min", "time_seq_max")
+
+
+@query("stepwise_report_chunked")
+def report_by_steps_chunked(spark, sf_dir):
+    return _rounded_report(_final(spark, sf_dir, CHUNKED).then_grouped(stepwise_report, CHUNKED).rows)
+
+
+@query("running_total_nulls")
+def running_total_nulls(spark, sf_dir):
+    """Values of some rows and keys of some machines are null."""
+    value = F.when(F.col("event_key") % 3 != 0, F.col("event_key") % 7)
+    machine = F.when(F.col("event_key") % 5 != 0, F.col("system_id"))
+    log = views.event_log(spark, sf_dir).select(
+        machine.alias("machine"), "tick", "event_key", value.alias("value")
+    )
+    return running_total(log, ["machine"], ["tick", "event_key"], "value", "total", 7)
+
+
 # Aggregations.
 
 

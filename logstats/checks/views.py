@@ -122,6 +122,21 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.unionByName(log.filter(F.col("seq_num").cast("bigint") % 10 == 0))
 
 
+# Texts that a tick may look like, by the event's number; the rest are proper ticks.
+TICK_TEXTS = (
+    "0x1p3", "1.5d\t", "1.5d\n", "2.5f", "1e3", "+5", ".5", "5.", "  7 ", " 8\t", "", "  ", "nan",
+    "inf", "-Infinity", "1e999", "-1e999", "1_0", "--1", "1e", ".", "1e-3", "12abc",
+)
+
+
+def tick_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log's ticks, of which some are replaced by ``TICK_TEXTS``."""
+    texts = F.array(*(F.lit(text) for text in TICK_TEXTS))
+    at = (F.col("seq_num").cast("bigint") % 29).cast("int")
+    text = F.coalesce(F.get(texts, at), F.col("time_seq"))
+    return raw_log(spark, sf_dir).select("seq_num", text.alias("time_seq"))
+
+
 def part_code_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` as a dictionary of codes that grows with the data."""
     key = F.col("p_partkey")
@@ -167,6 +182,11 @@ def part_level_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = table(spark, sf_dir, "customer")
+    return customers.select(F.col("c_custkey").cast("string").alias("sysid"))
+
+
 def customer_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even customer keys as an allow-list, each listed twice."""
     even = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 2 == 0)

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from logstats.settings import check_mode
 
 
+# A decimal number with blanks around it, as a log may write a tick.
+DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def parse_tick(text: Column) -> Column:
-    """Epoch seconds as a finite double, or null where the text is no number.
+    """Epoch seconds as a finite double, or null where the text is no decimal number.
 
-    Spark's cast takes a Java type suffix (``1.5d``) and the words for infinity
-    and NaN; a log tick may be none of these.
+    Spark's cast also takes hexadecimal numbers, a Java type suffix (``1.5d``) and the words
+    for infinity and NaN; a log tick may be none of these.
     """
-    number = text.try_cast("double")
-    suffix = F.lower(F.right(F.rtrim(text), F.lit(1)))
-    finite = ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
-    return F.when(finite & ~suffix.isin("d", "f"), number)
+    plain = F.regexp_replace(text, r"\s", "")
+    number = F.when(text.rlike(DECIMAL), plain.try_cast("double"))
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def event_day(tick: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logstats.operators.groups import running_total
+
 # Actions and description texts that put a code into a category.
 STOP_ACTIONS = ("Stop", "Disable")
 START_ACTIONS = ("Start",)
@@ -42,22 +44,35 @@ def code_categories(code_actions: DataFrame, shutdown_text: str = SHUTDOWN_TEXT)
     return code_actions.select("error_code", F.explode(names).alias("category")).distinct()
 
 
-def code_catalog(
-    code_actions: DataFrame, shutdown_text: str = SHUTDOWN_TEXT, blocks: int = 1
-) -> DataFrame:
+def code_catalog(code_actions: DataFrame, shutdown_text: str = SHUTDOWN_TEXT) -> DataFrame:
     """One row per category with the sorted array of its codes.
 
-    A category of a very large dictionary can be spread over ``blocks`` rows, each with
-    the codes of one hash block, so that no single array has to hold them all.
+    The small form, for a dictionary whose categories fit into a row each; one that may not
+    has ``code_catalog_blocks``.
     """
-    block = F.pmod(F.xxhash64("error_code"), F.lit(blocks)).cast("int")
     return (
         code_categories(code_actions, shutdown_text)
-        .groupBy("category", block.alias("block"))
+        .groupBy("category")
         .agg(F.sort_array(F.collect_list("error_code")).alias("error_codes"))
     )
 
 
+def code_catalog_blocks(
+    code_actions: DataFrame, block_codes: int, shutdown_text: str = SHUTDOWN_TEXT
+) -> DataFrame:
+    """Per category blocks, numbered from 0, of ``block_codes`` codes in sorted order.
+
+    The codes are distinct, so a row number in their order cuts them. A category is numbered
+    by chunks where it has more than ``MAX_GROUP_ROWS`` codes.
+    """
+    codes = code_categories(code_actions, shutdown_text).withColumn("_one", F.lit(1))
+    numbered = running_total(codes, ["category"], ["error_code"], "_one", "_nth")
+    block = F.floor((F.col("_nth") - 1) / F.lit(block_codes)).cast("int").alias("block")
+    return numbered.groupBy("category", block).agg(
+        F.sort_array(F.collect_list("error_code")).alias("error_codes")
+    )
+
+
 def code_roles(code_actions: DataFrame) -> DataFrame:
     """One row per code that matters to exam cutting, with its four role flags."""
     rules = category_rules()

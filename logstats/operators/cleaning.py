@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logstats.functions import parse_tick
-from logstats.settings import ORDER, UNIT, check_mode
+from logstats.settings import CONFIG, ORDER, SOFTWARE_REV, UNIT, check_mode
 
 # Log columns the analysis reads; a row without any of these cannot be used.
 NEEDED = ("tar_systemid", "msg_code", "time_seq")
@@ -33,10 +33,19 @@ def drop_columns(rows: DataFrame, *names: str) -> DataFrame:
     return rows.drop(*names)
 
 
-def filter_dates(log: DataFrame, first: str, last: str, mode: str = "intended") -> DataFrame:
-    """Rows of the days ``first`` to ``last``, both included; literal keeps all rows."""
+def filter_dates(
+    log: DataFrame, first: str | None, last: str | None, mode: str = "intended"
+) -> DataFrame:
+    """Rows of the days ``first`` to ``last``, both included; None leaves that end open.
+
+    A row without a day is kept only if both ends are open; literal keeps all rows.
+    """
     check_mode(mode)
-    return log if mode == "literal" else log.filter(F.col("msg_date").between(first, last))
+    if mode == "literal":
+        return log
+    if first is not None:
+        log = log.filter(F.col("msg_date") >= first)
+    return log if last is None else log.filter(F.col("msg_date") <= last)
 
 
 def filter_systems(
@@ -68,7 +77,7 @@ def drop_incomplete(
 
 
 def add_constants(
-    log: DataFrame, config: str = "MR750W", software_rev: str = "DV25.0_R02_1549.b"
+    log: DataFrame, config: str = CONFIG, software_rev: str = SOFTWARE_REV
 ) -> DataFrame:
     return log.withColumns({"config": F.lit(config), "software_rev": F.lit(software_rev)})
 
@@ -88,6 +97,30 @@ def clean_log(log: DataFrame, all_columns: bool = False) -> DataFrame:
     return dedup_rows(drop_columns(complete, "dummy"))
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """A digest of all columns by name; a null differs from every text, and so does a value
+    that stands in another column."""
+    marked = [
+        F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("-"))
+        for name in sorted(columns)
+    ]
+    lengths = [F.length(value).cast("string") for value in marked]
+    return F.sha2(F.concat_ws("|", *lengths, *marked), 256)
+
+
+def staged_log(log: DataFrame, all_columns: bool = False) -> DataFrame:
+    """``clean_log`` with only the columns that ``prepare_log`` reads, and ``row_digest``.
+
+    Rows are the same if their digests are, so the shuffle of the dedup carries a digest in
+    place of the columns that nothing reads.
+    """
+    log = drop_columns(log, "dummy")
+    complete = drop_incomplete(log, all_columns=all_columns)
+    used = [name for name in (*RECORD_SOURCES.values(), "seq_num") if name in log.columns]
+    digest = row_digest(log.columns).alias("row_digest")
+    return complete.select(*dict.fromkeys(used), digest).dropDuplicates(["row_digest"])
+
+
 def prepare_log(log: DataFrame) -> DataFrame:
     """Cleaned log rows under their record names, typed and with a total order.
 
@@ -95,10 +128,11 @@ def prepare_log(log: DataFrame) -> DataFrame:
     the whole row comes last and also tells exams with equal start ticks apart.
     """
     record = {name: F.col(source) for name, source in RECORD_SOURCES.items()}
+    digest = F.col("row_digest") if "row_digest" in log.columns else row_digest(log.columns)
     keys = {
         "tick": parse_tick(F.col("time_seq")),
         "seq": F.col("seq_num").try_cast("bigint"),
-        "event_key": F.xxhash64(*sorted(log.columns)),
+        "event_key": F.xxhash64(digest),
     }
     return log.select(*(value.alias(name) for name, value in {**record, **keys}.items()))
 

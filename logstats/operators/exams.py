@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from logstats.operators.catalog import add_roles
 from logstats.operators.cleaning import usable_rows
-from logstats.operators.groups import CHUNK, groups_bounded, split_groups
+from logstats.operators.groups import CHUNK, Bounded, GroupSizes, group_sizes, split_groups
 from logstats.schemas import EXAM_RECORD
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings
 
@@ -31,9 +31,9 @@ STOPPED, TIMED_OUT, SUPERSEDED = "stopped", "timed_out", "superseded"
 OPEN, DISCARDED, SERVICE = "open_at_end", "discarded_by_service", "service"
 CLOSED = (STOPPED, TIMED_OUT, SUPERSEDED)
 
-# One task scans the rows of a system and revision. The later dedup and sums are per
-# these keys as well and need no further shuffle.
-TASK_KEYS = ("system_id", "sw_rev")
+# One task scans the rows of a system. The later dedup and sums are per system and more, and
+# need no further shuffle, also where other keys are constants that Spark folds away.
+TASK_KEYS = ("system_id",)
 
 _FIRST, _THIS, _PREVIOUS = Window.unboundedPreceding, Window.currentRow, -1
 
@@ -66,7 +66,7 @@ def _is_stop() -> Column:
     return F.col("is_monitored") & F.col("is_stop")
 
 
-def _chunk_summaries(hot: DataFrame, settings: Settings) -> DataFrame:
+def _chunk_summaries(hot: DataFrame) -> DataFrame:
     """One row per chunk: its services and starts, and what it does to an open exam."""
     steps = Window.partitionBy(*UNIT, CHUNK).orderBy(*ORDER)
     up_to = steps.rowsBetween(_FIRST, _THIS)
@@ -111,7 +111,7 @@ def _chunk_carries(hot: DataFrame, settings: Settings) -> DataFrame:
         _no(F.col("stopped_start") == last["_row"]).alias("stopped"),
     )
     carried = (
-        _chunk_summaries(hot, settings)
+        _chunk_summaries(hot)
         .withColumn("carry_service", F.max("service").over(before))
         .withColumn("_left_open", F.when(last.isNotNull(), left_open))
         .withColumn("_opened", F.last("_left_open", ignorenulls=True).over(before))
@@ -206,17 +206,19 @@ def _scan(rows: DataFrame, keys: Sequence[str], carried: bool, settings: Setting
     )
 
 
-def log_bounded(log: DataFrame, code_actions: DataFrame, settings: Settings = DEFAULTS) -> bool:
-    """Whether no task gets more rows of a machine than it may; see ``groups``."""
-    relevant = add_roles(log.select(*TASK_KEYS, "code"), code_actions)
-    return groups_bounded(relevant, TASK_KEYS, settings.max_group_rows)
+def log_bounded(
+    log: DataFrame, code_actions: DataFrame, settings: Settings = DEFAULTS
+) -> GroupSizes:
+    """Which machines have more rows to scan than a task may get; see ``groups``."""
+    usable = usable_rows(add_roles(log.select(*UNIT, "code", "tick"), code_actions))
+    return group_sizes(usable, TASK_KEYS, settings.max_group_rows)
 
 
 def cut_exams(
     log: DataFrame,
     code_actions: DataFrame,
     settings: Settings = DEFAULTS,
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """Rows that start an exam or may belong to one, with ``exam_id``, ``exam_start``,
     the ``outcome`` of their exam and whether they are ``kept``.
@@ -225,9 +227,9 @@ def cut_exams(
     """
     relevant = add_roles(log, code_actions)
     rows = _with_start_id(usable_rows(relevant))
-    split = split_groups(
-        rows, UNIT, ORDER, settings.max_group_rows, TASK_KEYS, counted=relevant, bounded=bounded
-    )
+    if bounded is None:
+        bounded = log_bounded(log, code_actions, settings)
+    split = split_groups(rows, UNIT, ORDER, settings.max_group_rows, bounded)
     whole = _scan(split.rows.repartition(*TASK_KEYS), UNIT, False, settings)
     if split.hot is None:
         return whole
@@ -240,7 +242,7 @@ def exam_segments(
     log: DataFrame,
     code_actions: DataFrame,
     settings: Settings = DEFAULTS,
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """One row per start with the outcome of what it started."""
     return (
@@ -254,7 +256,7 @@ def service_starts(
     log: DataFrame,
     code_actions: DataFrame,
     settings: Settings = DEFAULTS,
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """Start rows that a service code came shortly before."""
     segments = exam_segments(log, code_actions, settings, bounded)
@@ -265,7 +267,7 @@ def exam_events(
     log: DataFrame,
     code_actions: DataFrame,
     settings: Settings = DEFAULTS,
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """The kept rows as exam records without level and weight, with their order columns.
 

@@ -1,48 +1,30 @@
 """Work per group without ever putting a large group into one task.
 
 A window evaluates a whole group in one task. That is the cheapest way as long as groups
-are bounded: it adds no shuffle to rows that are partitioned already. ``groups_bounded``
-checks that. Beyond the bound, ``add_group_stats`` aggregates partially and joins, and
-``split_groups`` cuts an ordered group into chunks that are scanned on their own.
-
-The row-level operators take ``bounded``: None lets them check their own rows. A caller
-who has checked the log once passes the answer on, because neither exams nor machines
-have more rows later than in the log.
+are bounded: it adds no shuffle to rows that are partitioned already. ``group_sizes``
+finds the groups that are not. Beyond the bound, ``add_group_stats`` aggregates partially and
+joins, and ``split_groups`` cuts an ordered group into chunks that are scanned on their own.
+
+The row-level operators take ``bounded``: the ``GroupSizes`` of a caller who has counted, true
+or false from one who knows, or None to let them count their own rows. Neither exams nor
+machines have more rows later than in the log, so one count serves a whole analysis.
+Rows are used twice beyond the bound; a caller with a chain of operators checkpoints once.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logstats.scratch import checkpointed
 from logstats.settings import MAX_GROUP_ROWS
 
 CHUNK = "_chunk"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a temporary one only in local mode."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="logstats-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table, inside the checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join on ``keys`` where a null key meets a null key.
 
@@ -54,49 +36,60 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Data
     return rows.join(renamed, condition, "left").drop(*(f"_g_{key}" for key in keys))
 
 
-def _large_groups(rows: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+@dataclass(frozen=True)
+class GroupSizes:
+    """The groups of ``keys`` with more than the allowed rows; true if there are none."""
+
+    keys: tuple[str, ...]
+    large: DataFrame | None
+
+    def __bool__(self) -> bool:
+        return self.large is None
+
+
+Bounded = bool | GroupSizes | None
+
+
+def group_sizes(
+    rows: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS
+) -> GroupSizes:
+    """Count groups: one pass over the key columns with map-side counts.
+
+    The large groups are checkpointed, so that nobody counts again.
+    """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.filter(F.col("_n") > max_rows)
+    large = checkpointed(sizes.filter(F.col("_n") > max_rows).select(*keys))
+    return GroupSizes(tuple(keys), None if large.isEmpty() else large)
 
 
 def groups_bounded(
     rows: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS
 ) -> bool:
-    """Whether no group has more than ``max_rows`` rows.
-
-    This is a job: a pass over the key columns with map-side counts.
-    """
-    return _large_groups(rows, keys, max_rows).isEmpty()
+    """Whether no group has more than ``max_rows`` rows."""
+    return bool(group_sizes(rows, keys, max_rows))
 
 
 def add_group_stats(
     rows: DataFrame,
     keys: Sequence[str],
     stats: Mapping[str, Column],
-    bounded: bool | None = None,
+    bounded: Bounded = None,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Every row with aggregates of its group.
 
-    Groups that are not bounded are aggregated partially and joined back. The rows are
-    needed twice for that, so they are checkpointed instead of being computed twice.
+    Groups that are not bounded are aggregated partially and joined back.
     """
     rows = rows.drop(*stats)
     if bounded is None:
-        bounded = groups_bounded(rows, keys, max_rows)
+        bounded = group_sizes(rows, keys, max_rows)
     if bounded:
         group = Window.partitionBy(*keys)
         return rows.select("*", *(stat.over(group).alias(name) for name, stat in stats.items()))
-    rows = checkpointed(rows)
     aggregates = [stat.alias(name) for name, stat in stats.items()]
     return join_groups(rows, rows.groupBy(*keys).agg(*aggregates), keys)
 
 
-def checkpointed(rows: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(rows.sparkSession)
-    return rows.checkpoint()
-
-
 @dataclass(frozen=True)
 class SplitRows:
     """Rows of bounded groups, and those of large groups with their chunk, or None."""
@@ -105,44 +98,54 @@ class SplitRows:
     hot: DataFrame | None
 
 
+def _of_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join where a null key meets a null key; no broadcast hint."""
+    renamed = groups.select(*(F.col(key).alias(f"_g_{key}") for key in keys))
+    return rows.join(renamed, [F.col(key).eqNullSafe(F.col(f"_g_{key}")) for key in keys], how)
+
+
+def _chunked(rows: DataFrame, order: Sequence[str], max_rows: int) -> DataFrame:
+    """``rows`` in checkpointed chunks of exactly ``max_rows`` rows that follow one another.
+
+    Rows are range-partitioned and sorted; a row's place among all is its place in its
+    partition plus the rows of those before. Chunks are cut by that place, so their size
+    does not rest on how well the range bounds were sampled. The counts have one row for each
+    partition.
+    """
+    placed = checkpointed(
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id())
+    ).withColumn("_part", F.shiftright("_place", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_place").bitwiseAND((1 << 33) - 1) + F.col("_start")
+    chunk = F.floor(place / F.lit(max_rows)).cast("int")
+    return placed.join(starts, "_part").withColumn(CHUNK, chunk).drop("_place", "_part", "_start")
+
+
 def split_groups(
     rows: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     max_rows: int = MAX_GROUP_ROWS,
-    task_keys: Sequence[str] | None = None,
-    counted: DataFrame | None = None,
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> SplitRows:
     """Cut large groups into chunks that follow one another in ``order``.
 
-    A group is large when the rows with its ``task_keys`` (part of ``keys``, all of them
-    by default), which one task would get, are more than ``max_rows``. They are counted
-    first: a narrow pass with map-side counts that brings one row to the driver. It may
-    count other rows, ``counted``, that are cheaper to get and never fewer.
-
-    Only if there are large groups, their rows are range-partitioned by keys and order.
-    That bounds a chunk even if all its rows share one tick, because the order is total.
-    The chunk number is the range partition, so these rows are checkpointed: a second
-    evaluation could sample other range bounds. Rows with a null key are not cut.
+    Which groups are large the caller says with ``GroupSizes`` of ``keys`` or some of them;
+    otherwise they are counted. The order must be total: then a chunk is bounded even if all
+    rows share one tick. Rows with a null key are a group like others.
     """
+    if not isinstance(bounded, GroupSizes):
+        bounded = GroupSizes((), None) if bounded else group_sizes(rows, keys, max_rows)
     if bounded:
         return SplitRows(rows, None)
-    shared = list(task_keys or keys)
-    large = _large_groups(rows if counted is None else counted, shared, max_rows)
-    found = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("_n").alias("rows")).head()
-    if found["groups"] == 0:
-        return SplitRows(rows, None)
-
-    # At most (all rows / max_rows) groups are large, which bounds the broadcast.
-    marks = F.broadcast(checkpointed(large.select(*shared)))
-    chunks = -(-2 * found["rows"] // max_rows)
-    hot = checkpointed(
-        rows.join(marks, shared, "left_semi")
-        .repartitionByRange(chunks, *keys, *order)
-        .withColumn(CHUNK, F.spark_partition_id())
-    )
-    return SplitRows(rows.join(marks, shared, "left_anti"), hot)
+    shared = bounded.keys
+    hot = _of_groups(rows, bounded.large, shared, "left_semi")
+    rest = _of_groups(rows, bounded.large, shared, "left_anti")
+    return SplitRows(rest, _chunked(hot, [*keys, *order], max_rows))
 
 
 def running_total(
@@ -152,9 +155,12 @@ def running_total(
     value: str,
     result: str,
     max_rows: int = MAX_GROUP_ROWS,
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
-    """Sum of ``value`` from the start of the group up to and with each row."""
+    """Sum of ``value`` from the start of the group up to and with each row.
+
+    Nulls add nothing; the sum is null until there is a value.
+    """
     split = split_groups(rows, keys, order, max_rows, bounded=bounded)
 
     def totals(part: DataFrame, part_keys: Sequence[str]) -> DataFrame:
@@ -173,11 +179,11 @@ def running_total(
         .select(*chunk_keys, F.sum("_total").over(earlier).alias("_carried"))
     )
     chunks = (
-        totals(split.hot, chunk_keys)
-        .join(carried, chunk_keys)
-        .withColumn(result, F.col(result) + F.coalesce("_carried", F.lit(0)))
+        join_groups(totals(split.hot, chunk_keys), carried, chunk_keys)
+        .withColumn("_both", F.col(result) + F.col("_carried"))
+        .withColumn(result, F.coalesce("_both", result, "_carried"))
     )
-    return whole.unionByName(chunks.drop("_carried", CHUNK))
+    return whole.unionByName(chunks.drop("_carried", "_both", CHUNK))
 
 
 def lagged(
@@ -187,7 +193,7 @@ def lagged(
     value: str,
     result: str,
     max_rows: int = MAX_GROUP_ROWS,
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """``value`` of the row before, in the order of the group."""
     split = split_groups(rows, keys, order, max_rows, bounded=bounded)
@@ -204,7 +210,7 @@ def lagged(
         .select(*chunk_keys, F.lag("_last").over(chunk_steps).getField(value).alias("_carried"))
     )
     first = F.row_number().over(steps) == 1
-    chunks = split.hot.join(carried, chunk_keys).withColumn(
+    chunks = join_groups(split.hot, carried, chunk_keys).withColumn(
         result, F.when(first, F.col("_carried")).otherwise(F.lag(value).over(steps))
     )
     return whole.unionByName(chunks.drop("_carried", CHUNK))

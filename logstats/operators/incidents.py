@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logstats.functions import code_flag
-from logstats.operators.groups import (
-    add_group_stats,
-    checkpointed,
-    groups_bounded,
-    join_groups,
-)
+from logstats.operators.groups import Bounded, add_group_stats, group_sizes, join_groups
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings, check_mode
 
 
@@ -29,9 +24,12 @@ def incident_flags(events: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     )
 
 
-def exam_incidents(flagged: DataFrame, bounded: bool | None = None) -> DataFrame:
+def exam_incidents(
+    flagged: DataFrame, bounded: Bounded = None, settings: Settings = DEFAULTS
+) -> DataFrame:
     """``sum_ipst``: interruptions of the row's exam."""
-    return add_group_stats(flagged, EXAM, {"sum_ipst": F.sum("ip_st")}, bounded)
+    sums = {"sum_ipst": F.sum("ip_st")}
+    return add_group_stats(flagged, EXAM, sums, bounded, settings.max_group_rows)
 
 
 def subtraction_rule(rows: DataFrame) -> DataFrame:
@@ -41,7 +39,10 @@ def subtraction_rule(rows: DataFrame) -> DataFrame:
 
 
 def total_shutdowns(
-    rows: DataFrame, mode: str = "intended", bounded: bool | None = None
+    rows: DataFrame,
+    mode: str = "intended",
+    bounded: Bounded = None,
+    settings: Settings = DEFAULTS,
 ) -> DataFrame:
     """``num_shutdowns`` of the row's machine.
 
@@ -50,11 +51,10 @@ def total_shutdowns(
     """
     check_mode(mode)
     if mode == "literal":
-        return add_group_stats(
-            rows, UNIT, {"num_shutdowns": F.sum("num_shutdowns_day")}, bounded
-        )
+        sums = {"num_shutdowns": F.sum("num_shutdowns_day")}
+        return add_group_stats(rows, UNIT, sums, bounded, settings.max_group_rows)
     if bounded is None:
-        bounded = groups_bounded(rows, UNIT)
+        bounded = group_sizes(rows, UNIT, settings.max_group_rows)
     # Each row bears its own interruption, and an exam's first shutdown row one less.
     nth = Window.partitionBy(*EXAM, "actual_num_shutdowns").orderBy(*ORDER)
     first_shutdown = (F.col("actual_num_shutdowns") > 0) & (F.row_number().over(nth) == 1)
@@ -62,7 +62,7 @@ def total_shutdowns(
         less = F.when(first_shutdown, 1).otherwise(0)
         share = rows.withColumn("_share", F.col("ip_st") - less)
         return add_group_stats(share, UNIT, {"num_shutdowns": F.sum("_share")}, True).drop("_share")
-    rows = checkpointed(rows.drop("num_shutdowns"))
+    rows = rows.drop("num_shutdowns")
     exams = rows.groupBy(*EXAM).agg(
         (F.sum("ip_st") - F.max("actual_num_shutdowns")).alias("_interruptions")
     )
@@ -75,7 +75,7 @@ def shutdown_crash_counts(
     settings: Settings = DEFAULTS,
     frame: str = "row",
     mode: str = "intended",
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """Shutdown and crash rows counted over the row itself or over its exam and day.
 

@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 
 from logstats.functions import count_rows_where, event_day, ipte_rate
 from logstats.operators.groups import (
+    Bounded,
+    GroupSizes,
     add_group_stats,
-    checkpointed,
-    groups_bounded,
+    group_sizes,
     join_groups,
     lagged,
     running_total,
@@ -29,10 +30,12 @@ def add_day(events: DataFrame) -> DataFrame:
     return events.withColumn("day", event_day(F.col("tick")))
 
 
-def exam_duration(events: DataFrame, bounded: bool | None = None) -> DataFrame:
+def exam_duration(
+    events: DataFrame, bounded: Bounded = None, settings: Settings = DEFAULTS
+) -> DataFrame:
     """Last and first tick of the row's exam and the seconds between them."""
     ends = {"exam_dur_max": F.max("tick"), "exam_dur_min": F.min("tick")}
-    timed = add_group_stats(events, EXAM, ends, bounded)
+    timed = add_group_stats(events, EXAM, ends, bounded, settings.max_group_rows)
     return timed.withColumn("exam_dur_sec", F.col("exam_dur_max") - F.col("exam_dur_min"))
 
 
@@ -44,18 +47,21 @@ def exams_long(timed: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return timed.filter(F.col("exam_dur_sec") >= settings.min_exam_s)
 
 
-def rank_duration(timed: DataFrame, bounded: bool | None = None) -> DataFrame:
+def rank_duration(
+    timed: DataFrame, bounded: Bounded = None, settings: Settings = DEFAULTS
+) -> DataFrame:
     """Rows that rank first by duration in their exam, ties included.
 
     These are the rows with the exam's largest duration, found without sorting it.
     """
-    ranked = add_group_stats(timed, EXAM, {"_longest": F.max("exam_dur_sec")}, bounded)
+    longest = {"_longest": F.max("exam_dur_sec")}
+    ranked = add_group_stats(timed, EXAM, longest, bounded, settings.max_group_rows)
     first = F.col("exam_dur_sec").eqNullSafe(F.col("_longest"))
     return ranked.filter(first).drop("_longest").withColumn("rank_val", F.lit(1))
 
 
 def time_lag(
-    events: DataFrame, settings: Settings = DEFAULTS, bounded: bool | None = None
+    events: DataFrame, settings: Settings = DEFAULTS, bounded: Bounded = None
 ) -> DataFrame:
     """Tick of the row before in the same exam."""
     max_rows = settings.max_group_rows
@@ -66,7 +72,7 @@ def _nth_row() -> Column:
     return F.row_number().over(Window.partitionBy(*UNIT).orderBy(*ORDER))
 
 
-def _first_rows(rows: DataFrame) -> DataFrame:
+def first_rows(rows: DataFrame) -> DataFrame:
     """The first row of each machine; cut down on the map side before the shuffle."""
     return rows.withColumn("_nth", _nth_row()).filter("_nth = 1").drop("_nth")
 
@@ -75,7 +81,7 @@ def _with_machine_sums(
     rows: DataFrame,
     of_exam: Mapping[str, Column],
     of_machine: Mapping[str, Column],
-    bounded: bool | None,
+    bounded: Bounded,
     max_rows: int,
 ) -> DataFrame:
     """First row of each machine with aggregates over its exams.
@@ -83,12 +89,11 @@ def _with_machine_sums(
     ``of_exam`` are aggregates of an exam's rows, ``of_machine`` aggregates of those.
     """
     if bounded is None:
-        bounded = groups_bounded(rows, UNIT, max_rows)
+        bounded = group_sizes(rows, UNIT, max_rows)
     if not bounded:
-        rows = checkpointed(rows)
         exams = rows.groupBy(*EXAM).agg(*(value.alias(name) for name, value in of_exam.items()))
         sums = [value.alias(name) for name, value in of_machine.items()]
-        return join_groups(_first_rows(rows), exams.groupBy(*UNIT).agg(*sums), UNIT)
+        return join_groups(first_rows(rows), exams.groupBy(*UNIT).agg(*sums), UNIT)
     # A window per exam marks one row of it, and one per machine sums those rows up.
     first_of_exam = F.row_number().over(Window.partitionBy(*EXAM).orderBy(*ORDER)) == 1
     marked = rows.withColumn("_first", first_of_exam)
@@ -98,7 +103,7 @@ def _with_machine_sums(
     marked = marked.withColumns(once)
     marked = marked.withColumns({name: v.over(machine) for name, v in of_machine.items()})
     helpers = [name for name in of_exam if name not in of_machine]
-    return _first_rows(marked).drop("_first", *helpers)
+    return first_rows(marked).drop("_first", *helpers)
 
 
 def _exam_count(settings: Settings) -> tuple[Column, Column]:
@@ -112,7 +117,7 @@ def ipte(
     rows: DataFrame,
     settings: Settings = DEFAULTS,
     mode: str = "intended",
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """First row per machine with its exams, severity-one incidents and their rate.
 
@@ -121,7 +126,7 @@ def ipte(
     check_mode(mode)
     if mode == "literal":
         one = F.lit(1).cast("bigint")
-        counted = _first_rows(rows).withColumns(
+        counted = first_rows(rows).withColumns(
             {"num_exams": one, "num_sev1": F.col("num_shutdowns")}
         )
     else:
@@ -138,12 +143,12 @@ def ipte_weighted(
     rows: DataFrame,
     settings: Settings = DEFAULTS,
     mode: str = "intended",
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """First row per machine with the sum of its exams' largest weights and their rate."""
     check_mode(mode)
     if mode == "literal":
-        counted = _first_rows(rows).withColumns(
+        counted = first_rows(rows).withColumns(
             {"_total": F.lit(1), "sum_max_wt_all_exams": F.col("mebef_wt")}
         )
     else:
@@ -161,7 +166,7 @@ def additional_stats(
     rows: DataFrame,
     settings: Settings = DEFAULTS,
     mode: str = "intended",
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """Resets of the row's machine and its last and first tick.
 
@@ -171,7 +176,7 @@ def additional_stats(
     names = ("num_tps_resets", "time_seq_min", "time_seq_max")
     max_rows = settings.max_group_rows
     if bounded is None:
-        bounded = groups_bounded(rows, UNIT, max_rows)
+        bounded = group_sizes(rows, UNIT, max_rows)
     if mode == "intended":
         resets = count_rows_where(F.col("code") == settings.reset_code)
         stats = dict(zip(names, (resets, F.min("tick"), F.max("tick"))))
@@ -180,9 +185,10 @@ def additional_stats(
         up_to = Window.partitionBy(*UNIT).orderBy("tick")  # equal ticks included
         counted = rows.withColumn("_count", F.count(F.lit(1)).over(up_to))
     else:
-        rows, keys = checkpointed(rows), (*UNIT, "tick")
+        keys = (*UNIT, "tick")
+        sizes = bounded if isinstance(bounded, GroupSizes) else None
         per_tick = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        counts = running_total(per_tick, UNIT, ("tick",), "_n", "_count", max_rows)
+        counts = running_total(per_tick, UNIT, ("tick",), "_n", "_count", max_rows, sizes)
         counted = join_groups(rows, counts.drop("_n"), keys)
     return counted.withColumns({name: F.col("_count") for name in names}).drop("_count")
 

@@ -1,14 +1,15 @@
-"""The job from input files to the written report."""
+"""The job from input files to the written report and diagnostics."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logstats import sources
-from logstats.operators import catalog, cleaning, metrics
-from logstats.operators.exams import log_bounded
-from logstats.plans.report import machine_report
-from logstats.settings import DEFAULTS, Settings, check_mode
+from logstats.operators import catalog, cleaning, exams, metrics
+from logstats.plans.report import final_events, report_from_events
+from logstats.scratch import checkpointed, scratch_folder
+from logstats.settings import CONFIG, DEFAULTS, SOFTWARE_REV, Settings, check_mode
 
 
 def read_log(
@@ -18,21 +19,38 @@ def read_log(
     system_list_path: str | None = None,
     start_date: str | None = None,
     end_date: str | None = None,
-    config: str = "MR750W",
-    software_rev: str = "DV25.0_R02_1549.b",
+    config: str = CONFIG,
+    software_rev: str = SOFTWARE_REV,
     mode: str = "intended",
 ) -> DataFrame:
-    """The log of the listed systems and days; literal ignores both filters."""
+    """The log of the listed systems and days; literal ignores both filters.
+
+    Either end of the days may be left open.
+    """
     check_mode(mode)
     log = sources.read_machine_log(spark, log_path)
     if system_list_path is not None:
         listed = sources.read_system_list(spark, system_list_path)
         log = cleaning.filter_systems(log, listed, mode)
-    if start_date is not None and end_date is not None:
-        log = cleaning.filter_dates(log, start_date, end_date, mode)
+    log = cleaning.filter_dates(log, start_date, end_date, mode)
     return cleaning.add_constants(log, config, software_rev)
 
 
+def diagnostics(
+    staged: DataFrame, cut: DataFrame, events: DataFrame, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """(stage, n): rows of the staged log, of the exams cut from it, and of their events."""
+    staged_rows = staged.agg(F.count(F.lit(1)).alias("staged"))
+    cut_rows = cut.agg(F.count(F.lit(1)).alias("in_exams"))
+    parts = (metrics.run_metrics, metrics.duration_stats)
+    return metrics.stage_counts(
+        staged_rows,
+        cut_rows,
+        metrics.distinct_counts(events),
+        *(part(events, settings) for part in parts),
+    )
+
+
 def run_report(
     spark: SparkSession,
     *,
@@ -41,23 +59,40 @@ def run_report(
     code_actions_path: str,
     report_path: str,
     stamp: str = "",
-    all_columns: bool = False,
+    files: int | None = 1,
+    metrics_path: str | None = None,
+    all_columns: bool | None = None,
     settings: Settings = DEFAULTS,
     mode: str = "intended",
     **log_options: str | None,
 ) -> DataFrame:
-    """Write the machine report and return the fleet totals.
+    """Write the machine report, and diagnostics to ``metrics_path``; return fleet totals.
 
-    Rows whose code plays no part are dropped before the dedup, and group sizes are
-    counted ahead of it, so that the dedup shuffles little and runs once. The totals are
-    computed from the written report, not by running the analysis again.
+    The files are read once: rows that play a part, in the columns in use and once each,
+    are staged as Parquet in the session's shared folder, whatever their number. Machine
+    sizes are counted there. ``all_columns`` drops rows with any null; it is what the
+    literal mode does unless told otherwise. The totals are computed from the written report.
     """
+    check_mode(mode)
+    if all_columns is None:
+        all_columns = mode == "literal"
     codes = sources.read_code_actions(spark, code_actions_path)
     weights = sources.read_level_weights(spark, level_weights_path)
     log = read_log(spark, log_path, mode=mode, **log_options)
-    bounded = log_bounded(cleaning.prepare_log(log), codes, settings)
-    log = cleaning.clean_log(catalog.keep_known_codes(log, codes), all_columns)
-    log = cleaning.prepare_log(log)
-    report = machine_report(log, codes, weights, settings, mode, bounded)
-    written = sources.write_report(report, report_path, stamp)
+    log = catalog.keep_known_codes(log, codes)
+    with scratch_folder(spark, "staged-log") as folder:
+        cleaning.staged_log(log, all_columns).write.parquet(folder)
+        staged = spark.read.parquet(folder)
+        prepared = cleaning.prepare_log(staged)
+        sizes = exams.log_bounded(prepared, codes, settings)
+        if metrics_path is None:
+            events = final_events(prepared, codes, weights, settings, sizes)
+        else:
+            # The report and the diagnostics use the same events.
+            cut = checkpointed(exams.exam_events(prepared, codes, settings, sizes))
+            events = checkpointed(final_events(prepared, codes, weights, settings, sizes, cut))
+            counts = diagnostics(staged, cut, events, settings)
+            counts.repartition(1).write.csv(f"{metrics_path}{stamp}.csv", header=True)
+        report = report_from_events(events, settings, mode)
+        written = sources.write_report(report, report_path, stamp, files)
     return metrics.cumulative_ipte(sources.read_report(spark, written))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from logstats.functions import code_flag, count_rows_where, ipte_rate
 from logstats.operators import catalog, cleaning, exams, incidents, metrics
-from logstats.operators.groups import groups_bounded
+from logstats.operators.groups import Bounded, group_sizes, join_groups
+from logstats.scratch import checkpointed
 from logstats.schemas import MACHINE_REPORT
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings, check_mode
 
@@ -17,10 +18,16 @@ def final_events(
     code_actions: DataFrame,
     level_weights: DataFrame,
     settings: Settings = DEFAULTS,
-    bounded: bool | None = None,
+    bounded: Bounded = None,
+    cut: DataFrame | None = None,
 ) -> DataFrame:
-    """Exam records with level and weight, once per system, revision, code and time."""
-    events = cleaning.dedup_events(exams.exam_events(log, code_actions, settings, bounded))
+    """Exam records with level and weight, once per system, revision, code and time.
+
+    ``cut`` are the exam records of the log, for a caller who has them.
+    """
+    if cut is None:
+        cut = exams.exam_events(log, code_actions, settings, bounded)
+    events = cleaning.dedup_events(cut)
     events = catalog.attach_level(cleaning.drop_blank_exam(events), code_actions)
     return catalog.attach_weight(events, level_weights)
 
@@ -90,28 +97,93 @@ def machine_report(
     level_weights: DataFrame,
     settings: Settings = DEFAULTS,
     mode: str = "intended",
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
     """One row per machine that has an exam of at least ``min_exam_s``.
 
     Everything after the cut is summed per exam and then per machine with partial
     aggregation, so neither a long exam nor a busy machine is gathered in one task.
     """
-    check_mode(mode)
     events = final_events(log, code_actions, level_weights, settings, bounded)
+    return report_from_events(events, settings, mode)
+
+
+def report_from_events(
+    events: DataFrame, settings: Settings = DEFAULTS, mode: str = "intended"
+) -> DataFrame:
+    """``machine_report`` from ``final_events``."""
+    check_mode(mode)
     totals = _intended_totals if mode == "intended" else _literal_totals
     return _as_report(totals(events, settings))
 
 
+def _rows_with_sums(events: DataFrame, settings: Settings, mode: str) -> DataFrame:
+    """Rows of long exams with all sums of the steps, for machines of any size.
+
+    The rows are summed once per exam and the exams once per machine, and both are joined
+    back; the rows are checkpointed once, because they are used twice.
+    """
+    flagged = checkpointed(incidents.incident_flags(metrics.add_day(events), settings))
+    shutdown = F.col("actual_num_shutdowns")
+    exam_sums = flagged.groupBy(*EXAM).agg(
+        F.max("tick").alias("exam_dur_max"),
+        F.min("tick").alias("exam_dur_min"),
+        F.sum("ip_st").alias("sum_ipst"),
+        F.max(shutdown).alias("_shut"),
+        F.sum(shutdown).alias("_shut_rows"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.max("mebef_wt").alias("_weight"),
+        count_rows_where(F.col("code") == settings.exam_code).alias("_coded"),
+        count_rows_where(F.col("code") == settings.reset_code).alias("_resets"),
+    )
+    duration = F.col("exam_dur_max") - F.col("exam_dur_min")
+    exam_sums = metrics.exams_long(exam_sums.withColumn("exam_dur_sec", duration), settings)
+    per_exam = {
+        "intended": F.col("sum_ipst") - F.col("_shut"),
+        "literal": F.col("_rows") * F.col("sum_ipst") - F.col("_shut_rows"),
+    }
+    num_exams = {"code": F.sum("_coded"), "segment": F.count(F.lit(1))}[settings.num_exams_by]
+    machine_sums = exam_sums.groupBy(*UNIT).agg(
+        F.sum(per_exam[mode]).alias("num_shutdowns"),
+        F.sum("_weight").alias("sum_max_wt_all_exams"),
+        F.sum("_resets").alias("num_tps_resets"),
+        F.min("exam_dur_min").alias("time_seq_min"),
+        F.max("exam_dur_max").alias("time_seq_max"),
+        num_exams.alias("num_exams"),
+    )
+    shown = ("exam_dur_max", "exam_dur_min", "exam_dur_sec", "sum_ipst")
+    rows = join_groups(flagged, exam_sums.select(*EXAM, *shown), EXAM)
+    return join_groups(rows.filter("exam_dur_sec IS NOT NULL"), machine_sums, UNIT)
+
+
+def _large_stepwise(events: DataFrame, settings: Settings, mode: str) -> DataFrame:
+    rows = metrics.first_rows(_rows_with_sums(events, settings, mode))
+    if mode == "literal":
+        counts = ("num_exams", "num_tps_resets", "time_seq_min", "time_seq_max")
+        rows = rows.withColumns({name: F.lit(1) for name in counts})
+        rows = rows.withColumn("sum_max_wt_all_exams", F.col("mebef_wt"))
+    rates = {"ipte_severity": "num_shutdowns", "ipte_weighted": "sum_max_wt_all_exams"}
+    return rows.withColumns(
+        {name: ipte_rate(F.col(of), F.col("num_exams")) for name, of in rates.items()}
+    )
+
+
 def stepwise_report(
     events: DataFrame,
     settings: Settings = DEFAULTS,
     mode: str = "intended",
-    bounded: bool | None = None,
+    bounded: Bounded = None,
 ) -> DataFrame:
-    """The same report from ``final_events``, through the row-level operators."""
+    """The same report from ``final_events``, through the row-level operators.
+
+    Beyond the bound of a task the steps' sums are taken together; see ``_rows_with_sums``.
+    """
+    check_mode(mode)
     if bounded is None:
-        bounded = groups_bounded(events, UNIT, settings.max_group_rows)
+        bounded = group_sizes(events, UNIT, settings.max_group_rows)
+    if not bounded:
+        rows = _large_stepwise(events, settings, mode)
+        return rows.select(*(F.col(f.name).cast(f.dataType) for f in MACHINE_REPORT.fields))
     rows = metrics.exam_duration(metrics.add_day(events), bounded)
     rows = metrics.exams_long(rows, settings)
     rows = rows.withColumns({"mebef_wt_new": F.col("mebef_wt"), "code_new": F.col("code")})

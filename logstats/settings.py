@@ -13,6 +13,10 @@ ORDER = ("tick", "seq", "event_key")
 # Largest number of rows of one ordered group that a single task may scan.
 MAX_GROUP_ROWS = 2_000_000
 
+# Configuration and revision of a log that does not say them.
+CONFIG = "MR750W"
+SOFTWARE_REV = "DV25.0_R02_1549.b"
+
 MODES = ("intended", "literal")
 
 

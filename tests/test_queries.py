@@ -5,6 +5,8 @@ import pytest
 from conftest import TESTDATA
 
 from __spark_entry__ import entry, oracle_sql, queries
+from logstats.checks.oracles import ORACLES
+from logstats.checks.queries import QUERIES
 
 SF_DIR = TESTDATA / "sf0.01"
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="sample tables not there")
@@ -31,9 +33,9 @@ def _sorted(rows):
 
 
 def _assert_equal(spark, database, name):
-    frame = queries()[name](spark, str(SF_DIR))
+    frame = QUERIES[name](spark, str(SF_DIR))
     names = sorted(frame.columns)
-    result = database.execute(oracle_sql()[name])
+    result = database.execute(ORACLES[name])
     places = [[column[0] for column in result.description].index(n) for n in names]
     expected = [tuple(row[p] for p in places) for row in result.fetchall()]
     assert len(places) == len(result.description)
@@ -45,7 +47,7 @@ def _assert_equal(spark, database, name):
     assert kinds == {name: SQL_TYPES[kind] for name, kind in frame.dtypes}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
     _assert_equal(spark, database, name)
 
@@ -60,7 +62,8 @@ def test_session_zone_does_not_matter(spark, database, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
