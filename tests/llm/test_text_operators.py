@@ -270,7 +270,7 @@ def brute_components(rows):
 @pytest.mark.parametrize("boundary", [None, 0, 40])
 def test_join_equals_brute_force(spark, monkeypatch, boundary):
     rows = [(1000 + i * 3 % 997, text) for i, text in enumerate(near_copies(boundary or 1))]
-    rows += [(i, text) for i, text, *_ in ODD]
+    rows += [(i, text) for i, text, *_ in ODD] + [(2**62 + 1, "x y z"), (2**62 + 3, "x y z")]
     if boundary is not None:
         chosen = jaccard_join.survey
         monkeypatch.setattr(jaccard_join, "survey", lambda docs: (chosen(docs)[0], boundary))
@@ -483,7 +483,7 @@ def test_zip_directory_and_ranges(long_form, monkeypatch):
 def test_records_survive_the_archives(spark, tmp_path):
     long = "x" * 1000
     html = {1: long, 2: long, 5: long, 3: "short", 4: "short", 6: None, 7: "", 8: "é" * 500, 9: "é" * 500, None: long}
-    rows = [(i, f"http://a/{i}\r\nx" if i != 3 else None, h) for i, h in html.items()] + [(5, "http://again", long)]
+    rows = [(i, f"http://a/{i}\r\nx" if i != 3 else None, h) for i, h in html.items()] + [(5, "http://again", long), (2**62 + 1, "big", "b")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     archives = warc.write_archives(warc.capture_records(pages), f"file://{tmp_path}", most=300)
     assert archives.count() > 1
@@ -493,11 +493,11 @@ def test_records_survive_the_archives(spark, tmp_path):
         (1, "revisit", 5, 1000): 1, (2, "revisit", 5, 1000): 1, (None, "revisit", 5, 1000): 1,
         (5, "response", None, 1000): 2, (3, "response", None, 5): 1, (4, "response", None, 5): 1,
         (6, "response", None, 0): 1, (7, "response", None, 0): 1, (8, "revisit", 9, 1000): 1,
-        (9, "response", None, 1000): 1,
+        (9, "response", None, 1000): 1, (2**62 + 1, "response", None, 1): 1,
     })
     for row in found:
         if row["record_type"] == "response":
-            assert row["payload"].decode() == (html[row["page_id"]] or "")
+            assert row["payload"].decode() == (html.get(row["page_id"], "b") or "")
     with zipfile.ZipFile(next(tmp_path.glob("*.zip"))) as archive:
         assert archive.testzip() is None
         assert gzip.decompress(archive.read(warc.DATA)).startswith(b"WARC/1.1\r\n")
