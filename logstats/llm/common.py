@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,6 +50,22 @@ def small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within this, the shuffle files of a query go once it has ended.
+
+    A chain of checkpointed steps needs none of them again, and would otherwise keep those
+    of all steps until the driver collects its garbage.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ranked(rows: DataFrame, order: Sequence[Column], at: str) -> DataFrame:
     """Every row with its place, from 0, among all rows in ``order``.
 

@@ -33,23 +33,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstats.llm.common import read_table, small, unused
+from logstats.llm.common import read_table, shuffles_removed, small, unused
 from logstats.llm.components import components
 from logstats.llm.shingles import mixed, shingle_sets
 from logstats.scratch import checkpointed
 
 THRESHOLD = 75
 # Frequencies are kept for so many slots, which bounds the table that every task gets.
-SLOT_BITS = 20
-# Shingles seen less often in all are taken as rare.
-LEAST_FREQUENT = 8
+SLOT_BITS = 22
 # Sets above this have over 150 subsets each and count as large in any case.
 LARGEST_SMALL = 64
 # A candidate pair costs as much as so many keys.
 PAIR_COST = 30.0
+# Sizes are cut in bands by this factor, a little more than sizes of a link may differ by.
+BAND = 1.34
 # Rounds of comparing with one member before all pairs across components are compared,
 # and the number of such pairs for each list entry that makes further rounds needless.
 STAR_ROUNDS = 6
@@ -77,8 +77,6 @@ def _subset_keys(ordered: np.ndarray) -> np.ndarray:
 def _costs(sets: list[np.ndarray], tokens: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
     """By size of set, what its keys and the pairs they lead to cost in these sets, as
     subsets and as lists."""
-    if not sets:
-        return pd.DataFrame({"kind": [], "at": [], "n": [], "more": []})
     lists, subsets = [], []
     for one in sets:
         length = len(one) - least_overlap(len(one)) + 2
@@ -108,25 +106,31 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(
             {"kind": 0, "at": tokens[frequent].astype(np.int64), "n": counts[frequent].astype(float), "more": 0.0}
         )
-        yield _costs([one for one in sets if len(one) <= LARGEST_SMALL], tokens, counts)
+        small_sets = [one for one in sets if len(one) <= LARGEST_SMALL]
+        if small_sets:
+            yield _costs(small_sets, tokens, counts)
 
 
 def survey(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Frequency class by slot, and the size up to which sets count as small."""
-    counts = checkpointed(
+    counts = (
         docs.select("text")
         .mapInPandas(_survey, "kind int, at long, n double, more double")
         .groupBy("kind", "at")
         .agg(F.sum("n").alias("n"), F.sum("more").alias("more"))
-        .filter(F.expr(f"kind = 1 OR n >= {LEAST_FREQUENT}"))
     )
-    slot = F.col("at").bitwiseAND(int(_SLOTS))
+    # Slots of shingles, which share one if they must, and costs by size after them.
+    slot = F.when(F.col("kind") == 0, F.col("at").bitwiseAND(int(_SLOTS))).otherwise(F.col("at"))
+    found = (
+        counts.groupBy("kind", slot.cast("int").alias("at"))
+        .agg(F.max("n").cast("float").alias("n"), F.max("more").cast("float").alias("more"))
+        .toPandas()
+    )
     classes = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
-    frequent = counts.filter("kind = 0").groupBy(slot.cast("int").alias("slot"))
-    found = frequent.agg(F.floor(F.log2(F.max("n"))).cast("int").alias("class")).toPandas()
-    classes[found["slot"].to_numpy(dtype=np.int64)] = found["class"].to_numpy(dtype=np.uint8)
+    frequent = found[found["kind"] == 0]
+    classes[frequent["at"].to_numpy()] = np.log2(frequent["n"].to_numpy()).astype(np.uint8)
 
-    costs = sorted((row["at"], row["n"], row["more"]) for row in counts.filter("kind = 1").collect())
+    costs = sorted(found.loc[found["kind"] == 1, ["at", "n", "more"]].itertuples(index=False))
     best, boundary = sum(scan for _, _, scan in costs), 0
     total = best
     for size, subsets, scan in costs:
@@ -168,15 +172,20 @@ def hashed_sets(docs: DataFrame, classes: np.ndarray, boundary: int) -> DataFram
                 n=[len(one) for one in sets], h1=np.array(h1, dtype=np.int64), h2=np.array(h2, dtype=np.int64), keys=keys
             )
 
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
-    schema = "doc_id long, row_key long, n long, h1 long, h2 long, keys array<long>"
-    return checkpointed(
-        rows.mapInPandas(hashed, schema).withColumn("node", F.monotonically_increasing_id())
-    )
+    # The id as text, for pandas turns numbers with nulls among them into floats.
+    doc_id, row_key = F.col("doc_id").cast("string"), F.xxhash64("doc_id", "text")
+    rows = docs.select(doc_id.alias("doc_id"), row_key.alias("row_key"), "text")
+    schema = "doc_id string, row_key long, n long, h1 long, h2 long, keys array<long>"
+    sets = rows.mapInPandas(hashed, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return checkpointed(sets.withColumn("node", F.monotonically_increasing_id()))
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node`` and its ``tokens`` for the wanted nodes, hashed again from their texts."""
+    """``node`` and its ``tokens`` for the wanted nodes, hashed again from their texts.
+
+    ``wanted`` has ``row_key``, ``node``, the digest, and how many ``rows`` have that key. Rows
+    that repeat are reduced to one before they are hashed.
+    """
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -184,13 +193,14 @@ def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             batch["tokens"] = [one.view(np.int64) for one in sets]
             digests = list(map(_digest, sets))
             same = [d == (a, b) for d, a, b in zip(digests, batch["h1"], batch["h2"], strict=True)]
-            yield batch.loc[same, ["node", "tokens"]]
+            if any(same):
+                yield batch.loc[same, ["node", "tokens"]]
 
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "text")
-    texts = rows.join(small(wanted), "row_key").select("node", "h1", "h2", "text")
-    return checkpointed(
-        texts.mapInPandas(hashed, "node long, tokens array<long>").groupBy("node").agg(F.first("tokens").alias("tokens"))
-    )
+    texts = rows.join(small(wanted), "row_key")
+    once = texts.filter("rows > 1").dropDuplicates(["node"])
+    texts = texts.filter("rows = 1").unionByName(once).select("node", "h1", "h2", "text")
+    return checkpointed(texts.mapInPandas(hashed, "node long, tokens array<long>"))
 
 
 def _linked(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -208,8 +218,28 @@ def _linked(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     )
 
 
-def _like_sizes(n: str, m: str) -> str:
-    return f"{n} * 100 >= {m} * {THRESHOLD} AND {m} * 100 >= {n} * {THRESHOLD}"
+def _within_reach(n: str, most: str, other_n: str, other_most: str) -> Column:
+    return (F.col(n) <= F.col(other_most)) & (F.col(other_n) <= F.col(most))
+
+
+def _inverted_lists(sets: DataFrame, boundary: int) -> DataFrame:
+    """Entries ``list``, ``node``, ``n``, ``most`` of the lists that could hold a link.
+
+    A list is a key and a band of sizes; a set is in its band's and the next, and so meets
+    all sets of a size it can link to. ``most`` is the largest such size: the shingles
+    before the key in the order are not common to a pair whose first common one it is.
+    """
+    entries = sets.select("node", "n", "h1", "h2", F.posexplode("keys").alias("at", "key"))
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    reps = sets.filter("n > 2").groupBy("h1", "h2").agg(F.min("node").alias("node"))
+    lists = entries.drop("h1", "h2").join(shared.select("key"), "key")
+    lists = lists.join(reps.select("node"), "node", "left_semi")
+    skipped = F.when(F.col("n") > boundary, F.col("at")).otherwise(0)
+    most = F.floor((F.col("n") * 100 - skipped * (100 + THRESHOLD)) / THRESHOLD)
+    band = F.floor(F.log("n") / math.log(BAND)).cast("int")
+    return lists.select(
+        "key", "node", "n", most.alias("most"), F.explode(F.array(band, band + 1)).alias("_band")
+    ).select(F.xxhash64("key", "_band").alias("list"), "node", "n", "most")
 
 
 def _live(lists: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
@@ -217,47 +247,72 @@ def _live(lists: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
     if labels is None:
         entries = lists.withColumn("comp", F.col("node"))
     else:
-        entries = lists.join(labels, "node", "left").withColumn(
-            "comp", F.coalesce("component", "node")
-        ).drop("component")
+        comp = F.coalesce("component", "node").alias("comp")
+        entries = lists.join(labels, "node", "left").select("list", "node", "n", "most", comp)
     entries = checkpointed(entries)
-    pivot = F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(turn)))
-    stats = entries.groupBy("key").agg(
-        pivot.alias("pivot"), F.count(F.lit(1)).alias("size"), F.min("comp").alias("_low"), F.max("comp").alias("_high")
+    pivot = F.min_by(F.struct("node", "n", "most", "comp"), F.xxhash64("node", F.lit(turn)))
+    stats = entries.groupBy("list").agg(
+        pivot.alias("pivot"),
+        F.count(F.lit(1)).alias("size"),
+        F.min("comp").alias("_low"),
+        F.max("comp").alias("_high"),
     )
-    return entries.join(stats.filter("_low <> _high").drop("_low", "_high"), "key")
-
-
-def similar_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    stats = stats.filter("_low <> _high").drop("_low", "_high")
+    return checkpointed(entries.join(stats, "list"))
+
+
+class _Verifier:
+    """Compares pairs, each pair and each text once."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame):
+        self.docs = docs
+        times = sets.groupBy("row_key").agg(F.count(F.lit(1)).alias("rows"))
+        self.places = sets.select("node", "row_key", "h1", "h2").join(times, "row_key")
+        self.tokens: DataFrame | None = None
+        self.tested: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        pairs = pairs.distinct()
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = checkpointed(pairs)
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if self.tokens is not None:
+            nodes = nodes.join(self.tokens.select("node"), "node", "left_anti")
+        fetched = _token_sets(self.docs, self.places.join(nodes, "node", "left_semi"))
+        self.tokens = fetched if self.tokens is None else self.tokens.unionByName(fetched)
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        asked = small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        return checkpointed(_linked(pairs, self.tokens.join(asked, "node", "left_semi")))
+
+
+def similar_components(docs: DataFrame, sets: DataFrame, boundary: int) -> DataFrame:
     """``node`` and ``component`` of all classes that link with another one."""
-    first = sets.filter("n > 2").groupBy("h1", "h2").agg(F.min("node").alias("node"))
-    reps = checkpointed(first)
-    entries = sets.select("node", "n", F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    lists = entries.join(shared.select("key"), "key").join(reps.select("node"), "node", "left_semi")
-    live = checkpointed(_live(lists.select("key", "node", "n"), None, 0))
-    lists = live.select("key", "node", "n")
-    wanted = sets.join(lists.select("node").distinct(), "node", "left_semi")
-    tokens = _token_sets(docs, wanted.select("row_key", "node", "h1", "h2"))
-
+    verifier = _Verifier(docs, sets)
+    live = _live(_inverted_lists(sets, boundary), None, 0)
     links, labels = None, None
     for turn in range(1, STAR_ROUNDS + 1):
-        like = F.expr(_like_sizes("n", "pivot.n"))
-        stars = live.filter(F.col("comp") != F.col("pivot.comp")).filter(like)
-        pairs = stars.select(F.col("node").alias("b"), F.col("pivot.node").alias("a")).distinct()
-        found = checkpointed(_linked(pairs, tokens))
+        near = _within_reach("n", "most", "pivot.n", "pivot.most")
+        stars = live.filter(near & (F.col("comp") != F.col("pivot.comp")))
+        pairs = stars.select(
+            F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")
+        )
+        found = verifier.links(pairs)
         links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        live = checkpointed(_live(lists, labels, turn))
-        per_list = live.select("key", "size").distinct()
+        labels = checkpointed(components(links))
+        live = _live(live.select("list", "node", "n", "most"), labels, turn)
+        per_list = live.select("list", "size").distinct()
         left = per_list.agg(F.sum(F.col("size") * (F.col("size") - 1) / 2), F.sum("size")).head()
         if left[0] is None or left[0] <= PAIRS_PER_ENTRY * left[1] or found.isEmpty():
             break
-    one = live.select("key", F.col("node").alias("a"), F.col("comp").alias("_c"), F.col("n").alias("_n"))
-    two = live.select("key", F.col("node").alias("b"), F.col("comp").alias("_d"), F.col("n").alias("_m"))
-    across = one.join(two, "key").filter(F.col("_c") < F.col("_d")).filter(F.expr(_like_sizes("_n", "_m")))
-    rest = checkpointed(_linked(across.select("a", "b").distinct(), tokens))
-    return components(links.unionByName(rest))
+    one = live.select("list", *(F.col(name).alias(f"_{name}") for name in ("node", "n", "most", "comp")))
+    across = one.join(live.select("list", "node", "n", "most", "comp"), "list").filter(
+        (F.col("_comp") < F.col("comp")) & _within_reach("_n", "_most", "n", "most")
+    )
+    rest = verifier.links(
+        across.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
+    )
+    return labels if rest.isEmpty() else components(links.unionByName(rest))
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -270,9 +325,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
     without shingles. An empty table gives an empty table.
     """
     docs = docs.select("doc_id", "text")
-    classes, boundary = survey(docs)
-    sets = hashed_sets(docs, classes, boundary)
-    labels = similar_components(docs, sets)
+    with shuffles_removed(docs.sparkSession):
+        classes, boundary = survey(docs)
+        sets = hashed_sets(docs, classes, boundary)
+        labels = checkpointed(similar_components(docs, sets, boundary))
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
     equal = sets.filter("n > 0").groupBy("h1", "h2").agg(
         F.min("node").alias("_rep"), least.alias("_least")
