@@ -59,8 +59,16 @@ def hamming(left: Column, right: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda total, part: total + part)
 
 
-def _probes(queries: DataFrame, segment: int, radius: int) -> DataFrame:
-    """Every value at ``radius`` bits from each segment of each query."""
+def _present(index: DataFrame, segments: int, segment: int) -> np.ndarray:
+    """Which values each segment takes in the index; at most segments * 2**WIDEST bits."""
+    taken = index.select("part", "value").distinct().toPandas()
+    present = np.zeros((segments, 1 << segment), dtype=bool)
+    present[taken["part"].to_numpy(dtype=np.int64), taken["value"].to_numpy(dtype=np.int64)] = True
+    return present
+
+
+def _probes(queries: DataFrame, present: np.ndarray, segment: int, radius: int) -> DataFrame:
+    """The values at ``radius`` bits from each segment of each query that the index holds."""
     masks = [sum(1 << bit for bit in bits) for bits in combinations(range(segment), radius)]
 
     def flip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,8 +77,11 @@ def _probes(queries: DataFrame, segment: int, radius: int) -> DataFrame:
         for batch in batches:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
-                values = part["value"].to_numpy()[:, None] ^ flips[None, :]
-                yield part.loc[part.index.repeat(len(flips))].assign(value=values.ravel())
+                values = (part["value"].to_numpy()[:, None] ^ flips[None, :]).ravel()
+                probes = part.loc[part.index.repeat(len(flips))].assign(value=values)
+                held = present[probes["part"].to_numpy(), values]
+                if held.any():
+                    yield probes[held]
 
     parts = queries.select("query", "bound", F.posexplode("query").alias("part", "value"))
     return parts.mapInPandas(flip, "query array<int>, bound int, part int, value int")
@@ -102,6 +113,8 @@ def top_k(rows: DataFrame, queries: DataFrame, segment: int, k: int = TOP) -> Da
     total = codes.select(F.explode("ids")).limit(k).count()
     segments = codes.agg(F.max(F.size("code"))).head()[0] or 0
 
+    present = _present(index, segments, segment)
+
     wanted = queries.select(F.col("code").alias("query")).distinct()
     hit_type = "array<struct<distance:int,ids:array<struct<id:bigint>>>>"
     open_queries = checkpointed(wanted.withColumn("best", F.array().cast(hit_type)))
@@ -112,7 +125,7 @@ def top_k(rows: DataFrame, queries: DataFrame, segment: int, k: int = TOP) -> Da
             break
         kth = _kth_distance(F.col("best"), total)
         bound = F.coalesce(kth, F.lit(segments * segment)).alias("bound")
-        probes = _probes(open_queries.select("query", bound), segment, radius)
+        probes = _probes(open_queries.select("query", bound), present, segment, radius)
         distance = hamming(F.col("query"), F.col("code"))
         found = (
             probes.join(index, ["part", "value"])
