@@ -2,15 +2,16 @@
 
 URLs that a rule decides are the examples: allowed ones train one model, blocked ones the
 other. A model predicts each character from up to ``ORDER`` characters before it. The order
-varies: a context that was not seen, or seldom enough to be left out, hands over to the next
-shorter one, and each order is smoothed with the shorter one by how many different
+varies: a context that was not seen hands over to the next shorter one, and each order is smoothed with the shorter one by how many different
 characters followed it (Witten-Bell). A URL's score is the difference of its log-likelihoods
 under both models for each character, and the threshold is calibrated on examples kept
 out of the counts.
 
-Counting is a Spark aggregation over all examples. Characters are mapped to ``ALPHABET``, so
-orders 0 to 2 have at most 2 * (len(ALPHABET) + 2) ** 3 entries; of the longer ones the
-``LONG_GRAMS`` most frequent are kept. That bounds the model that every task gets.
+Counting is a Spark aggregation over all examples, and every gram that occurs is kept, in a
+table. Characters are mapped to ``ALPHABET``, so an order has at most
+2 * (len(ALPHABET) + 2) ** (order + 1) entries. The distinct grams of the URLs meet that table
+by joins, once for each order, and a URL's score is summed up from its grams; the driver gets
+only the bins of the threshold.
 """
 
 from __future__ import annotations
@@ -19,11 +20,10 @@ import math
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstats.llm.common import LOWER, UPPER, ascii_lower, read_table, unused
+from logstats.llm.common import LOWER, UPPER, ascii_lower, read_table, small, unused
 from logstats.scratch import checkpointed
 
 # The rules, as (verdict, host, path).
@@ -34,13 +34,13 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 ORDER = 4
-LONG_GRAMS = 100_000
 # Digits are mapped to 0 and characters that are not listed to *.
 ALPHABET = LOWER + "0./-_?=&%#:~+@*"
 START, END = "^", "$"
 # Scores are counted in bins of this width for the threshold, up to the largest score.
 BIN, LARGEST = 0.01, 30.0
 HELD_OUT = 5
+KINDS = ("allow", "block")
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -72,31 +72,81 @@ def model_text(url: Column) -> Column:
     return F.concat(F.lit(START * ORDER), plain, F.lit(END))
 
 
-def count_grams(examples: DataFrame) -> list:
-    """``(verdict, gram, n)`` of all orders from examples with ``verdict`` and ``chars``.
+def grams_of(chars: str) -> Column:
+    """All longest grams of a model text, one for each character and the end."""
+    places = F.sequence(F.lit(1), F.length(chars) - ORDER)
+    return F.transform(places, lambda i: F.col(chars).substr(i, F.lit(ORDER + 1)))
+
+
+def count_grams(examples: DataFrame) -> DataFrame:
+    """``gram`` with its numbers ``allow`` and ``block`` from examples with ``verdict`` and ``chars``.
 
     Only the longest grams are counted from the text; the shorter ones are their ends.
     """
-    places = F.sequence(F.lit(1), F.length("chars") - ORDER)
-    longest = F.transform(places, lambda i: F.col("chars").substr(i, F.lit(ORDER + 1)))
-    counts = checkpointed(
-        examples.select("verdict", F.explode(longest).alias("gram"))
-        .groupBy("verdict", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
+    found = examples.select("verdict", F.explode(grams_of("chars")).alias("gram"))
+    return checkpointed(
+        found.groupBy("gram").agg(
+            *(F.count(F.when(F.col("verdict") == kind, 1)).alias(kind) for kind in KINDS)
+        )
     )
-    found = []
+
+
+def gram_ratios(counts: DataFrame, grams: DataFrame) -> DataFrame:
+    """Distinct ``gram`` with ``ratio``, the log-likelihood ratio of its last character.
+
+    Each order is joined to the ends of the grams, the shortest first. At most as many ends as
+    there are characters share a context, and so no key is frequent.
+    """
+    uniform = F.lit(1.0 / (len(ALPHABET) + 1))
+    shorter = None
     for length in range(1, ORDER + 2):
-        level = counts.groupBy("verdict", F.expr(f"right(gram, {length})").alias("gram")).agg(
-            F.sum("n").alias("n")
+        level = counts.groupBy(F.expr(f"right(gram, {length})").alias("gram")).agg(
+            *(F.sum(kind).alias(kind) for kind in KINDS)
+        )
+        contexts = level.groupBy(F.expr(f"left(gram, {length - 1})").alias("_context")).agg(
+            *(F.sum(kind).alias(f"{kind}_total") for kind in KINDS),
+            *(F.count(F.when(F.col(kind) > 0, 1)).alias(f"{kind}_kinds") for kind in KINDS),
+        )
+        ends = grams.select(F.expr(f"right(gram, {length})").alias("gram")).distinct()
+        ends = ends.withColumns(
+            {"_context": F.expr(f"left(gram, {length - 1})"), "_end": F.expr(f"right(gram, {length - 1})")}
         )
-        if length > 3:
-            level = level.orderBy(F.desc("n"), "gram", "verdict").limit(LONG_GRAMS)
-        found += level.collect()
-    return found
+        met = ends.join(level, "gram", "left").join(contexts, "_context", "left")
+        if shorter is None:
+            met = met.withColumns({f"{kind}_p": uniform for kind in KINDS})
+        else:
+            met = met.join(shorter.withColumnRenamed("gram", "_end"), "_end")
+        smoothed = []
+        for kind in KINDS:
+            n, total, kinds, p = (F.col(kind + end) for end in ("", "_total", "_kinds", "_p"))
+            seen = (F.coalesce(n, F.lit(0)) + kinds * p) / (total + kinds)
+            smoothed.append(F.when(total > 0, seen).otherwise(p).alias(f"{kind}_p"))
+        shorter = checkpointed(met.select("gram", *smoothed))
+    allow, block = (F.col(f"{kind}_p") for kind in KINDS)
+    return shorter.select("gram", (F.log(allow) - F.log(block)).alias("ratio"))
+
+
+def text_scores(counts: DataFrame, texts: DataFrame) -> DataFrame:
+    """Distinct ``chars`` of ``texts`` with ``score``, the mean ratio of their characters.
+
+    Ratios are summed up as decimals, so that the order of the sum does not matter.
+    """
+    texts = checkpointed(
+        checkpointed(texts.select("chars").distinct()).withColumn("_text", F.monotonically_increasing_id())
+    )
+    places = texts.select("_text", F.explode(grams_of("chars")).alias("gram"))
+    ratios = gram_ratios(counts, checkpointed(places.select("gram").distinct()))
+    ratios = small(ratios.withColumn("ratio", F.col("ratio").cast("decimal(22,18)")))
+    sums = places.join(ratios, "gram").groupBy("_text").agg(F.sum("ratio").alias("_sum"))
+    mean = F.col("_sum").cast("double") / (F.length("chars") - ORDER)
+    return checkpointed(texts.join(sums, "_text").select("chars", mean.alias("score")))
 
 
 class GramModel:
-    """Log-likelihood ratio of a character after its context, from gram counts."""
+    """Log-likelihood ratio of a character after its context, from gram counts.
+
+    This states on single grams what ``gram_ratios`` computes on tables, for tests.
+    """
 
     def __init__(self, grams: Iterable[tuple[str, str, int]]):
         self.counts = {"allow": {}, "block": {}}
@@ -137,19 +187,6 @@ class GramModel:
         return sum(self.ratio(chars[i : i + ORDER + 1]) for i in places) / len(places)
 
 
-def scorer(model: GramModel):
-    grams = [(v, gram, n) for v, counts in model.counts.items() for gram, n in counts.items()]
-    built: list[GramModel] = []
-
-    @F.pandas_udf("double")
-    def score(chars: pd.Series) -> pd.Series:
-        if not built:
-            built.append(GramModel(grams))
-        return chars.map(built[0].score)
-
-    return score
-
-
 def calibrated_threshold(scores: DataFrame) -> float:
     """The score that best separates ``verdict`` allow from block among held-out examples.
 
@@ -198,17 +235,17 @@ def filter_urls(
         F.col(chars).alias("chars"),
         (F.pmod(F.xxhash64(chars), F.lit(HELD_OUT)) == 0).alias("held_out"),
     )
-    grams = count_grams(examples.filter("NOT held_out"))
-    model = GramModel((row["verdict"], row["gram"], row["n"]) for row in grams)
-    if not model.trained:
+    counts = count_grams(examples.filter("NOT held_out"))
+    trained = [kind for kind in KINDS if not counts.filter(F.col(kind) > 0).isEmpty()]
+    if len(trained) < len(KINDS):
         filled = {"verdict": F.coalesce("_ruled", F.lit("allow")), "score": F.lit(None).cast("double")}
         return judged.withColumns(filled).drop(chars, "_ruled")
-    score = scorer(model)
-    held_out = examples.filter("held_out").withColumn("score", score("chars"))
+    scores = small(text_scores(counts, judged.select(F.col(chars).alias("chars"))))
+    held_out = examples.filter("held_out").join(scores, "chars")
     threshold = calibrated_threshold(held_out)
     by_score = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return (
-        judged.withColumn("score", score(chars))
+        judged.join(scores.withColumnRenamed("chars", chars), chars)
         .withColumn("verdict", F.coalesce("_ruled", by_score))
         .drop(chars, "_ruled")
     )

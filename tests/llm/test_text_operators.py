@@ -172,6 +172,30 @@ def test_url_model_is_a_smoothed_model_of_variable_order():
     assert model.score(pad + "good/look$") > 0 > model.score(pad + "spam/spin$")
 
 
+def test_url_scores_come_from_all_grams(spark, monkeypatch):
+    monkeypatch.setattr(urls, "LONG_GRAMS", 500, raising=False)
+    rng = np.random.default_rng(11)
+    letters = np.array(list(urls.LOWER))
+    paths = ["".join(rng.choice(letters, 70)) for _ in range(300)]
+    texts = [f"http://s.net/{p}" for p in paths[:200]] + [f"http://s.org/fr/{p}" for p in paths[200:280]]
+    texts += [f"http://other.com/{p[:35]}{q[:35]}" for p, q in zip(paths[180:200], paths[260:280], strict=True)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "page_id long, url string").cache()
+    held = F.pmod(F.xxhash64("chars"), F.lit(urls.HELD_OUT)) == 0
+    chars = rows.withColumn("chars", urls.model_text(F.col("url"))).withColumn("held", held).collect()
+    grams = Counter()
+    for row in chars:
+        verdict = {"s.net": "block", "s.org": "allow"}.get(row["url"].split("/")[2])
+        for i in range(len(row["chars"]) - urls.ORDER if verdict and not row["held"] else 0):
+            for order in range(urls.ORDER + 1):
+                grams[verdict, row["chars"][i + urls.ORDER - order : i + urls.ORDER + 1]] += 1
+    model = urls.GramModel((v, g, n) for (v, g), n in grams.items())
+    assert sum(len(g) == 5 for _, g in grams) > 10_000
+    found = {r["page_id"]: r["score"] for r in urls.filter_urls(rows).collect()}
+    assert len(found) == len(texts)
+    for row in chars:
+        assert found[row["page_id"]] == pytest.approx(model.score(row["chars"]), abs=1e-9)
+
+
 # Language.
 
 
