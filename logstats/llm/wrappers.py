@@ -7,7 +7,7 @@ merged into one that counts, for each node, the pages it is on and how often the
 stands there. Text that most pages share at a node is template; a node whose text varies
 is a slot.
 
-The content is the lowest node that holds nearly all varying text of the host. A page's main
+The content is the lowest node that holds all varying text of the host that is no aside. A page's main
 text is what the page has below the node aligned with it, without asides (menus, adverts,
 forms and the like, known by element, role or name), and without template text. A page that
 has no such node, or a host with a single page, is judged by its own tree alone.
@@ -36,7 +36,7 @@ from logstats.scratch import checkpointed
 LEAST_PAGES = 4
 # Share of a host's pages that have a text, for it to be template.
 SHARED = 0.5
-# Share of a tree's varying text below a child, for the content to be there.
+# Share of a tree's varying text below a child, for most of the content to be there.
 MOST_TEXT = 0.7
 # Trees a task holds at a time, and parts that a host's trees are first merged in.
 HELD_TREES = 2000
@@ -141,33 +141,36 @@ def _all_chars(node: list) -> int:
     return node[CHARS] + sum(_all_chars(child) for child in node[CHILDREN])
 
 
+def _lowest(node: list, share: float) -> list:
+    """The lowest node of a tree that has so much of the varying text, child by child."""
+    while node[CHILDREN]:
+        total = _slot_chars(node)
+        chars, i = max((_slot_chars(child), -i) for i, child in enumerate(node[CHILDREN]))
+        below = node[CHILDREN][-i]
+        kind = below[SIGNATURE].partition(".")[0]
+        if chars == 0 or chars < share * total or kind in TEXT_BLOCKS:
+            break
+        node = below
+    return node
+
+
 def wrapper(tree: list) -> list:
     """What extraction needs of a host's tree: signature, whether it is the content, the
     template texts, and the children, of all nodes.
 
-    If most text of the content is the same on most pages, these are copies of one page and
-    no text is template.
+    If most text where the bulk of the content lies is the same on most pages, these are copies
+    of one page and no text there is template.
     """
-    content, path = tree, []
-    while True:
-        total = _slot_chars(content)
-        parts = [(_slot_chars(child), -i) for i, child in enumerate(content[CHILDREN])]
-        chars, i = max(parts, default=(0, 0))
-        below = content[CHILDREN][-i] if parts else None
-        kind = below[SIGNATURE].partition(".")[0] if below else ""
-        if not parts or chars == 0 or chars < MOST_TEXT * total or kind in TEXT_BLOCKS:
-            break
-        path.append(-i)
-        content = below
-    varies = 2 * _slot_chars(content) >= _all_chars(content)
+    content, bulk = _lowest(tree, 1.0), _lowest(tree, MOST_TEXT)
+    varies = 2 * _slot_chars(bulk) >= _all_chars(bulk)
 
-    def plain(node: list, is_content: bool, inside: bool) -> list:
-        inside = inside or is_content
-        shared = sorted(_shared(node)) if inside and varies else []
-        children = [plain(child, child is content, inside) for child in node[CHILDREN]]
-        return [node[SIGNATURE], int(is_content), 0, shared, children]
+    def plain(node: list, inside: bool, in_bulk: bool) -> list:
+        inside, in_bulk = inside or node is content, in_bulk or node is bulk
+        shared = sorted(_shared(node)) if inside and (varies or not in_bulk) else []
+        children = [plain(child, inside, in_bulk) for child in node[CHILDREN]]
+        return [node[SIGNATURE], int(node is content), 0, shared, children]
 
-    return plain(tree, tree is content, False)
+    return plain(tree, False, False)
 
 
 def _content_nodes(rule: list, nodes: list[Node], dropped: set[int]) -> list[Node]:

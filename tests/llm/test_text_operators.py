@@ -455,6 +455,30 @@ def test_copies_of_one_page_keep_their_text():
     assert text == "A\nall the same text"
 
 
+def host_texts(pages):
+    tree = None
+    for one in pages:
+        one = wrappers.page_tree([wrappers.parse(one)])
+        tree = wrappers.merge(tree, one) if tree else one
+    rule = wrappers.wrapper(tree)
+    return [wrappers.main_text(one, rule) for one in pages]
+
+
+@pytest.mark.parametrize("sections", [1, 2])
+def test_text_beside_the_largest_part_stays(sections):
+    pages, want = [], []
+    for i in range(6):
+        long = [f"page {i} part {k} " + f"body{i}{k} " * 60 for k in range(sections)]
+        parts = "".join(f"<section><p>{text}</p></section>" for text in long)
+        pages.append(
+            f"<body><nav><a href=/>home</a></nav><div>Same on all</div><article><h1>Title {i}</h1>"
+            f"<p>lead {i}</p><div class=body>{parts}</div></article></body>"
+        )
+        want.append("\n".join([f"Title {i}", f"lead {i}", *(text.strip() for text in long)]))
+    assert host_texts(pages) == want
+    assert host_texts(["<article><h1>T</h1><p>lead</p><div>" + "<p>long text</p>" * 9 + "</div></article>"])[0].startswith("T\nlead\nlong")
+
+
 def test_tree_matching_finds_the_most_nodes():
     def tree(name, *children):
         return [name, 1, 0, {}, list(children)]
