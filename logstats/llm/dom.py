@@ -12,6 +12,8 @@ INLINE = frozenset(
     "s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Anything else ends an open head, whose end tag may be left out.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "iframe", "template"))
 # Elements that end an open paragraph; any block does, so this is all blocks.
 REPEATED = {
@@ -41,6 +43,8 @@ ASIDE_WORDS = frozenset(
 )
 # These words and elements mark a page's head, or an article's own.
 HEADER_WORDS = frozenset(("header",))
+# Begins the signature of a node that is an aside unless it holds the host's text.
+WEAK = "~"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:[!?][^>]*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -55,6 +59,8 @@ class Node:
     tag: str
     label: str = ""
     aside: bool = False
+    # An aside by a word or as a form only, which may as well be wrapped round the content.
+    weak: bool = False
     in_article: bool = False
     children: list[Node] = field(default_factory=list)
     # Own blocks of text: their place in the page and the text.
@@ -62,7 +68,8 @@ class Node:
 
     @property
     def signature(self) -> str:
-        return f"{self.tag}.{self.label}" if self.label else self.tag
+        name = f"{self.tag}.{self.label}" if self.label else self.tag
+        return WEAK + name if self.weak else name
 
 
 def _element(tag: str, attributes: str, parent: Node) -> Node:
@@ -81,16 +88,31 @@ def _element(tag: str, attributes: str, parent: Node) -> Node:
                 if kind == "class" and value.strip():
                     label = re.sub(r"\d+", "", value.split()[0].lower())
     in_article = parent.in_article or tag in ("article", "main") or "main" in roles
-    head = not in_article and (tag == "header" or not HEADER_WORDS.isdisjoint(words))
     aside = (
-        parent.aside
-        or hidden
-        or tag in ASIDE
-        or head
-        or (tag not in ("html", "body", "article", "main") and not ASIDE_WORDS.isdisjoint(words))
+        hidden
+        or (tag in ASIDE and tag != "form")
+        or (tag == "header" and not in_article)
         or not ASIDE_ROLES.isdisjoint(roles)
     )
-    return Node(tag, label, aside, in_article)
+    named = not ASIDE_WORDS.isdisjoint(words) or (not in_article and not HEADER_WORDS.isdisjoint(words))
+    weak = tag == "form" or (named and tag not in ("html", "body", "article", "main"))
+    return Node(tag, label, aside, weak and not aside, in_article)
+
+
+def _clear_wrappers(root: Node) -> None:
+    """What holds a main element, or all articles of the page, is no aside by its name."""
+    nodes = [root]
+    for node in nodes:
+        nodes += node.children
+    if not any(node.weak for node in nodes):
+        return
+    mains, articles = {}, {}
+    for node in reversed(nodes):
+        mains[id(node)] = (node.tag == "main") + sum(mains[id(child)] for child in node.children)
+        articles[id(node)] = (node.tag == "article") + sum(articles[id(child)] for child in node.children)
+    for node in nodes:
+        if mains[id(node)] or 0 < articles[id(node)] == articles[id(root)]:
+            node.weak = False
 
 
 def parse(text: str) -> Node:
@@ -139,6 +161,8 @@ def parse(text: str) -> Node:
             cut = re.search(r"<[a-zA-Z/!?][^>]*\Z", plain)
             plain = plain[: cut.start()] if cut else plain
         if plain:
+            if stack[-1].tag == "head" and not plain.isspace():
+                pop_to(len(stack) - 1)
             held.append(plain)
             if not plain.isspace():
                 links.append(in_link > 0)
@@ -173,6 +197,9 @@ def parse(text: str) -> Node:
                     break
                 if stack[i].tag in REPEATED[tag]:
                     break
+        if tag not in IN_HEAD:
+            heads = (i for i, open_one in enumerate(stack) if open_one.tag == "head")
+            pop_to(next(heads, len(stack)))
         node = _element(tag, attributes, stack[-1])
         stack[-1].children.append(node)
         if tag in RAW:
@@ -183,6 +210,7 @@ def parse(text: str) -> Node:
             stack.append(node)
     pop_to(1)
     flush()
+    _clear_wrappers(root)
     return root
 
 

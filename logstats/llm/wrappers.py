@@ -9,7 +9,8 @@ is a slot.
 
 The content is the lowest node that holds all varying text of the host that is no aside. A page's main
 text is what the page has below the node aligned with it, without asides (menus, adverts,
-forms and the like, known by element, role or name), and without template text. A page that
+forms and the like, known by element, role or name), and without template text. What is an
+aside by its name only, or a form, is none if it holds most of the host's varying text. A page that
 has no such node, or a host with a single page, is judged by its own tree alone.
 
 Merging trees is associative: each task merges the pages it reads host by host, and only the
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstats.llm.common import read_table, small, unused
-from logstats.llm.dom import Node, blocks_below, parse
+from logstats.llm.dom import WEAK, Node, blocks_below, parse
 from logstats.llm.urls import url_parts
 from logstats.scratch import checkpointed
 
@@ -48,6 +49,8 @@ TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figca
 
 # A tree is a list: signature, pages, characters, {text hash: [pages, characters]}, children.
 SIGNATURE, PAGES, CHARS, TEXTS, CHILDREN = range(5)
+# A rule has a last element at its root: signatures that are asides by name but hold the text.
+HOLDING = 5
 
 
 def _text_hash(text: str) -> str:
@@ -141,13 +144,40 @@ def _all_chars(node: list) -> int:
     return node[CHARS] + sum(_all_chars(child) for child in node[CHILDREN])
 
 
+def _holding(tree: list) -> set[str]:
+    """Signatures of asides by name that hold more than half of the varying text."""
+    chars_of = _slot_chars if _slot_chars(tree) else _all_chars
+    chars: dict[str, int] = {}
+
+    def add(node: list, above: frozenset[str]) -> None:
+        name = node[SIGNATURE]
+        if name.startswith(WEAK) and name not in above:
+            chars[name] = chars.get(name, 0) + chars_of(node)
+            above = above | {name}
+        for child in node[CHILDREN]:
+            add(child, above)
+
+    add(tree, frozenset())
+    total = chars_of(tree)
+    return {name for name, count in chars.items() if 2 * count > total}
+
+
+def _without_asides(tree: list, holding: set[str]) -> list:
+    below = [
+        _without_asides(child, holding)
+        for child in tree[CHILDREN]
+        if not child[SIGNATURE].startswith(WEAK) or child[SIGNATURE] in holding
+    ]
+    return [*tree[:CHILDREN], below]
+
+
 def _lowest(node: list, share: float) -> list:
     """The lowest node of a tree that has so much of the varying text, child by child."""
     while node[CHILDREN]:
         total = _slot_chars(node)
         chars, i = max((_slot_chars(child), -i) for i, child in enumerate(node[CHILDREN]))
         below = node[CHILDREN][-i]
-        kind = below[SIGNATURE].partition(".")[0]
+        kind = below[SIGNATURE].removeprefix(WEAK).partition(".")[0]
         if chars == 0 or chars < share * total or kind in TEXT_BLOCKS:
             break
         node = below
@@ -161,6 +191,8 @@ def wrapper(tree: list) -> list:
     If most text where the bulk of the content lies is the same on most pages, these are copies
     of one page and no text there is template.
     """
+    holding = _holding(tree)
+    tree = _without_asides(tree, holding)
     content, bulk = _lowest(tree, 1.0), _lowest(tree, MOST_TEXT)
     varies = 2 * _slot_chars(bulk) >= _all_chars(bulk)
 
@@ -170,7 +202,16 @@ def wrapper(tree: list) -> list:
         children = [plain(child, inside, in_bulk) for child in node[CHILDREN]]
         return [node[SIGNATURE], int(node is content), 0, shared, children]
 
-    return plain(tree, False, False)
+    return [*plain(tree, False, False), sorted(holding)]
+
+
+def _settle(root: Node, rule: list) -> None:
+    """Make asides by name asides, except where the rule says that they hold the text."""
+    left = [root]
+    while left:
+        node = left.pop()
+        node.aside = node.aside or (node.weak and node.signature not in rule[HOLDING])
+        left += node.children
 
 
 def _content_nodes(rule: list, nodes: list[Node], dropped: set[int]) -> list[Node]:
@@ -195,13 +236,18 @@ def main_text(page: str | None, rule: list | None) -> str:
     """The main text of a page, its blocks apart by line ends."""
     if not page:
         return ""
-    root = parse(page)
     dropped: set[int] = set()
-    content = _content_nodes(rule, [root], dropped) if rule else []
-    blocks = [text for at, text in blocks_below(content) if at not in dropped]
+    blocks = []
+    if rule:
+        root = parse(page)
+        _settle(root, rule)
+        content = _content_nodes(rule, [root], dropped)
+        blocks = [text for at, text in blocks_below(content) if at not in dropped]
     if not blocks:
-        content = _content_nodes(wrapper(page_tree([root])), [root], set())
-        blocks = [text for _, text in blocks_below(content)]
+        root = parse(page)
+        rule = wrapper(page_tree([root]))
+        _settle(root, rule)
+        blocks = [text for _, text in blocks_below(_content_nodes(rule, [root], set()))]
     return "\n".join(blocks)
 
 

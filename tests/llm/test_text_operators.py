@@ -479,6 +479,23 @@ def test_text_beside_the_largest_part_stays(sections):
     assert host_texts(["<article><h1>T</h1><p>lead</p><div>" + "<p>long text</p>" * 9 + "</div></article>"])[0].startswith("T\nlead\nlong")
 
 
+@pytest.mark.parametrize(
+    "form",
+    [
+        "<html><head><title>t</title><body>{}", "<html><head><meta charset=x><div>{}</div>",
+        "<head><title>t</title>{}", "<body><div class='content-sidebar-wrap'><article>{}</article></div>",
+        "<body><div class='site-content no-sidebar'>{}</div>", "<body><div class='elementor-widget'>{}</div>",
+        "<body class=has-header><div class='has-header'><main>{}</main></div>", "<body><form id=aspnet>{}</form>",
+    ],
+)
+def test_names_and_open_heads_do_not_empty_pages(form):
+    more = "<div class='sidebar'><p>aside</p></div><aside>other</aside><div id=comments><p>nice</p></div>"
+    pages = [form.format(f"<h1>Head {i}</h1><p>text of page {i} {'and more ' * 9}</p>{more}") for i in range(5)]
+    want = [f"Head {i}\ntext of page {i} {'and more ' * 9}".strip() for i in range(5)]
+    assert host_texts(pages) == want
+    assert [host_texts([page])[0] for page in pages] == want
+
+
 def test_tree_matching_finds_the_most_nodes():
     def tree(name, *children):
         return [name, 1, 0, {}, list(children)]
