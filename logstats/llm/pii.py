@@ -9,7 +9,9 @@ its country, a name the title before it and its last letter, which carry the gen
 mention keeps its own separators and capitals.
 
 Surrogates are checked for collisions: two entities of a kind never share one, and none equals
-an entity that occurs. Those that collide are hashed again with the next attempt number.
+an entity that occurs. Those that collide are hashed again with the next attempt number, and
+from attempt ``SAME_LENGTH`` on with one letter or digit more at each attempt, so that no form is
+used up. Only addresses of hosts keep their form always; there are 3.7 billion of them.
 
 Only DataFrame functions are used. Shuffled are mentions and distinct entities, never texts
 without personal data.
@@ -24,7 +26,7 @@ from logstats.llm.common import read_table, small, unused
 from logstats.scratch import checkpointed
 
 KEY = "surrogates-1"
-MOST_ATTEMPTS = 50
+SAME_LENGTH = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _TITLE = (
@@ -55,10 +57,14 @@ ANY = "|".join(PATTERNS.values())
 # Letters that stand for one another, by script and kind.
 LETTERS = (
     "aeiou",
-    "bcdfghjklmnpqrstvwxz",
-    "аеиоу",
-    "бвгдзклмнпрст",
+    "bcdfghjklmnpqrstvwxyz",
+    "àáâãäåæèéêëìíîïòóôõöøœùúûüýÿąęőű",
+    "çćčďđğłńňñřśšşťźžż",
+    "аеёиоуыэюя",
+    "бвгджзйклмнпрстфхцчшщ",
 )
+# Of these kinds, a longer surrogate has its further letters in front; of others, behind.
+LONGER_IN_FRONT = ("name", "email", "secret")
 
 
 def mentions_of(text: Column) -> Column:
@@ -115,7 +121,12 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str = KEY) ->
     """The letters and digits that replace those of a canonical form; an address for ``ip``."""
     seed = F.concat_ws("|", F.lit(key), kind, entity, attempt.cast("string"))
     stream = F.concat(F.sha2(F.concat(seed, F.lit("|a")), 512), F.sha2(F.concat(seed, F.lit("|b")), 512))
-    plain = _chars(F.regexp_replace(entity, r"[^\p{L}0-9]", ""))
+    own = _chars(F.regexp_replace(entity, r"[^\p{L}0-9]", ""))
+    more = F.greatest(attempt - (SAME_LENGTH - 1), F.lit(0))
+    in_front = kind.isin(*LONGER_IN_FRONT)
+    plain = F.when(in_front, F.concat(F.array_repeat(F.lit("b"), more), own)).otherwise(
+        F.concat(own, F.array_repeat(F.lit("0"), more))
+    )
     size = F.size(plain)
     kept_front = F.when((kind == "phone") & entity.startswith("+"), 1).when(kind == "iban", 2).otherwise(0)
     kept_back = (
@@ -135,7 +146,7 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str = KEY) ->
 
     changed = F.transform(plain, replaced)
     front = F.slice(changed, 1, size - 1)
-    last = F.pmod(_luhn(plain) - _luhn(F.concat(front, F.array(F.lit("0")))), F.lit(10)).cast("string")
+    last = F.pmod(_luhn(own) - _luhn(F.concat(front, F.array(F.lit("0")))), F.lit(10)).cast("string")
     card = F.array_join(F.concat(front, F.array(last)), "")
     octets = [_byte(stream, F.lit(i)) for i in range(4)]
     address = F.concat_ws(
@@ -161,7 +172,7 @@ def assign_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         open_ones.select("kind", _comparable(F.col("kind"), F.col("entity")).alias("replacement"))
     )
     settled = open_ones.select("kind", "entity", F.lit("").alias("replacement")).filter("false")
-    for _ in range(MOST_ATTEMPTS):
+    while True:
         tried = open_ones.withColumn(
             "replacement", surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key)
         )
@@ -177,14 +188,15 @@ def assign_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         open_ones = marked.filter("NOT _won").select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
         if open_ones.isEmpty():
             return settled
-    raise RuntimeError("more entities of a form than the form has surrogates")
 
 
 def fitted(kind: Column, mention: Column, replacement: Column) -> Column:
     """A surrogate written the way a mention is: its title, separators and capitals."""
     title = F.when(kind == "name", F.regexp_extract(mention, rf"^{_TITLE} ", 0)).otherwise("")
     body = F.when(kind == "name", _without_title(mention)).otherwise(mention)
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("used"))
+    more = F.length(replacement) - F.length(F.regexp_replace(body, r"[^\p{L}0-9]", ""))
+    in_front = F.when(kind.isin(*LONGER_IN_FRONT), more).otherwise(0)
+    start = F.struct(F.lit("").alias("text"), in_front.alias("used"))
 
     def step(state: Column, c: Column) -> Column:
         letter = F.substring(replacement, state["used"] + 1, F.lit(1))
@@ -196,6 +208,17 @@ def fitted(kind: Column, mention: Column, replacement: Column) -> Column:
         )
 
     rebuilt = F.aggregate(_chars(body), start, step)["text"]
+    front = F.substring(replacement, F.lit(1), in_front)
+    capital = F.substring(body, 1, 1).rlike(r"\p{Lu}")
+    longer = F.when(capital, F.concat(F.initcap(front), F.lower(F.substring(rebuilt, 1, 1)))).otherwise(
+        F.concat(front, F.substring(rebuilt, 1, 1))
+    )
+    behind = F.substr(replacement, F.length(replacement) - more + 1)
+    rebuilt = (
+        F.when(in_front > 0, F.concat(longer, F.substr(rebuilt, F.lit(2))))
+        .when(more > 0, F.concat(rebuilt, behind))
+        .otherwise(rebuilt)
+    )
     return F.when(kind == "ip", replacement).otherwise(F.concat(title, rebuilt))
 
 

@@ -391,6 +391,24 @@ def test_colliding_surrogates_are_hashed_again(spark):
     assert len(new) == 300 == len(set(new.values())) and not set(new) & set(new.values())
 
 
+def test_forms_never_run_out(spark):
+    names = [a + "u" for a in "HWLXSFDGZTMYBCJKNPQRV"] + ["Yi", "Öz", "Ωω"]
+    mails = [f"{a}@{b}.io" for a in "abc" for b in "xyz"]
+    texts = [f"Dr {n} met Ms {n}." for n in names] + mails
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in pii.replace_entities(docs).collect()}
+    assert len(found) == len(texts)
+    new = []
+    for i, name in enumerate(names):
+        first, second = re.fullmatch(r"Dr (\w+) met Ms (\w+)\.", found[i]).groups()
+        assert first == second == first.capitalize() and first[-1] == name[-1]
+        new.append(first)
+    assert len(set(new)) == len(names) and not set(new) & set(names)
+    mailed = [found[len(names) + i] for i in range(len(mails))]
+    assert len(set(mailed)) == len(mails) and not set(mailed) & set(mails)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.io", m) for m in mailed)
+
+
 # Hamming search.
 
 
