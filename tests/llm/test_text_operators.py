@@ -340,6 +340,21 @@ def test_leaks_are_found_and_others_left(spark, odd, none):
     assert decontamination.drop_leaks(none, items).count() == 0
 
 
+def test_items_with_another_end_are_found(spark):
+    rng = np.random.default_rng(17)
+    items, texts = [], []
+    for i in range(360):
+        size = 15 + i % 45
+        item = [f"v{i}x{k}" for k in rng.integers(0, 10**6, size)]
+        changed = max(k for k in range(size) if (size - 4 - k) / (size - 4 + k) >= decontamination.SIMILARITY)
+        other = [f"o{i}x{k}" for k in range(changed)]
+        items.append((i, " ".join(item)))
+        texts.append((i, " ".join(item[: size - changed] + other if i % 2 else other + item[changed:])))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = decontamination.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, i) for i in range(360)}
+
+
 def test_blocks_meet_everything_within_the_radius(spark):
     rng = np.random.default_rng(3)
     pairs = []
