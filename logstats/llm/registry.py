@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from logstats.llm import decontamination, hamming_search, jaccard_join, language, mixing, pii, sharding, urls, warc, wrappers
+from logstats.llm import (
+    decontamination,
+    hamming_search,
+    jaccard_join,
+    language,
+    mixing,
+    pieces,
+    pii,
+    sharding,
+    urls,
+    warc,
+    wrappers,
+)
 
 QUERIES = {
     "op1_wrapper_text": wrappers.op1_wrapper_text,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_surrogates": pii.op8_surrogates,
     "op9_size_aware_join": jaccard_join.op9_size_aware_join,
     "op10_zip_warc": warc.op10_zip_warc,
+    "op12_chunk_table": pieces.op12_chunk_table,
 }
 ORACLES = {
     "op2_systematic_mix": mixing.ORACLE,
