@@ -11,6 +11,7 @@ from logstats.llm import (
     pieces,
     pii,
     sharding,
+    spelling,
     urls,
     warc,
     wrappers,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_surrogates": pii.op8_surrogates,
     "op9_size_aware_join": jaccard_join.op9_size_aware_join,
     "op10_zip_warc": warc.op10_zip_warc,
+    "op11_position_bitsets": spelling.op11_position_bitsets,
     "op12_chunk_table": pieces.op12_chunk_table,
 }
 ORACLES = {
@@ -34,4 +36,5 @@ ORACLES = {
     "op3_hamming_top_k": hamming_search.ORACLE,
     "op5_simhash_leaks": decontamination.ORACLE,
     "op10_zip_warc": warc.ORACLE,
+    "op11_position_bitsets": spelling.ORACLE,
 }
