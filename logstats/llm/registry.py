@@ -10,6 +10,7 @@ from logstats.llm import (
     mixing,
     pieces,
     pii,
+    ranking,
     sharding,
     spelling,
     urls,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_zip_warc": warc.op10_zip_warc,
     "op11_position_bitsets": spelling.op11_position_bitsets,
     "op12_chunk_table": pieces.op12_chunk_table,
+    "op13_fp_tree_search": ranking.op13_fp_tree_search,
 }
 ORACLES = {
     "op2_systematic_mix": mixing.ORACLE,
@@ -37,4 +39,5 @@ ORACLES = {
     "op5_simhash_leaks": decontamination.ORACLE,
     "op10_zip_warc": warc.ORACLE,
     "op11_position_bitsets": spelling.ORACLE,
+    "op13_fp_tree_search": ranking.ORACLE,
 }
