@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstats.llm.common import read_table, shuffles_removed, unused
-from logstats.scratch import checkpointed
+from logstats.scratch import checkpointed, scratch_folder
 
 MARKER = "▁"
 # The part of the chunk table that every task gets: so many chunks of at most so many bytes.
@@ -165,7 +165,7 @@ def chunk_table(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column("chunk"), batch.column("n"), pa.array(ids, pa.binary())], ["chunk", "n", "ids"]
             )
 
-    return checkpointed(chunk_counts(docs, model).mapInArrow(segment, "chunk string, n long, ids binary"))
+    return chunk_counts(docs, model).mapInArrow(segment, "chunk string, n long, ids binary")
 
 
 @dataclass
@@ -291,8 +291,10 @@ def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_C
     model = Model.of(model_path)
     kind = np.uint32 if model.library.get_piece_size() > 1 << 16 else np.uint16
     spark = docs.sparkSession
-    with shuffles_removed(spark):
-        table = chunk_table(docs, model)
+    with shuffles_removed(spark), scratch_folder(spark, "chunks") as path:
+        # Written, as Parquet is a third of the size of a checkpoint, and not needed at the end.
+        chunk_table(docs, model).write.parquet(path)
+        table = spark.read.parquet(path)
         head = spark.sparkContext.broadcast(Head.of(table, kind, head_chunks))
         resolved = checkpointed(_resolved(docs, table, model, head))
     rendering = Rendering(model)
@@ -336,7 +338,7 @@ def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_C
                 chunks, per_text = cut_chunks(texts[start:end], model.cut_lines)
                 places = head.value.places(chunks)
                 lost = chunks.filter(pa.array(places < 0)).to_pylist()
-                more = {one["chunk"]: one["ids"] for found in asked[start:end] for one in found}
+                more = {chunk: ids for found in asked[start:end] for chunk, ids in _unpacked(found)}
                 known, places = head.value.with_more(places, lost, more)
                 for at, ids in zip(waiting[start:end], ids_of_texts(places, per_text, known), strict=True):
                     out[at] = _finished(rendering, ids)
@@ -350,6 +352,21 @@ def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_C
     return waiting.mapInArrow(second_pass, ", ".join([*others, *result]))
 
 
+def _packed(answers: list[dict]) -> bytes:
+    """Chunks and their ids, each after its length, compressed."""
+    parts = [part for one in answers for part in (one["chunk"].encode("utf-8", "surrogatepass"), one["ids"])]
+    lengths = np.array([len(parts), *map(len, parts)], dtype=np.uint32)
+    return zlib.compress(lengths.tobytes() + b"".join(parts), 1)
+
+
+def _unpacked(data: bytes) -> Iterator[tuple[str, bytes]]:
+    data = zlib.decompress(data)
+    n = int(np.frombuffer(data, dtype=np.uint32, count=1)[0])
+    edges = 4 * (n + 1) + np.cumsum([0, *np.frombuffer(data, dtype=np.uint32, count=n, offset=4)])
+    parts = [data[low:high] for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    return zip((part.decode("utf-8", "surrogatepass") for part in parts[::2]), parts[1::2], strict=True)
+
+
 def _resolved(docs: DataFrame, table: DataFrame, model: Model, head) -> DataFrame:
     """For texts with chunks beyond the head: ``key`` and ``answers``, these chunks' ids."""
 
@@ -369,7 +386,14 @@ def _resolved(docs: DataFrame, table: DataFrame, model: Model, head) -> DataFram
     # Equal texts ask as often as they occur, which is less than what puts a chunk into the head.
     asked = docs.select("text").mapInArrow(ask, "key binary, chunk string")
     answered = asked.join(table.select("chunk", "ids"), "chunk")
-    return answered.groupBy("key").agg(F.collect_set(F.struct("chunk", "ids")).alias("answers"))
+    answers = answered.groupBy("key").agg(F.collect_set(F.struct("chunk", "ids")).alias("answers"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [_packed(found) for found in batch.column("answers").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(packed, pa.binary())], ["key", "answers"])
+
+    return answers.mapInArrow(pack, "key binary, answers binary")
 
 
 def op12_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
