@@ -175,14 +175,13 @@ def _raw(body: str) -> str:
 _LISTED = """listed AS (
     SELECT CAST(c_custkey AS VARCHAR) AS sysid FROM customer WHERE c_custkey % 2 = 0
 )"""
-_PREPARED = """prepared AS (
-    SELECT DISTINCT tar_systemid AS system_id, 'DV25.0_R02_1549.b' AS sw_rev,
+_PREPARED_ROWS = """SELECT DISTINCT tar_systemid AS system_id, 'DV25.0_R02_1549.b' AS sw_rev,
         'MR750W' AS config, msg_code AS code, time_seq, TRY_CAST(time_seq AS DOUBLE) AS tick,
         CAST(seq_num AS BIGINT) AS seq, CAST(seq_num AS BIGINT) AS event_key,
         inputfilename AS file_name, msg_time AS log_local_ts, msg_datetime AS log_message_ts,
         msg_text, msg_source AS source, msg_date
-    FROM raw WHERE tar_systemid IS NOT NULL AND msg_code IS NOT NULL AND time_seq IS NOT NULL
-)"""
+    FROM raw WHERE tar_systemid IS NOT NULL AND msg_code IS NOT NULL AND time_seq IS NOT NULL"""
+_PREPARED = f"prepared AS ({_PREPARED_ROWS})"
 _FROM_FILES = f"""SELECT * FROM prepared WHERE tick IS NOT NULL
     AND msg_date BETWEEN '{FIRST_DAY}' AND '{LAST_DAY}' AND system_id IN (FROM listed)"""
 
@@ -244,6 +243,19 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'short_exams', count(DISTINCT exam_id) FROM timed WHERE exam_dur_sec < 180
         UNION ALL SELECT 'long_exams', count(DISTINCT exam_id) FROM timed WHERE exam_dur_sec >= 180
         UNION ALL SELECT 'all_exams', count(DISTINCT exam_id) FROM timed""",
+    "run_report_literal": f"""WITH {_CODES}, {_RAW},
+        prepared AS ({_PREPARED_ROWS} AND tag IS NOT NULL AND CAST(seq_num AS BIGINT) % 13 <> 0),
+        chosen AS (SELECT * FROM prepared WHERE tick IS NOT NULL),{_cut("chosen")}
+        SELECT count(*) FILTER (WHERE row_shutdowns > 0) AS num_sys,
+            CAST(sum(row_shutdowns) AS BIGINT) AS cum_shutdowns, count(*) AS cum_exams,
+            round(1000 * CAST(sum(row_shutdowns) AS DOUBLE) / count(*), 6) AS cum_ipte
+        FROM totals WHERE nth = 1""",
+    "late_rows": _log(
+        f"""SELECT log.system_id, log.event_key FROM log
+            JOIN (SELECT user_id FROM events WHERE ts < TIMESTAMP '{LAST_DAY}' GROUP BY user_id) s
+            ON CAST(s.user_id AS VARCHAR) = log.system_id
+        WHERE msg_date < '{LAST_DAY}' AND event_key % 7 = 0"""
+    ),
     "drop_columns": _raw("SELECT * EXCLUDE (dummy, tarfilename) FROM raw"),
     "filter_dates": _log(
         f"""SELECT system_id, event_key, msg_date FROM log
@@ -488,9 +500,14 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["stepwise_report"] = ORACLES["machine_report"]
 ORACLES["stepwise_report_literal"] = ORACLES["machine_report_literal"]
+# Cut period by period, what one cut gives.
+for _name in ("exam_segments", "exam_events"):
+    ORACLES[f"{_name}_by_period"] = ORACLES[_name]
+ORACLES["exam_segments_by_period_chunked"] = ORACLES["exam_segments"]
 # Machines cut into chunks give what whole machines give.
 for _name in (
     "run_report",
+    "run_diagnostics",
     "exam_segments",
     "exam_events",
     "machine_report",

@@ -12,7 +12,7 @@ from logstats import sources
 from logstats.checks import views
 from logstats.checks.views import SETTINGS
 from logstats.functions import event_day, ipte_rate, parse_tick, sevone
-from logstats.operators import catalog, cleaning, exams, incidents, metrics
+from logstats.operators import catalog, cleaning, exams, incidents, metrics, resume
 from logstats.operators.groups import Bounded, running_total
 from logstats.plans import (
     final_events,
@@ -161,10 +161,13 @@ def report_roundtrip(spark, sf_dir):
         return checkpointed(_rounded_report(sources.read_report(spark, written)))
 
 
-def _job(spark: SparkSession, sf_dir: str, folder: str, **options: object) -> DataFrame:
+def _job(
+    spark: SparkSession, sf_dir: str, folder: str, log: DataFrame | None = None, **options: object
+) -> DataFrame:
+    log = views.raw_log(spark, sf_dir) if log is None else log
     return run_report(
         spark,
-        log_path=_written(views.raw_log(spark, sf_dir), folder, "machine_log", quote="~"),
+        log_path=_written(log, folder, "machine_log", quote="~"),
         level_weights_path=_written(views.level_weights(spark), folder, "weights", header=True),
         code_actions_path=_written(views.code_actions(spark), folder, "codes", header=True),
         report_path=f"{folder}/report",
@@ -197,6 +200,24 @@ def run_diagnostics(spark, sf_dir):
         return checkpointed(written)
 
 
+@query("run_diagnostics_chunked")
+def run_diagnostics_chunked(spark, sf_dir):
+    with scratch_folder(spark, "files") as folder:
+        _job(spark, sf_dir, folder, settings=CHUNKED, metrics_path=f"{folder}/metrics")
+        written = spark.read.schema("stage string, n bigint").csv(f"{folder}/metrics.csv", header=True)
+        return checkpointed(written)
+
+
+@query("run_report_literal")
+def run_report_literal(spark, sf_dir):
+    """Some rows have nothing in ``dummy``, which the literal job drops them for."""
+    dummy = F.when(F.col("seq_num").cast("bigint") % 13 != 0, F.col("dummy"))
+    log = views.raw_log(spark, sf_dir).withColumn("dummy", dummy)
+    with scratch_folder(spark, "files") as folder:
+        totals = _job(spark, sf_dir, folder, log, settings=SETTINGS, mode="literal")
+        return checkpointed(totals.withColumn("cum_ipte", F.round("cum_ipte", 6)))
+
+
 # Cleaning.
 
 
@@ -580,6 +601,56 @@ def report_by_steps_chunked(spark, sf_dir):
     return _rounded_report(_final(spark, sf_dir, CHUNKED).then_grouped(stepwise_report, CHUNKED).rows)
 
 
+# Days in parts that follow one another, each cut with the state that the one before left.
+PERIODS = ("2024-01-08", "2024-01-20", "2024-02-01")
+
+
+def _period_rows(spark: SparkSession, sf_dir: str, settings: Settings, folder: str) -> DataFrame:
+    """Decided rows of all periods, and after the last one those still open."""
+    log, codes = views.event_log(spark, sf_dir), views.code_actions(spark)
+    state, first = None, ""
+    for end in PERIODS:
+        part = log.filter((F.col("msg_date") >= first) & (F.col("msg_date") < end))
+        period = resume.cut_next(part, codes, state, settings)
+        period.rows.write.mode("append").parquet(f"{folder}/rows")
+        resume.write_state(period.state, f"{folder}/{end}")
+        state, first = resume.read_state(spark, f"{folder}/{end}"), end
+    open_at_end = state.pending.drop("in_limit")
+    return spark.read.parquet(f"{folder}/rows").unionByName(open_at_end)
+
+
+def _segments_by_period(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
+    with scratch_folder(spark, "periods") as folder:
+        return checkpointed(resume.segments_of(_period_rows(spark, sf_dir, settings, folder)))
+
+
+@query("exam_segments_by_period")
+def exam_segments_by_period(spark, sf_dir):
+    return _segments_by_period(spark, sf_dir, SETTINGS)
+
+
+@query("exam_segments_by_period_chunked")
+def exam_segments_by_period_chunked(spark, sf_dir):
+    return _segments_by_period(spark, sf_dir, replace(SETTINGS, max_group_rows=7))
+
+
+@query("exam_events_by_period")
+def exam_events_by_period(spark, sf_dir):
+    with scratch_folder(spark, "periods") as folder:
+        records = exams.kept_records(_period_rows(spark, sf_dir, SETTINGS, folder))
+        return checkpointed(records.drop("tick", "seq"))
+
+
+@query("late_rows")
+def late_rows(spark, sf_dir):
+    """Rows of a first period that come again with the second one."""
+    log, codes = views.event_log(spark, sf_dir), views.code_actions(spark)
+    first = log.filter(F.col("msg_date") < LAST_DAY)
+    again = log.filter((F.col("msg_date") >= LAST_DAY) | (F.col("event_key") % 7 == 0))
+    state = resume.cut_next(first, codes, None, SETTINGS).state
+    return resume.late_rows(again, codes, state).select("system_id", "event_key")
+
+
 @query("running_total_nulls")
 def running_total_nulls(spark, sf_dir):
     """Values of some rows and keys of some machines are null."""

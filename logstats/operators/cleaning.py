@@ -112,12 +112,11 @@ def staged_log(log: DataFrame, all_columns: bool = False) -> DataFrame:
     """``clean_log`` with only the columns that ``prepare_log`` reads, and ``row_digest``.
 
     Rows are the same if their digests are, so the shuffle of the dedup carries a digest in
-    place of the columns that nothing reads.
+    place of the columns that nothing reads. A null ``dummy`` counts as a null of its row.
     """
-    log = drop_columns(log, "dummy")
-    complete = drop_incomplete(log, all_columns=all_columns)
-    used = [name for name in (*RECORD_SOURCES.values(), "seq_num") if name in log.columns]
-    digest = row_digest(log.columns).alias("row_digest")
+    complete = drop_columns(drop_incomplete(log, all_columns=all_columns), "dummy")
+    used = [name for name in (*RECORD_SOURCES.values(), "seq_num") if name in complete.columns]
+    digest = row_digest(complete.columns).alias("row_digest")
     return complete.select(*dict.fromkeys(used), digest).dropDuplicates(["row_digest"])
 
 
@@ -145,14 +144,17 @@ def usable_rows(log: DataFrame) -> DataFrame:
     return log.filter(present)
 
 
-def dedup_events(events: DataFrame) -> DataFrame:
+def dedup_events(events: DataFrame, copies: str | None = None) -> DataFrame:
     """One row per system, revision, code and time, across exams.
 
     The row of the earliest exam stays. The limit per key is applied before the
-    shuffle as well, so a large group of copies does not reach one task.
+    shuffle as well, so a large group of copies does not reach one task. With a name for
+    ``copies``, the row has the number of rows it stands for, and copies are not cut before.
     """
     key = Window.partitionBy("system_id", "sw_rev", "code", "time_seq")
     order = key.orderBy("exam_start", *ORDER, "exam_id")
+    if copies is not None:
+        events = events.withColumn(copies, F.count(F.lit(1)).over(key))
     return events.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
 
 

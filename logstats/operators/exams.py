@@ -94,6 +94,10 @@ def _chunk_summaries(hot: DataFrame) -> DataFrame:
 
 
 def _chunk_carries(hot: DataFrame, settings: Settings) -> DataFrame:
+    return _carries_of(_chunk_summaries(hot), settings)
+
+
+def _carries_of(summaries: DataFrame, settings: Settings) -> DataFrame:
     """What each chunk inherits: last service, open start, whether it stopped, how it ends."""
     steps = Window.partitionBy(*UNIT).orderBy(CHUNK)
     before = steps.rowsBetween(_FIRST, _PREVIOUS)
@@ -111,8 +115,7 @@ def _chunk_carries(hot: DataFrame, settings: Settings) -> DataFrame:
         _no(F.col("stopped_start") == last["_row"]).alias("stopped"),
     )
     carried = (
-        _chunk_summaries(hot)
-        .withColumn("carry_service", F.max("service").over(before))
+        summaries.withColumn("carry_service", F.max("service").over(before))
         .withColumn("_left_open", F.when(last.isNotNull(), left_open))
         .withColumn("_opened", F.last("_left_open", ignorenulls=True).over(before))
         .withColumn(
@@ -139,7 +142,13 @@ def _chunk_carries(hot: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _scan(rows: DataFrame, keys: Sequence[str], carried: bool, settings: Settings) -> DataFrame:
+def _scan(
+    rows: DataFrame,
+    keys: Sequence[str],
+    carried: bool,
+    settings: Settings,
+    keep_limit: bool = False,
+) -> DataFrame:
     steps = Window.partitionBy(*keys).orderBy(*ORDER)
     up_to, before = steps.rowsBetween(_FIRST, _THIS), steps.rowsBetween(_FIRST, _PREVIOUS)
     tick, row, is_start = F.col("tick"), F.col("_row"), F.col("is_start")
@@ -192,17 +201,19 @@ def _scan(rows: DataFrame, keys: Sequence[str], carried: bool, settings: Setting
         .when(stops, STOPPED)
         .otherwise(F.coalesce("_ending", F.lit(OPEN)))
     )
-    return (
+    cut = (
         candidates.withColumn("_event", event)
         .withColumn("_ending", ending)
         .withColumn("outcome", outcome)
         .withColumn("kept", F.col("_in_limit") & F.col("outcome").isin(*CLOSED))
-        .drop(
-            *("_start_id", "_row", "_service", "_real", "_mark", "_last_stop"),
-            *("_in_limit", "_event", "_ending", CHUNK),
-            *("carry_service", "carry_tick", "carry_real", "carry_id"),
-            *("carry_stopped", "carry_ending"),
-        )
+    )
+    if keep_limit:
+        cut = cut.withColumn("in_limit", F.col("_in_limit"))
+    return cut.drop(
+        *("_start_id", "_row", "_service", "_real", "_mark", "_last_stop"),
+        *("_in_limit", "_event", "_ending", CHUNK),
+        *("carry_service", "carry_tick", "carry_real", "carry_id"),
+        *("carry_stopped", "carry_ending"),
     )
 
 
@@ -273,7 +284,12 @@ def exam_events(
 
     A record column the log does not have is null.
     """
-    kept = cut_exams(log, code_actions, settings, bounded).filter("kept")
+    return kept_records(cut_exams(log, code_actions, settings, bounded))
+
+
+def kept_records(cut: DataFrame) -> DataFrame:
+    """The kept rows of a cut as exam records; see ``exam_events``."""
+    kept = cut.filter("kept")
     # Columns that hold their own name.
     kept = kept.withColumns({name: F.lit(name) for name in ("psd", "coil", "scan")})
     later = ("mebef_level", "mebef_wt")

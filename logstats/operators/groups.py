@@ -53,13 +53,16 @@ Bounded = bool | GroupSizes | None
 def group_sizes(
     rows: DataFrame, keys: Sequence[str], max_rows: int = MAX_GROUP_ROWS
 ) -> GroupSizes:
-    """Count groups: one pass over the key columns with map-side counts.
+    """Count groups: one pass over the key columns with map-side counts, for the largest.
 
-    The large groups are checkpointed, so that nobody counts again.
+    Only where that is beyond the bound are the large groups listed, and checkpointed, so
+    that nobody counts again.
     """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if (sizes.agg(F.max("_n")).head()[0] or 0) <= max_rows:
+        return GroupSizes(tuple(keys), None)
     large = checkpointed(sizes.filter(F.col("_n") > max_rows).select(*keys))
-    return GroupSizes(tuple(keys), None if large.isEmpty() else large)
+    return GroupSizes(tuple(keys), large)
 
 
 def groups_bounded(

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logstats import sources
 from logstats.operators import catalog, cleaning, exams, metrics
-from logstats.plans.report import final_events, report_from_events
-from logstats.scratch import checkpointed, scratch_folder
+from logstats.plans.report import (
+    RUN_COUNTS,
+    counted_machines,
+    final_events,
+    report_from_events,
+    report_of_counted,
+)
+from logstats.scratch import scratch_folder
 from logstats.settings import CONFIG, DEFAULTS, SOFTWARE_REV, Settings, check_mode
 
 
@@ -36,19 +42,10 @@ def read_log(
     return cleaning.add_constants(log, config, software_rev)
 
 
-def diagnostics(
-    staged: DataFrame, cut: DataFrame, events: DataFrame, settings: Settings = DEFAULTS
-) -> DataFrame:
-    """(stage, n): rows of the staged log, of the exams cut from it, and of their events."""
-    staged_rows = staged.agg(F.count(F.lit(1)).alias("staged"))
-    cut_rows = cut.agg(F.count(F.lit(1)).alias("in_exams"))
-    parts = (metrics.run_metrics, metrics.duration_stats)
-    return metrics.stage_counts(
-        staged_rows,
-        cut_rows,
-        metrics.distinct_counts(events),
-        *(part(events, settings) for part in parts),
-    )
+def _observed(rows: DataFrame, **sums: Column) -> tuple[DataFrame, Observation]:
+    """The rows, and what is seen of them while they are written."""
+    observation = Observation()
+    return rows.observe(observation, *(value.alias(name) for name, value in sums.items())), observation
 
 
 def run_report(
@@ -72,6 +69,9 @@ def run_report(
     are staged as Parquet in the session's shared folder, whatever their number. Machine
     sizes are counted there. ``all_columns`` drops rows with any null; it is what the
     literal mode does unless told otherwise. The totals are computed from the written report.
+
+    Diagnostics (stage, n) are observed while the staged rows and the machines are written,
+    each by the tasks of a last stage, whose results count once; nothing is read again for them.
     """
     check_mode(mode)
     if all_columns is None:
@@ -81,18 +81,21 @@ def run_report(
     log = read_log(spark, log_path, mode=mode, **log_options)
     log = catalog.keep_known_codes(log, codes)
     with scratch_folder(spark, "staged-log") as folder:
-        cleaning.staged_log(log, all_columns).write.parquet(folder)
-        staged = spark.read.parquet(folder)
-        prepared = cleaning.prepare_log(staged)
+        staged, seen = _observed(cleaning.staged_log(log, all_columns), staged=F.count(F.lit(1)))
+        staged.write.parquet(f"{folder}/log")
+        prepared = cleaning.prepare_log(spark.read.parquet(f"{folder}/log"))
         sizes = exams.log_bounded(prepared, codes, settings)
         if metrics_path is None:
             events = final_events(prepared, codes, weights, settings, sizes)
+            report = report_from_events(events, settings, mode)
         else:
-            # The report and the diagnostics use the same events.
-            cut = checkpointed(exams.exam_events(prepared, codes, settings, sizes))
-            events = checkpointed(final_events(prepared, codes, weights, settings, sizes, cut))
-            counts = diagnostics(staged, cut, events, settings)
-            counts.repartition(1).write.csv(f"{metrics_path}{stamp}.csv", header=True)
-        report = report_from_events(events, settings, mode)
+            events = final_events(prepared, codes, weights, settings, sizes, "copies")
+            sums = {name: F.sum(f"count_{name}") for name in RUN_COUNTS}
+            machines, counted = _observed(counted_machines(events, settings, mode, "copies"), **sums)
+            machines.write.parquet(f"{folder}/machines")
+            counts = [(name, n or 0) for name, n in {**seen.get, **counted.get}.items()]
+            diagnostics = spark.createDataFrame(counts, "stage string, n bigint")
+            diagnostics.repartition(1).write.csv(f"{metrics_path}{stamp}.csv", header=True)
+            report = report_of_counted(spark.read.parquet(f"{folder}/machines"))
         written = sources.write_report(report, report_path, stamp, files)
     return metrics.cumulative_ipte(sources.read_report(spark, written))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logstats.functions import code_flag, count_rows_where, ipte_rate
@@ -19,20 +19,20 @@ def final_events(
     level_weights: DataFrame,
     settings: Settings = DEFAULTS,
     bounded: Bounded = None,
-    cut: DataFrame | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """Exam records with level and weight, once per system, revision, code and time.
 
-    ``cut`` are the exam records of the log, for a caller who has them.
+    With a name for ``copies``, a record has the number of records it stands for.
     """
-    if cut is None:
-        cut = exams.exam_events(log, code_actions, settings, bounded)
-    events = cleaning.dedup_events(cut)
+    cut = exams.exam_events(log, code_actions, settings, bounded)
+    events = cleaning.dedup_events(cut, copies)
     events = catalog.attach_level(cleaning.drop_blank_exam(events), code_actions)
     return catalog.attach_weight(events, level_weights)
 
 
 def _exam_totals(events: DataFrame, settings: Settings, *more: Column) -> DataFrame:
+    """Sums of every exam, and whether it is ``long``."""
     shutdown = code_flag(F.col("code"), settings.shutdown_codes)
     either = code_flag(F.col("code"), (*settings.shutdown_codes, *settings.crash_codes))
     totals = events.groupBy(*EXAM).agg(
@@ -46,49 +46,63 @@ def _exam_totals(events: DataFrame, settings: Settings, *more: Column) -> DataFr
         count_rows_where(F.col("code") == settings.reset_code).alias("resets"),
         *more,
     )
-    return totals.filter(F.col("last_tick") - F.col("first_tick") >= settings.min_exam_s)
+    seconds = F.col("last_tick") - F.col("first_tick")
+    return totals.withColumn("long", seconds >= settings.min_exam_s)
 
 
-def _intended_totals(events: DataFrame, settings: Settings) -> DataFrame:
+def _first_row(mode: str) -> list[Column]:
+    """What the literal mode needs of an exam besides its sums."""
+    return [] if mode == "intended" else [F.min(F.struct(*ORDER, "mebef_wt")).alias("first_row")]
+
+
+def _machine_sums(settings: Settings, mode: str) -> list[Column]:
+    """Aggregates of a machine over its long exams, for all its exams are there."""
+
+    def of_long(value: Column | str) -> Column:
+        return F.when(F.col("long"), F.col(value) if isinstance(value, str) else value)
+
+    if mode == "literal":
+        by_row = F.col("rows") * F.col("interruptions") - F.col("shutdown_rows")
+        return [
+            F.sum(of_long(by_row)).alias("num_shutdowns"),
+            F.min(of_long("first_row")).alias("first_row"),
+        ]
     less = F.when(F.col("shutdown_rows") > 0, 1).otherwise(0)
-    num_exams = {"code": F.sum("coded"), "segment": F.count(F.lit(1))}[settings.num_exams_by]
-    return (
-        _exam_totals(events, settings)
-        .groupBy(*UNIT)
-        .agg(
-            F.sum(F.col("interruptions") - less).alias("num_shutdowns"),
-            F.sum("weight").alias("weight"),
-            F.sum("resets").alias("num_tps_resets"),
-            num_exams.alias("num_exams"),
-            F.max("last_tick").alias("time_seq_max"),
-            F.min("first_tick").alias("time_seq_min"),
-        )
-    )
+    num_exams = {"code": F.sum(of_long("coded")), "segment": F.count_if("long")}
+    return [
+        F.sum(of_long(F.col("interruptions") - less)).alias("num_shutdowns"),
+        F.sum(of_long("weight")).alias("weight"),
+        F.sum(of_long("resets")).alias("num_tps_resets"),
+        num_exams[settings.num_exams_by].alias("num_exams"),
+        F.max(of_long("last_tick")).alias("time_seq_max"),
+        F.min(of_long("first_tick")).alias("time_seq_min"),
+    ]
 
 
-def _literal_totals(events: DataFrame, settings: Settings) -> DataFrame:
-    """Per machine: the interruptions of every row's exam, and the first row's weight."""
-    first = F.min(F.struct(*ORDER, "mebef_wt")).alias("first_row")
-    by_row = F.col("rows") * F.col("interruptions") - F.col("shutdown_rows")
+def _totals(sums: DataFrame, mode: str) -> DataFrame:
+    """Literal has the first row's weight, and one for all counts."""
+    if mode == "intended":
+        return sums
     counts = ("num_tps_resets", "num_exams", "time_seq_max", "time_seq_min")
-    return (
-        _exam_totals(events, settings, first)
-        .groupBy(*UNIT)
-        .agg(F.sum(by_row).alias("num_shutdowns"), F.min("first_row").alias("first_row"))
-        .withColumn("weight", F.col("first_row.mebef_wt"))
-        .withColumns({name: F.lit(1) for name in counts})
-    )
+    weight = F.col("first_row.mebef_wt")
+    return sums.withColumn("weight", weight).withColumns({name: F.lit(1) for name in counts})
 
 
-def _as_report(machines: DataFrame) -> DataFrame:
-    rated = machines.withColumns(
+def _rated(machines: DataFrame) -> DataFrame:
+    return machines.withColumns(
         {
             "ipte_weighted": ipte_rate(F.col("weight"), F.col("num_exams")),
             "ipte_severity": ipte_rate(F.col("num_shutdowns"), F.col("num_exams")),
         }
     )
-    columns = [F.col(field.name).cast(field.dataType) for field in MACHINE_REPORT.fields]
-    return rated.select(*columns)
+
+
+def _report_columns() -> list[Column]:
+    return [F.col(field.name).cast(field.dataType) for field in MACHINE_REPORT.fields]
+
+
+def _as_report(machines: DataFrame) -> DataFrame:
+    return _rated(machines).select(*_report_columns())
 
 
 def machine_report(
@@ -113,8 +127,61 @@ def report_from_events(
 ) -> DataFrame:
     """``machine_report`` from ``final_events``."""
     check_mode(mode)
-    totals = _intended_totals if mode == "intended" else _literal_totals
-    return _as_report(totals(events, settings))
+    long = _exam_totals(events, settings, *_first_row(mode)).filter("long")
+    sums = long.groupBy(*UNIT).agg(*_machine_sums(settings, mode))
+    return _as_report(_totals(sums, mode))
+
+
+# Counts of a run by stage, in the order in which they are reported.
+RUN_COUNTS = (
+    "in_exams", "num_exams", "num_systems", "shutdown_rows", "crash_rows", "weight_one_rows",
+    "short_rows", "long_rows", "all_rows", "short_exams", "long_exams", "all_exams",
+)
+
+
+def counted_machines(events: DataFrame, settings: Settings, mode: str, copies: str) -> DataFrame:
+    """A row for every machine with an exam, long or not: the report's columns, and for each of
+    ``RUN_COUNTS`` the machine's share as ``count_<name>``.
+
+    The shares are part of the rows, so their sums are right however often a task ran.
+    ``events`` are ``final_events`` with ``copies``.
+    """
+    check_mode(mode)
+    crashes = code_flag(F.col("code"), settings.crash_codes)
+    more = [
+        F.sum(copies).alias("copies"),
+        F.sum(crashes).alias("crash_rows"),
+        count_rows_where(F.col("mebef_wt") == 1.0).alias("weight_one_rows"),
+    ]
+    short = ~F.col("long")
+    shares = {
+        "in_exams": F.sum("copies"),
+        "num_exams": F.count(F.lit(1)),
+        "shutdown_rows": F.sum("shutdown_rows"),
+        "crash_rows": F.sum("crash_rows"),
+        "weight_one_rows": F.sum("weight_one_rows"),
+        "short_rows": F.sum(F.when(short, F.col("rows")).otherwise(0)),
+        "long_rows": F.sum(F.when(short, 0).otherwise(F.col("rows"))),
+        "all_rows": F.sum("rows"),
+        "short_exams": count_rows_where(short),
+        "long_exams": count_rows_where(F.col("long")),
+        "all_exams": F.count(F.lit(1)),
+    }
+    sums = (
+        _exam_totals(events, settings, *_first_row(mode), *more)
+        .groupBy(*UNIT)
+        .agg(*_machine_sums(settings, mode), *(share.alias(f"count_{name}") for name, share in shares.items()))
+    )
+    # A system counts with the first of its revisions and configurations.
+    units = Window.partitionBy("system_id").orderBy("sw_rev", "config")
+    first = F.when(F.row_number().over(units) == 1, 1).otherwise(0)
+    rated = _rated(_totals(sums, mode).withColumn("count_num_systems", first))
+    return rated.select(*_report_columns(), *(f"count_{name}" for name in RUN_COUNTS))
+
+
+def report_of_counted(machines: DataFrame) -> DataFrame:
+    """The report from ``counted_machines``: those with a long exam."""
+    return machines.filter("count_long_exams > 0").select(*MACHINE_REPORT.names)
 
 
 def _rows_with_sums(events: DataFrame, settings: Settings, mode: str) -> DataFrame:
@@ -213,7 +280,9 @@ def report_stage_counts(
     complete = F.lit(True)
     for name in cleaning.NEEDED:
         complete = complete & F.col(name).isNotNull()
-    copies = log.groupBy(*log.columns).agg(F.count(F.lit(1)).alias("_n"))
+    digest = cleaning.row_digest(log.columns).alias("_digest")
+    copies = log.select(*cleaning.NEEDED, digest).groupBy("_digest", *cleaning.NEEDED)
+    copies = copies.agg(F.count(F.lit(1)).alias("_n"))
     of_log = copies.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("read"),
         F.count(F.lit(1)).alias("deduplicated"),

@@ -155,3 +155,12 @@ def test_chunks_have_exact_sizes(spark):
     hot = groups.split_groups(frame, ["k"], ["t", "n"], 70).hot
     sizes = [r["count"] for r in hot.groupBy(groups.CHUNK).count().orderBy(groups.CHUNK).collect()]
     assert sizes == [70] * 14 + [20]
+
+
+def test_a_null_dummy_drops_the_row_where_all_columns_count(spark):
+    names = "dummy string, tar_systemid string, msg_code string, time_seq string, seq_num string"
+    rows = [("d", "s", "A", "1", "1"), (None, "s", "A", "2", "2"), ("e", "s", "A", "1", "1")]
+    log = cleaning.add_constants(spark.createDataFrame(rows, names))
+    for all_columns, expected in ((True, 1), (False, 2)):
+        assert cleaning.clean_log(log, all_columns).count() == expected
+        assert cleaning.staged_log(log, all_columns).count() == expected
