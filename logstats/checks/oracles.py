@@ -250,6 +250,9 @@ ORACLES: dict[str, str] = {
             CAST(sum(row_shutdowns) AS BIGINT) AS cum_shutdowns, count(*) AS cum_exams,
             round(1000 * CAST(sum(row_shutdowns) AS DOUBLE) / count(*), 6) AS cum_ipte
         FROM totals WHERE nth = 1""",
+    "report_of_staged_days": f"""WITH {_LOG}, days AS (
+            SELECT * FROM log WHERE msg_date BETWEEN '{FIRST_DAY}' AND '{LAST_DAY}'),{_cut("days")}
+        {_ROUNDED_REPORT}""",
     "late_rows": _log(
         f"""SELECT log.system_id, log.event_key FROM log
             JOIN (SELECT user_id FROM events WHERE ts < TIMESTAMP '{LAST_DAY}' GROUP BY user_id) s
@@ -500,6 +503,7 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["stepwise_report"] = ORACLES["machine_report"]
 ORACLES["stepwise_report_literal"] = ORACLES["machine_report_literal"]
+ORACLES["exam_events_staged"] = ORACLES["exam_events_staged_chunked"] = ORACLES["exam_events"]
 # Cut period by period, what one cut gives.
 for _name in ("exam_segments", "exam_events"):
     ORACLES[f"{_name}_by_period"] = ORACLES[_name]

@@ -21,7 +21,8 @@ from logstats.plans import (
     run_report,
     stepwise_report,
 )
-from logstats.scratch import checkpointed, scratch_folder
+from logstats.plans import staging
+from logstats.scratch import checkpointed, scratch_folder, scratch_path
 from logstats.settings import EXAM, UNIT, Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -651,6 +652,40 @@ def late_rows(spark, sf_dir):
     return resume.late_rows(again, codes, state).select("system_id", "event_key")
 
 
+def _staged_events(spark: SparkSession, sf_dir: str, settings: Settings) -> DataFrame:
+    log, codes = views.event_log(spark, sf_dir), views.code_actions(spark)
+    path = scratch_path(spark, "by-machine")
+    name = f"staged_{path.rpartition('-')[2]}"
+    tables = staging.stage_by_machine(log, codes, name, path, None, settings)
+    try:
+        with staging.sorted_buckets(spark):
+            cut = staging.staged_cut(spark, tables, codes, settings)
+            return checkpointed(exams.kept_records(cut).drop("tick", "seq"))
+    finally:
+        staging.drop_tables(spark, tables)
+
+
+@query("exam_events_staged")
+def exam_events_staged(spark, sf_dir):
+    return _staged_events(spark, sf_dir, SETTINGS)
+
+
+@query("exam_events_staged_chunked")
+def exam_events_staged_chunked(spark, sf_dir):
+    return _staged_events(spark, sf_dir, CHUNKED)
+
+
+@query("report_of_staged_days")
+def report_of_staged_days(spark, sf_dir):
+    """The report of some days of a log that is staged by day."""
+    codes, weights = views.code_actions(spark), views.level_weights(spark)
+    log = views.event_log(spark, sf_dir)
+    with scratch_folder(spark, "by-day") as folder:
+        staging.stage_by_day(log, f"{folder}/log")
+        days = staging.read_days(log, f"{folder}/log", FIRST_DAY, LAST_DAY)
+        return checkpointed(_rounded_report(machine_report(days, codes, weights, SETTINGS)))
+
+
 @query("running_total_nulls")
 def running_total_nulls(spark, sf_dir):
     """Values of some rows and keys of some machines are null."""

@@ -23,7 +23,14 @@ from pyspark.sql import functions as F
 
 from logstats.operators.catalog import add_roles
 from logstats.operators.cleaning import usable_rows
-from logstats.operators.groups import CHUNK, Bounded, GroupSizes, group_sizes, split_groups
+from logstats.operators.groups import (
+    CHUNK,
+    Bounded,
+    GroupSizes,
+    SplitRows,
+    group_sizes,
+    split_groups,
+)
 from logstats.schemas import EXAM_RECORD
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings
 
@@ -241,7 +248,23 @@ def cut_exams(
     if bounded is None:
         bounded = log_bounded(log, code_actions, settings)
     split = split_groups(rows, UNIT, ORDER, settings.max_group_rows, bounded)
-    whole = _scan(split.rows.repartition(*TASK_KEYS), UNIT, False, settings)
+    return _scan_split(SplitRows(split.rows.repartition(*TASK_KEYS), split.hot), settings)
+
+
+def cut_split(split: SplitRows, roles: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """``cut_exams`` of usable rows that lie by machine, and by chunk, already.
+
+    ``roles`` are the ``code_roles``; broadcast, they leave the rows where they are.
+    """
+    parts = (
+        None if part is None else _with_start_id(part.join(roles, "code"))
+        for part in (split.rows, split.hot)
+    )
+    return _scan_split(SplitRows(*parts), settings)
+
+
+def _scan_split(split: SplitRows, settings: Settings) -> DataFrame:
+    whole = _scan(split.rows, UNIT, False, settings)
     if split.hot is None:
         return whole
     keys = [*UNIT, CHUNK]
