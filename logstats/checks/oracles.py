@@ -253,6 +253,18 @@ ORACLES: dict[str, str] = {
     "report_of_staged_days": f"""WITH {_LOG}, days AS (
             SELECT * FROM log WHERE msg_date BETWEEN '{FIRST_DAY}' AND '{LAST_DAY}'),{_cut("days")}
         {_ROUNDED_REPORT}""",
+    "quarantine_counts": _raw(
+        """SELECT CASE WHEN CAST(seq_num AS BIGINT) % 23 = 0 THEN 'quote'
+            WHEN CAST(seq_num AS BIGINT) % 13 = 0 THEN 'short'
+            WHEN CAST(seq_num AS BIGINT) % 19 = 0 THEN 'long' ELSE 'good' END AS fault,
+            count(*) AS n
+        FROM raw GROUP BY fault"""
+    ),
+    "distinct_counts_by_sketch": _exams(
+        f"""SELECT count(DISTINCT exam_id) AS num_exams, count(DISTINCT system_id) AS num_systems,
+            TRUE AS near_num_exams, TRUE AS near_num_systems
+        FROM final WHERE day BETWEEN '{FIRST_DAY.replace("-", "")}' AND '{LAST_DAY.replace("-", "")}'"""
+    ),
     "late_rows": _log(
         f"""SELECT log.system_id, log.event_key FROM log
             JOIN (SELECT user_id FROM events WHERE ts < TIMESTAMP '{LAST_DAY}' GROUP BY user_id) s
@@ -504,6 +516,8 @@ ORACLES: dict[str, str] = {
 ORACLES["stepwise_report"] = ORACLES["machine_report"]
 ORACLES["stepwise_report_literal"] = ORACLES["machine_report_literal"]
 ORACLES["exam_events_staged"] = ORACLES["exam_events_staged_chunked"] = ORACLES["exam_events"]
+ORACLES["report_published"] = ORACLES["report_roundtrip"]
+ORACLES["dedup_rows_by_load"] = ORACLES["dedup_rows"]
 # Cut period by period, what one cut gives.
 for _name in ("exam_segments", "exam_events"):
     ORACLES[f"{_name}_by_period"] = ORACLES[_name]

@@ -8,11 +8,11 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstats import sources
+from logstats import schemas, sources
 from logstats.checks import views
 from logstats.checks.views import SETTINGS
 from logstats.functions import event_day, ipte_rate, parse_tick, sevone
-from logstats.operators import catalog, cleaning, exams, incidents, metrics, resume
+from logstats.operators import arrivals, catalog, cleaning, exams, incidents, metrics, resume
 from logstats.operators.groups import Bounded, running_total
 from logstats.plans import (
     final_events,
@@ -22,7 +22,7 @@ from logstats.plans import (
     stepwise_report,
 )
 from logstats.plans import staging
-from logstats.scratch import checkpointed, scratch_folder, scratch_path
+from logstats.scratch import checkpointed, remove_path, scratch_folder, scratch_path
 from logstats.settings import EXAM, UNIT, Settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,6 +222,54 @@ def run_report_literal(spark, sf_dir):
 # Cleaning.
 
 
+@query("quarantine_counts")
+def quarantine_counts(spark, sf_dir):
+    """Lines of a log of which some lack fields, have one more, or a quote that is not closed."""
+    names, key = schemas.MACHINE_LOG.names, F.col("seq_num").cast("bigint")
+    whole, cut = (F.to_csv(F.struct(*some), {"quote": "~"}) for some in (names, names[:-2]))
+    line = (
+        F.when(key % 23 == 0, F.concat(F.lit("~"), whole))
+        .when(key % 13 == 0, cut)
+        .when(key % 19 == 0, F.concat(whole, F.lit(",more")))
+        .otherwise(whole)
+    )
+    with scratch_folder(spark, "files") as folder:
+        views.raw_log(spark, sf_dir).select(line).write.text(f"{folder}/log")
+        lines = checkpointed(sources.read_machine_log_lines(spark, f"{folder}/log"))
+    good = sources.good_rows(lines).select(F.lit("good").alias("fault"))
+    faults = good.unionByName(sources.quarantined(lines).select("fault"))
+    return faults.groupBy("fault").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("report_published")
+def report_published(spark, sf_dir):
+    """The report of a stamp, published twice."""
+    with scratch_folder(spark, "files") as folder:
+        report = checkpointed(_report(spark, sf_dir))
+        for rows in (report.limit(1), report):
+            written = sources.publish_report(rows, f"{folder}/report", "_2024-01-31")
+        return checkpointed(_rounded_report(sources.read_report(spark, written)))
+
+
+@query("dedup_rows_by_load")
+def dedup_rows_by_load(spark, sf_dir):
+    """Three loads, of which the second and third bring rows again; what each adds."""
+    key, log = F.col("seq_num").cast("bigint"), views.raw_log(spark, sf_dir)
+    path, buckets = scratch_path(spark, "digests"), 8
+    table = f"digests_{path.rpartition('-')[2]}"
+    loads = (log.filter(key % 3 == 0), log.filter(key % 3 < 2), log)
+    with scratch_folder(spark, "loads") as folder:
+        arrivals.open_digests(spark, table, path, buckets)
+        for n, load in enumerate(loads):
+            arrivals.new_rows(load, table).write.parquet(f"{folder}/{n}")
+            arrivals.add_digests(spark.read.parquet(f"{folder}/{n}"), table, buckets)
+        loaded = spark.read.parquet(*(f"{folder}/{n}" for n in range(len(loads))))
+        result = checkpointed(loaded.drop(arrivals.DIGEST))
+    spark.sql(f"DROP TABLE {table}")
+    remove_path(spark, path)
+    return result
+
+
 @query("drop_columns")
 def drop_columns(spark, sf_dir):
     return cleaning.drop_columns(views.raw_log(spark, sf_dir), "dummy", "tarfilename")
@@ -717,6 +765,23 @@ def distinct_counts(spark, sf_dir):
     return metrics.distinct_counts(_final(spark, sf_dir).rows)
 
 
+@query("distinct_counts_by_sketch")
+def distinct_counts_by_sketch(spark, sf_dir):
+    """Exact counts of some days, and whether those from the days' sketches are near."""
+    days = F.col("day").between(FIRST_DAY.replace("-", ""), LAST_DAY.replace("-", ""))
+    events = checkpointed(_final(spark, sf_dir).rows)
+    exact = metrics.distinct_counts(metrics.add_day(events).filter(days))
+    about = metrics.period_distinct_counts(metrics.daily_sketches(events).filter(days))
+    names = ("num_exams", "num_systems")
+    about = about.select(*(F.col(name).alias(f"about_{name}") for name in names))
+    error = metrics.sketch_error()
+    near = {f"near_{n}": F.abs(F.col(f"about_{n}") - F.col(n)) <= error * F.col(n) for n in names}
+    # One row each, put together.
+    both = exact.unionByName(about, allowMissingColumns=True)
+    both = both.agg(*(F.max(name).alias(name) for name in both.columns))
+    return both.select(*names, *(value.alias(name) for name, value in near.items()))
+
+
 @query("duration_stats")
 def duration_stats(spark, sf_dir):
     return metrics.duration_stats(_final(spark, sf_dir).rows, SETTINGS)

@@ -7,6 +7,7 @@ report in ``logstats.plans`` gets the same numbers from two aggregations.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,10 @@ from logstats.operators.groups import (
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings, check_mode
 
 
+# The base-two logarithm of the registers of a sketch; 2^14 have a standard error of 0.8 percent.
+SKETCH_LG_K = 14
+
+
 def add_day(events: DataFrame) -> DataFrame:
     return events.withColumn("day", event_day(F.col("tick")))
 
@@ -113,6 +118,28 @@ def _exam_count(settings: Settings) -> tuple[Column, Column]:
     return counts[settings.num_exams_by], F.sum("_exams")
 
 
+def ipte_and_weighted(
+    rows: DataFrame, settings: Settings = DEFAULTS, bounded: Bounded = None
+) -> DataFrame:
+    """What ``ipte`` and ``ipte_weighted`` give, on one row per machine, in one pass.
+
+    An exam's count, least incidents and largest weight are one state, and a machine's sums
+    of them another, so the rows are not gone over once for each rate and joined.
+    """
+    count, total = _exam_count(settings)
+    of_exam = {"_exams": count, "_least": F.min("num_shutdowns"), "_weight": F.max("mebef_wt")}
+    of_machine = {
+        "num_exams": total,
+        "num_sev1": F.min("_least"),
+        "sum_max_wt_all_exams": F.sum("_weight"),
+    }
+    counted = _with_machine_sums(rows, of_exam, of_machine, bounded, settings.max_group_rows)
+    rates = {"ipte_severity": "num_sev1", "ipte_weighted": "sum_max_wt_all_exams"}
+    return counted.withColumns(
+        {name: ipte_rate(F.col(of), F.col("num_exams")) for name, of in rates.items()}
+    )
+
+
 def ipte(
     rows: DataFrame,
     settings: Settings = DEFAULTS,
@@ -219,6 +246,31 @@ def distinct_counts(events: DataFrame) -> DataFrame:
     )
 
 
+def daily_sketches(events: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Per ``day`` a sketch of its exams and one of its systems, of a few kilobytes each.
+
+    Sketches of any days can be put together, which counts of days cannot: an exam or a
+    system is on several of them.
+    """
+    return add_day(events).groupBy("day").agg(
+        F.hll_sketch_agg("exam_id", lg_k).alias("exams"),
+        F.hll_sketch_agg("system_id", lg_k).alias("systems"),
+    )
+
+
+def period_distinct_counts(sketches: DataFrame) -> DataFrame:
+    """About how many exams and systems there are on the days of these sketches."""
+    return sketches.agg(
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("exams")), F.lit(0)).alias("num_exams"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("systems")), F.lit(0)).alias("num_systems"),
+    )
+
+
+def sketch_error(lg_k: int = SKETCH_LG_K) -> float:
+    """Three standard errors of an estimate, as a share of the count."""
+    return 3 * 1.04 / math.sqrt(1 << lg_k)
+
+
 def duration_stats(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Rows and exams below, from, and regardless of the least duration."""
     exams = events.groupBy(*EXAM).agg(

@@ -263,9 +263,7 @@ def stepwise_report(
     else:
         # The totals of a machine come before its first row is taken.
         rows = metrics.additional_stats(rows, settings, mode, bounded)
-        weighted = metrics.ipte_weighted(rows, settings, mode, bounded)
-        rows = metrics.ipte(rows, settings, mode, bounded)
-        rows = rows.join(weighted.select(*UNIT, "ipte_weighted"), list(UNIT))
+        rows = metrics.ipte_and_weighted(rows, settings, bounded)
     top = metrics.top_row_per_machine(rows)
     return top.select(*(F.col(f.name).cast(f.dataType) for f in MACHINE_REPORT.fields))
 
