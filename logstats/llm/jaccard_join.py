@@ -44,6 +44,7 @@ from logstats.scratch import checkpointed
 THRESHOLD = 75
 # Frequencies are kept for so many slots, which bounds the table that every task gets.
 SLOT_BITS = 22
+SLOTS_PER_BLOCK = 1 << 14
 # Sets above this have over 150 subsets each and count as large in any case.
 LARGEST_SMALL = 64
 # A candidate pair costs as much as so many keys.
@@ -111,6 +112,24 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield _costs(small_sets, tokens, counts)
 
 
+def _frequency_classes(slots: DataFrame) -> np.ndarray:
+    """The order of magnitude of ``n`` for each slot ``at``, in one byte each.
+
+    Tasks pack blocks of slots; what comes to the driver are the bytes, whatever the corpus.
+    """
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        packed = np.zeros(SLOTS_PER_BLOCK, dtype=np.uint8)
+        packed[rows["at"].to_numpy() % SLOTS_PER_BLOCK] = np.log2(rows["n"].to_numpy())
+        return pd.DataFrame({"block": [int(rows["at"].iloc[0]) // SLOTS_PER_BLOCK], "packed": [packed.tobytes()]})
+
+    blocks = slots.groupBy((F.col("at") / SLOTS_PER_BLOCK).cast("int").alias("_block"))
+    classes = np.zeros((1 << SLOT_BITS) // SLOTS_PER_BLOCK, dtype=f"V{SLOTS_PER_BLOCK}")
+    for row in blocks.applyInPandas(pack, "block int, packed binary").collect():
+        classes[row["block"]] = np.void(bytes(row["packed"]))
+    return classes.view(np.uint8)
+
+
 def survey(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Frequency class by slot, and the size up to which sets count as small."""
     counts = (
@@ -121,16 +140,13 @@ def survey(docs: DataFrame) -> tuple[np.ndarray, int]:
     )
     # Slots of shingles, which share one if they must, and costs by size after them.
     slot = F.when(F.col("kind") == 0, F.col("at").bitwiseAND(int(_SLOTS))).otherwise(F.col("at"))
-    found = (
-        counts.groupBy("kind", slot.cast("int").alias("at"))
-        .agg(F.max("n").cast("float").alias("n"), F.max("more").cast("float").alias("more"))
-        .toPandas()
+    found = checkpointed(
+        counts.groupBy("kind", slot.cast("int").alias("at")).agg(
+            F.max("n").alias("n"), F.max("more").alias("more")
+        )
     )
-    classes = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
-    frequent = found[found["kind"] == 0]
-    classes[frequent["at"].to_numpy()] = np.log2(frequent["n"].to_numpy()).astype(np.uint8)
-
-    costs = sorted(found.loc[found["kind"] == 1, ["at", "n", "more"]].itertuples(index=False))
+    classes = _frequency_classes(found.filter("kind = 0"))
+    costs = sorted(map(tuple, found.filter("kind = 1").select("at", "n", "more").collect()))
     best, boundary = sum(scan for _, _, scan in costs), 0
     total = best
     for size, subsets, scan in costs:
