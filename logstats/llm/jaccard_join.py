@@ -244,12 +244,16 @@ def _inverted_lists(sets: DataFrame, boundary: int) -> DataFrame:
     A list is a key and a band of sizes; a set is in its band's and the next, and so meets
     all sets of a size it can link to. ``most`` is the largest such size: the shingles
     before the key in the order are not common to a pair whose first common one it is.
+
+    One row stands for equal sets; the others leave before their keys are made rows.
     """
-    entries = sets.select("node", "n", "h1", "h2", F.posexplode("keys").alias("at", "key"))
+    narrow = sets.filter("n > 2").select("node", "h1", "h2")
+    reps = narrow.groupBy("h1", "h2").agg(F.min("node").alias("_rep"))
+    copies = narrow.join(reps, ["h1", "h2"]).filter("node <> _rep").select("node")
+    once = sets.filter("n > 2").join(small(copies), "node", "left_anti")
+    entries = once.select("node", "n", F.posexplode("keys").alias("at", "key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    reps = sets.filter("n > 2").groupBy("h1", "h2").agg(F.min("node").alias("node"))
-    lists = entries.drop("h1", "h2").join(shared.select("key"), "key")
-    lists = lists.join(reps.select("node"), "node", "left_semi")
+    lists = entries.join(shared.select("key"), "key")
     skipped = F.when(F.col("n") > boundary, F.col("at")).otherwise(0)
     most = F.floor((F.col("n") * 100 - skipped * (100 + THRESHOLD)) / THRESHOLD)
     band = F.floor(F.log("n") / math.log(BAND)).cast("int")
