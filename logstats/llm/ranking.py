@@ -82,6 +82,7 @@ def restricted_vectors(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFra
     """
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["kind", "doc_id", "a", "b", "terms", "tfs"]
         having = np.zeros(len(vocabulary), dtype=np.int64)
         documents = occurrences = 0
         for batch in batches:
@@ -97,11 +98,10 @@ def restricted_vectors(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFra
                     tfs = np.fromiter(found.values(), dtype=np.int32, count=len(found))
                     having[own] += 1
                     out.append((_DOCUMENT, doc_id, len(terms), 0, own.tobytes(), tfs.tobytes()))
-            yield pd.DataFrame(out, columns=["kind", "doc_id", "a", "b", "terms", "tfs"])
-        held = np.flatnonzero(having)
-        counts = pd.DataFrame({"kind": _TERM, "doc_id": None, "a": held, "b": having[held], "terms": None, "tfs": None})
-        yield counts
-        yield pd.DataFrame([(_TOTAL, None, documents, occurrences, None, None)], columns=counts.columns)
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+        counts = [(_TERM, None, int(term), int(having[term]), None, None) for term in np.flatnonzero(having)]
+        yield pd.DataFrame([*counts, (_TOTAL, None, documents, occurrences, None, None)], columns=columns)
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     return checkpointed(rows.mapInPandas(vectors, _VECTOR))
@@ -308,7 +308,8 @@ def best_of_tasks(vectors: DataFrame, items: Items, scoring: Scoring) -> DataFra
             for item, heap in enumerate(best.heaps)
             for score, known, value in heap
         ]
-        yield pd.DataFrame(rows, columns=["item", "doc_id", "score"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["item", "doc_id", "score"])
 
     documents = vectors.filter(F.col("kind") == _DOCUMENT).select("doc_id", "a", "terms", "tfs")
     return documents.mapInPandas(searched, "item int, doc_id string, score long")

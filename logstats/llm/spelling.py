@@ -87,7 +87,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 if len(total) > HELD_WORDS:
                     yield counted()
                     total.clear()
-        yield counted()
+        if total:
+            yield counted()
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_id"), "text")
     counted = rows.mapInPandas(count, "word string, n long")
@@ -229,9 +230,11 @@ def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
                         found.extend(_near_in_bucket(group[0], group[1], rows))
                     group, rows = key, []
                 rows.append((word, n, matched, held))
+            if found:
+                yield pd.DataFrame(found, columns=columns)
+        found = list(_near_in_bucket(group[0], group[1], rows)) if rows else []
+        if found:
             yield pd.DataFrame(found, columns=columns)
-        if rows:
-            yield pd.DataFrame(_near_in_bucket(group[0], group[1], rows), columns=columns)
 
     grouped = bucket_rows(words, block).repartition(*of).sortWithinPartitions(*of)
     found = grouped.mapInPandas(match, "word string, n_near long, near_n long, near string")

@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="sample tables not t
 
 
 def test_everything_is_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "leaks", "mix", "shard"]
 
