@@ -66,6 +66,21 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Within this, tasks get and give at most so many rows at a time in Python.
+
+    For steps that make much of each row, such as arrays of all its shingles.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ranked(rows: DataFrame, order: Sequence[Column], at: str) -> DataFrame:
     """Every row with its place, from 0, among all rows in ``order``.
 

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logstats.llm.common import read_table, shuffles_removed, small, unused
+from logstats.llm.common import read_table, shuffles_removed, small, small_batches, unused
 from logstats.llm.components import components
 from logstats.llm.shingles import mixed, shingle_sets
 from logstats.scratch import checkpointed
@@ -345,7 +345,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     without shingles. An empty table gives an empty table.
     """
     docs = docs.select("doc_id", "text")
-    with shuffles_removed(docs.sparkSession):
+    with shuffles_removed(docs.sparkSession), small_batches(docs.sparkSession):
         classes, boundary = survey(docs)
         sets = hashed_sets(docs, classes, boundary)
         labels = checkpointed(similar_components(docs, sets, boundary))

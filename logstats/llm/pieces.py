@@ -6,7 +6,8 @@ the whole vocabulary), so what a chunk is segmented into does not depend on its
 and the ids of a text are the ids of its chunks one after the other.
 
 1. The chunks of all texts are counted; map-side counts go into the shuffle.
-2. Each distinct chunk is segmented once by the library. That gives the chunk table.
+2. Each distinct chunk is segmented, and its ids decoded, once by the library. That gives the
+   chunk table.
 3. Ids are joined back. The ``HEAD_CHUNKS`` most frequent chunks, a fixed number with a fixed
    longest length, go to every task. What they do not cover is asked for as pairs of text
    and chunk, joined to the table by shuffle, and sent to the text, which travels packed.
@@ -29,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logstats.llm.common import read_table, shuffles_removed, unused
-from logstats.scratch import checkpointed, scratch_folder
+from logstats.scratch import checkpointed
 
 MARKER = "▁"
 # The part of the chunk table that every task gets: so many chunks of at most so many bytes.
 HEAD_CHUNKS = 1 << 20
 HEAD_BYTES = 48
 # Texts are cut in chunks together up to so many bytes.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 
 _SPACE, _LINE = 0x20, 0x0A
 
@@ -76,6 +77,10 @@ class Model:
             self._loaded = sentencepiece.SentencePieceProcessor(model_file=self.path)
         return self._loaded
 
+    @property
+    def id_type(self) -> type:
+        return np.uint32 if self.library.get_piece_size() > 1 << 16 else np.uint16
+
     @property
     def end_id(self) -> int:
         return self.library.eos_id()
@@ -154,18 +159,33 @@ def chunk_counts(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def chunk_table(docs: DataFrame, model: Model) -> DataFrame:
-    """``chunk``, ``n`` and its ``ids``, two bytes each or four, each chunk segmented once."""
-    wide = model.library.get_piece_size() > 1 << 16
-    kind = np.uint32 if wide else np.uint16
+    """``chunk``, ``n``, its ``ids``, two bytes each or four, and whether they decode to it
+    (``exact``); each chunk is segmented and decoded once.
+
+    The rows are checkpointed as compressed batches, which are a quarter of their size.
+    """
+    kind = model.id_type
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.array(model.segment(c), dtype=kind).tobytes() for c in batch.column("chunk").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("n"), pa.array(ids, pa.binary())], ["chunk", "n", "ids"]
-            )
+            chunks = batch.column("chunk").to_pylist()
+            listed = [model.segment(chunk) for chunk in chunks]
+            ids = pa.array([np.array(one, dtype=kind).tobytes() for one in listed], pa.binary())
+            exact = pa.array([model.decode(one) == chunk.removeprefix(" ") for one, chunk in zip(listed, chunks, strict=True)])
+            found = [batch.column("chunk"), batch.column("n"), ids, exact]
+            batch = pa.RecordBatch.from_arrays(found, ["chunk", "n", "ids", "exact"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column("batch").to_pylist():
+                yield from pa.ipc.open_stream(packed)
 
-    return chunk_counts(docs, model).mapInArrow(segment, "chunk string, n long, ids binary")
+    packed = checkpointed(chunk_counts(docs, model).mapInArrow(segment, "batch binary"))
+    return packed.mapInArrow(read, "chunk string, n long, ids binary, exact boolean")
 
 
 @dataclass
@@ -245,21 +265,28 @@ def _digest(text: bytes) -> bytes:
 
 @dataclass
 class Rendering:
-    """What is returned of the ids of a text."""
+    """What is returned of the ids of a text.
+
+    Where every chunk's ids decode to the chunk (``exact``), those of a text decode to its
+    chunks; otherwise the library decodes the ids of each text.
+    """
 
     model: Model
+    exact: bool
     _names: list[str] = field(default_factory=list, repr=False)
 
     def __getstate__(self) -> dict:
-        return {"model": self.model, "_names": []}
+        return {"model": self.model, "exact": self.exact, "_names": []}
 
-    def of(self, ids: np.ndarray) -> tuple[int, bytes, bytes]:
+    def of(self, text: bytes, ids: np.ndarray) -> tuple[int, bytes, bytes]:
         """Number of ids with the end id, the ids as text, the decoded text in UTF-8."""
         if not self._names:
             self._names.extend(map(str, range(self.model.library.get_piece_size())))
         names, listed = self._names, [*ids.tolist(), self.model.end_id]
-        text = " ".join([names[i] for i in listed])
-        return len(listed), text.encode(), self.model.decode(listed).encode("utf-8", "surrogatepass")
+        written = " ".join([names[i] for i in listed]).encode()
+        if self.exact:
+            return len(listed), written, text[1:]
+        return len(listed), written, self.model.decode(listed).encode("utf-8", "surrogatepass")
 
 
 _RESULT = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
@@ -275,9 +302,9 @@ def _with_columns(batch: pa.RecordBatch, without: list[str], rows: list[tuple],
     )
 
 
-def _finished(rendering: Rendering, ids: np.ndarray) -> tuple[int, str, str]:
-    n, text, decoded = rendering.of(ids)
-    return n, hashlib.sha256(text).hexdigest(), hashlib.sha256(decoded).hexdigest()
+def _finished(rendering: Rendering, text: bytes, ids: np.ndarray) -> tuple[int, str, str]:
+    n, written, decoded = rendering.of(text, ids)
+    return n, hashlib.sha256(written).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
 def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_CHUNKS) -> DataFrame:
@@ -289,15 +316,14 @@ def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_C
     are replaced. An empty table gives an empty table.
     """
     model = Model.of(model_path)
-    kind = np.uint32 if model.library.get_piece_size() > 1 << 16 else np.uint16
+    kind = model.id_type
     spark = docs.sparkSession
-    with shuffles_removed(spark), scratch_folder(spark, "chunks") as path:
-        # Written, as Parquet is a third of the size of a checkpoint, and not needed at the end.
-        chunk_table(docs, model).write.parquet(path)
-        table = spark.read.parquet(path)
+    with shuffles_removed(spark):
+        table = chunk_table(docs, model)
+        exact = table.agg(F.bool_and("exact")).head()[0] is not False
         head = spark.sparkContext.broadcast(Head.of(table, kind, head_chunks))
         resolved = checkpointed(_resolved(docs, table, model, head))
-    rendering = Rendering(model)
+    rendering = Rendering(model, exact)
     docs = docs.drop("n_tokens", "ids_sha256", "decoded_sha256")
     key, packed, answers = (unused(name, docs) for name in ("_key", "_packed", "_answers"))
 
@@ -324,7 +350,7 @@ def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_C
                     if misses:
                         out.append((_digest(text), zlib.compress(text, 1), None, None, None))
                     else:
-                        out.append((_digest(text), None, *_finished(rendering, ids)))
+                        out.append((_digest(text), None, *_finished(rendering, text, ids)))
             yield _with_columns(batch, ["text"], out, [(key, pa.binary()), (packed, pa.binary()), *_RESULT])
 
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,8 +366,9 @@ def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_C
                 lost = chunks.filter(pa.array(places < 0)).to_pylist()
                 more = {chunk: ids for found in asked[start:end] for chunk, ids in _unpacked(found)}
                 known, places = head.value.with_more(places, lost, more)
-                for at, ids in zip(waiting[start:end], ids_of_texts(places, per_text, known), strict=True):
-                    out[at] = _finished(rendering, ids)
+                found = ids_of_texts(places, per_text, known)
+                for at, text, ids in zip(waiting[start:end], texts[start:end], found, strict=True):
+                    out[at] = _finished(rendering, text, ids)
             yield _with_columns(batch, [key, packed, answers, *(name for name, _ in _RESULT)], out, _RESULT)
 
     others = [f"`{name}` {type_}" for name, type_ in docs.dtypes if name != "text"]

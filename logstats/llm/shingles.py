@@ -13,7 +13,7 @@ import numpy as np
 
 WIDTH = 5
 # Texts are hashed together, or a long one in parts, of so many bytes.
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

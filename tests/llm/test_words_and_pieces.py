@@ -283,3 +283,12 @@ def test_documents_and_nodes_bound_scores():
     assert [d.path for d in documents] == [(0, 1), (0, 1, 2), (0, 2), (1,)]
     assert tree.terms.tolist() == [0, 1, 2] and tree.most.tolist() == [1, 1, 1]
     assert tree.least_m == min(d.m for d in documents)
+
+
+def test_texts_decode_as_their_chunks_or_by_the_library():
+    model = pieces.Model.of(MODEL)
+    for text in random_texts(5):
+        marked = pieces.marked(text)
+        ids = np.array(model.library.encode(text), dtype=model.id_type)
+        by_chunks, by_library = (pieces.Rendering(model, exact).of(marked, ids) for exact in (True, False))
+        assert by_chunks == by_library == (len(ids) + 1, by_chunks[1], model.library.decode(ids.tolist()).encode())
