@@ -28,7 +28,7 @@ PROFILE_GRAMS = 400
 DOCUMENT_GRAMS = 400
 UNKNOWN = "und"
 # Texts are counted together for the profiles up to so many characters.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 _BITS = 21
 
 
