@@ -13,7 +13,7 @@ and the ids of a text are the ids of its chunks one after the other.
    and chunk, joined to the table by shuffle, and sent to the text, which travels packed.
 
 A chunk that is in very many texts is one of the most frequent ones, so neither shuffle has
-a hot key; equal texts ask once. Texts are told apart by a 128-bit digest.
+a hot key. Answers are put together by a 64-bit digest of the text.
 """
 
 from __future__ import annotations
@@ -195,6 +195,8 @@ class Head:
     chunks: pa.Array
     ids: np.ndarray
     edges: np.ndarray
+    # How often a chunk of at most ``HEAD_BYTES`` occurs to be here.
+    least: int
 
     @classmethod
     def of(cls, table: DataFrame, kind: type, most: int) -> Head:
@@ -205,7 +207,7 @@ class Head:
         chunks = rows.column("chunk").cast(pa.large_string()).combine_chunks()
         ids = rows.column("ids").to_pylist()
         lengths = [len(data) // np.dtype(kind).itemsize for data in ids]
-        return cls(chunks, np.frombuffer(b"".join(ids), dtype=kind), np.cumsum([0, *lengths], dtype=np.int64))
+        return cls(chunks, np.frombuffer(b"".join(ids), dtype=kind), np.cumsum([0, *lengths], dtype=np.int64), least)
 
     def places(self, chunks: pa.Array) -> np.ndarray:
         """The place of each chunk, -1 where it is not there."""
@@ -220,7 +222,8 @@ class Head:
         edges = self.edges[-1] + np.cumsum([len(one) for one in ids], dtype=np.int64)
         places = places.copy()
         places[places < 0] = [extra[chunk] for chunk in lost]
-        return Head(self.chunks, np.concatenate([self.ids, *ids]), np.concatenate([self.edges, edges])), places
+        more_ids, more_edges = np.concatenate([self.ids, *ids]), np.concatenate([self.edges, edges])
+        return Head(self.chunks, more_ids, more_edges, self.least), places
 
     def ids_at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all places one after the other, and how many each has."""
@@ -259,8 +262,10 @@ def _split(table: DataFrame, power: int, room: int) -> int:
     return least
 
 
-def _digest(text: bytes) -> bytes:
-    return hashlib.blake2b(text, digest_size=16).digest()
+def _digest(text: bytes) -> int:
+    """A number for a text. Texts that share one are answered together, which does no harm:
+    answers are looked up by their chunk."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
 @dataclass
@@ -351,7 +356,7 @@ def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_C
                         out.append((_digest(text), zlib.compress(text, 1), None, None, None))
                     else:
                         out.append((_digest(text), None, *_finished(rendering, text, ids)))
-            yield _with_columns(batch, ["text"], out, [(key, pa.binary()), (packed, pa.binary()), *_RESULT])
+            yield _with_columns(batch, ["text"], out, [(key, pa.int64()), (packed, pa.binary()), *_RESULT])
 
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Finish the packed texts with what the table has for them."""
@@ -373,7 +378,7 @@ def encode_documents(docs: DataFrame, model_path: str, head_chunks: int = HEAD_C
 
     others = [f"`{name}` {type_}" for name, type_ in docs.dtypes if name != "text"]
     result = ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
-    middle = ", ".join([*others, f"`{key}` binary", f"`{packed}` binary", *result])
+    middle = ", ".join([*others, f"`{key}` long", f"`{packed}` binary", *result])
     found = resolved.select(F.col("key").alias(key), F.col("answers").alias(answers))
     waiting = docs.mapInArrow(first_pass, middle).join(found, key, "left")
     return waiting.mapInArrow(second_pass, ", ".join([*others, *result]))
@@ -406,13 +411,14 @@ def _resolved(docs: DataFrame, table: DataFrame, model: Model, head) -> DataFram
                 if not lost.any():
                     continue
                 owner = np.repeat(np.arange(end - start), per_text)[lost]
-                keys = pa.array([_digest(text) for text in texts[start:end]], pa.binary())
+                keys = pa.array([_digest(text) for text in texts[start:end]], pa.int64())
                 asked = pa.table({"key": keys.take(pa.array(owner)), "chunk": chunks.filter(pa.array(lost)).cast(pa.string())})
                 yield from asked.group_by(["key", "chunk"]).aggregate([]).select(["key", "chunk"]).to_batches()
 
     # Equal texts ask as often as they occur, which is less than what puts a chunk into the head.
-    asked = docs.select("text").mapInArrow(ask, "key binary, chunk string")
-    answered = asked.join(table.select("chunk", "ids"), "chunk")
+    asked = docs.select("text").mapInArrow(ask, "key long, chunk string")
+    rest = table.filter((F.col("n") < head.value.least) | (F.octet_length("chunk") > HEAD_BYTES))
+    answered = asked.join(rest.select("chunk", "ids"), "chunk")
     answers = answered.groupBy("key").agg(F.collect_set(F.struct("chunk", "ids")).alias("answers"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,7 +426,7 @@ def _resolved(docs: DataFrame, table: DataFrame, model: Model, head) -> DataFram
             packed = [_packed(found) for found in batch.column("answers").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(packed, pa.binary())], ["key", "answers"])
 
-    return answers.mapInArrow(pack, "key binary, answers binary")
+    return answers.mapInArrow(pack, "key long, answers binary")
 
 
 def op12_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
