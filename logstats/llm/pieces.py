@@ -158,6 +158,14 @@ def chunk_counts(docs: DataFrame, model: Model) -> DataFrame:
     return counted.groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    """A batch in Arrow's stream format, compressed."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 def chunk_table(docs: DataFrame, model: Model) -> DataFrame:
     """``chunk``, ``n``, its ``ids``, two bytes each or four, and whether they decode to it
     (``exact``); each chunk is segmented and decoded once.
@@ -174,10 +182,7 @@ def chunk_table(docs: DataFrame, model: Model) -> DataFrame:
             exact = pa.array([model.decode(one) == chunk.removeprefix(" ") for one, chunk in zip(listed, chunks, strict=True)])
             found = [batch.column("chunk"), batch.column("n"), ids, exact]
             batch = pa.RecordBatch.from_arrays(found, ["chunk", "n", "ids", "exact"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                stream.write_batch(batch)
-            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["batch"])
+            yield pa.RecordBatch.from_arrays([pa.array([_ipc(batch)], pa.binary())], ["batch"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,6 +203,18 @@ class Head:
     # How often a chunk of at most ``HEAD_BYTES`` occurs to be here.
     least: int
 
+    def __getstate__(self) -> tuple:
+        """Packed, for it is sent to every executor and lies on its disk."""
+        lengths = np.diff(self.edges)
+        arrays = (self.chunks.cast(pa.string()), pa.array(self.ids), pa.array(lengths))
+        return [_ipc(pa.RecordBatch.from_arrays([array], ["values"])) for array in arrays], self.least
+
+    def __setstate__(self, state: tuple) -> None:
+        packed, self.least = state
+        chunks, ids, lengths = (pa.ipc.open_stream(one).read_next_batch().column(0) for one in packed)
+        self.chunks, self.ids = chunks.cast(pa.large_string()), ids.to_numpy()
+        self.edges = np.cumsum(np.concatenate([[0], lengths.to_numpy()]), dtype=np.int64)
+
     @classmethod
     def of(cls, table: DataFrame, kind: type, most: int) -> Head:
         """At most ``most`` rows of at most ``HEAD_BYTES`` each come to the driver."""
