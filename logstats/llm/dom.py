@@ -1,20 +1,28 @@
-"""A small tolerant HTML parser: blocks of text in a tree of block elements."""
+"""A small tolerant HTML parser: blocks of text in a tree of block elements.
+
+Pages may be nested to any depth: nothing here calls itself, and what lies below
+``MOST_LEVELS`` is kept as blocks of the last level's nodes.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 # Fixed values of the markup language.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby "
-    "s samp small span strike strong sub sup time tt u var wbr".split()
+    "s samp small span strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot "
+    "mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Anything else ends an open head, whose end tag may be left out.
 IN_HEAD = frozenset("base link meta noscript script style template title".split())
-RAW = frozenset(("script", "style", "textarea", "title", "noscript", "iframe", "template"))
+RAW = frozenset("annotation annotation-xml iframe noscript script style template textarea title".split())
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # Elements that end an open paragraph; any block does, so this is all blocks.
 REPEATED = {
     "li": ("ul", "ol", "menu"),
@@ -28,7 +36,7 @@ REPEATED = {
 ALSO_ENDS = {"dt": ("dd",), "dd": ("dt",), "td": ("th",), "th": ("td",)}
 # What is never an article's text: by element, by role, and by words of class or id.
 ASIDE = frozenset(
-    "aside audio button canvas dialog fieldset footer form head iframe input math menu nav noscript "
+    "annotation annotation-xml aside audio button canvas dialog fieldset footer form head iframe input menu nav noscript "
     "object script select style svg template textarea title video".split()
 )
 ASIDE_ROLES = frozenset(
@@ -41,18 +49,27 @@ ASIDE_WORDS = frozenset(
     "recommended related replies reply share sharing sidebar signup skip social sponsor sponsored "
     "subscribe toolbar widget".split()
 )
+# Inside an article a name counts only if all of it says so: listed words, and these for parts of a page.
+PART_WORDS = frozenset(
+    "area article bar block bottom box button buttons container content entry footer form header inner item items "
+    "left line links list main outer page panel post reader right row section site thread title top user wrap "
+    "wrapper".split()
+)
 # These words and elements mark a page's head, or an article's own.
 HEADER_WORDS = frozenset(("header",))
 # Begins the signature of a node that is an aside unless it holds the host's text.
 WEAK = "~"
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?:[!?][^>]*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<(?:[!?][^>]*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+|[^<>]*)>",
     re.DOTALL,
 )
 _CLASS = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
+# Levels of a page's tree that are told apart.
+MOST_LEVELS = 100
+
 
 @dataclass
 class Node:
@@ -72,8 +89,18 @@ class Node:
         return WEAK + name if self.weak else name
 
 
+def _names_aside(names: list[list[str]], in_article: bool) -> bool:
+    """Whether the words of the names of an element mark it as an aside."""
+    if in_article:
+        return any(
+            not ASIDE_WORDS.isdisjoint(words) and all(w in ASIDE_WORDS or w in PART_WORDS or w.isdigit() for w in words)
+            for words in names
+        )
+    return any(not ASIDE_WORDS.isdisjoint(words) or not HEADER_WORDS.isdisjoint(words) for words in names)
+
+
 def _element(tag: str, attributes: str, parent: Node) -> Node:
-    words: list[str] = []
+    names: list[list[str]] = []
     label, roles, hidden = "", (), False
     if attributes:
         for name, *values in _CLASS.findall(attributes):
@@ -84,7 +111,9 @@ def _element(tag: str, attributes: str, parent: Node) -> Node:
             elif kind == "hidden":
                 hidden = True
             else:
-                words += (word.lower() for word in _WORD.findall(value))
+                # The id of a heading or paragraph is an anchor made of what it says.
+                if kind == "class" or tag not in HEADINGS and tag != "p":
+                    names += ([word.lower() for word in _WORD.findall(name)] for name in value.split())
                 if kind == "class" and value.strip():
                     label = re.sub(r"\d+", "", value.split()[0].lower())
     in_article = parent.in_article or tag in ("article", "main") or "main" in roles
@@ -94,7 +123,7 @@ def _element(tag: str, attributes: str, parent: Node) -> Node:
         or (tag == "header" and not in_article)
         or not ASIDE_ROLES.isdisjoint(roles)
     )
-    named = not ASIDE_WORDS.isdisjoint(words) or (not in_article and not HEADER_WORDS.isdisjoint(words))
+    named = bool(names) and _names_aside(names, in_article)
     weak = tag == "form" or (named and tag not in ("html", "body", "article", "main"))
     return Node(tag, label, aside, weak and not aside, in_article)
 
@@ -115,6 +144,18 @@ def _clear_wrappers(root: Node) -> None:
             node.weak = False
 
 
+def _fold(root: Node) -> None:
+    """Give the nodes of the last level that is told apart all blocks below them."""
+    level = [root]
+    for _ in range(MOST_LEVELS):
+        level = [child for node in level for child in node.children]
+        if not level:
+            return
+    for node in level:
+        node.blocks = blocks_below([node])
+        node.children = []
+
+
 def parse(text: str) -> Node:
     """The tree of a page. Character references are decoded and each run of white space in a
     block becomes one space; unfinished tags at the end are dropped."""
@@ -125,6 +166,8 @@ def parse(text: str) -> Node:
     in_link = 0
     order = 0
     linked_lists: dict[int, list[int]] = {}
+    open_tags: Counter[str] = Counter()
+    open_lists: list[Node] = []
 
     def flush() -> None:
         nonlocal order
@@ -135,14 +178,16 @@ def parse(text: str) -> Node:
                 stack[-1].blocks.append((order, " ".join(words)))
                 order += 1
                 only_links = bool(links) and all(links)
-                for node in stack:
-                    if node.tag in ("ul", "ol"):
-                        counts = linked_lists.setdefault(id(node), [0, 0])
-                        counts[0] += 1
-                        counts[1] += only_links
+                for node in open_lists:
+                    counts = linked_lists.setdefault(id(node), [0, 0])
+                    counts[0] += 1
+                    counts[1] += only_links
             links.clear()
 
     def close(node: Node) -> None:
+        open_tags[node.tag] -= 1
+        if open_lists and open_lists[-1] is node:
+            open_lists.pop()
         counts = linked_lists.get(id(node))
         # A list of links only is a menu, whatever it is called.
         if counts and counts[0] >= 3 and counts[0] == counts[1] and not node.in_article:
@@ -179,9 +224,8 @@ def parse(text: str) -> Node:
                 held.append(" ")
             continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                pop_to(depth)
+            if open_tags[tag]:
+                pop_to(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             else:
                 flush()
             in_link = 0
@@ -197,7 +241,7 @@ def parse(text: str) -> Node:
                     break
                 if stack[i].tag in REPEATED[tag]:
                     break
-        if tag not in IN_HEAD:
+        if open_tags["head"] and tag not in IN_HEAD:
             heads = (i for i, open_one in enumerate(stack) if open_one.tag == "head")
             pop_to(next(heads, len(stack)))
         node = _element(tag, attributes, stack[-1])
@@ -208,9 +252,13 @@ def parse(text: str) -> Node:
             at = at or len(text)
         elif tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
+            open_tags[tag] += 1
+            if tag in ("ul", "ol"):
+                open_lists.append(node)
     pop_to(1)
     flush()
     _clear_wrappers(root)
+    _fold(root)
     return root
 
 

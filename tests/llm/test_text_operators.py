@@ -602,3 +602,95 @@ def test_records_survive_the_archives(spark, tmp_path):
     empty = warc.write_archives(warc.capture_records(pages.filter("false")), f"file://{tmp_path}/none")
     assert warc.read_archives(empty).count() == 0
     assert math.isclose(sum(r["records"] for r in archives.collect()), len(rows))
+
+
+# Columns named like the helpers.
+
+
+HELPERS = (
+    "_of _at _part _start _rows _first _source _copy _curve _bin0 _value _row _replacements _url _ruled _chars "
+    "_host _language _row_key _of_key _of_id row_key whole copy rule score lang_pred mix_source_size mix_size "
+    "component_id node kept window words size"
+).split()
+
+
+@pytest.fixture(scope="module")
+def named_like_helpers(spark):
+    texts = [f"plain words of document number {i} that say this and that of {i}" for i in range(6)]
+    docs = spark.createDataFrame(
+        [(i, text, "en", "ab"[i % 2]) for i, text in enumerate(texts)],
+        "doc_id long, text string, lang string, source string",
+    )
+    return docs.withColumns({name: F.lit(f"mine {name}") for name in HELPERS}).checkpoint()
+
+
+def unchanged(result, docs, added=()):
+    assert set(result.columns) == set(docs.columns) | set(added)
+    names = [name for name in HELPERS if name not in added]
+    rows = result.select(*names).collect()
+    return bool(rows) and all(tuple(row) == tuple(f"mine {name}" for name in names) for row in rows)
+
+
+def test_columns_like_the_helpers_stay(spark, named_like_helpers):
+    docs = named_like_helpers
+    items = spark.createDataFrame([(1, "words that stand in none of the documents")], "item_id long, text string")
+    assert unchanged(mixing.mix_documents(docs), docs)
+    assert unchanged(sharding.shard_documents(docs, sharding.document_dimensions()), docs, ("shard", "slot"))
+    assert unchanged(pii.replace_entities(docs), docs, ("n_replaced",))
+    assert unchanged(jaccard_join.drop_near_copies(docs), docs)
+    assert unchanged(decontamination.drop_leaks(docs, items), docs)
+    assert unchanged(language.keep_told(docs, 0.0), docs)
+    assert unchanged(language.add_language(docs, language.Profiles.of({})), docs, ("lang_pred", "score"))
+    pages = docs.withColumnsRenamed({"text": "html"}).withColumn("url", F.lit("http://a.org/x"))
+    assert unchanged(urls.filter_urls(pages), pages, ("host", "path", "rule", "verdict", "score"))
+    assert unchanged(wrappers.extract_main_text(pages), pages, ("text", "n_chars"))
+
+
+# Pages whose text was lost or whose depth was too much.
+
+
+def extracted(spark, pages):
+    rows = [(i, f"http://h.org/{i}", one) for i, one in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r["text"] for r in wrappers.extract_main_text(frame).orderBy("page_id").collect()]
+
+
+def test_names_of_article_parts_do_not_drop_them(spark):
+    article = (
+        "<article><h2 id='social-impact'>Impact {0}</h2><section id='related-work'><p>work {0}</p></section>"
+        "<p class='notice-board'>board {0}</p><div class='comment-list'><p>a reader says {0}</p></div>"
+        "<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> as known {0}.</p></article><p title=\"abc>after {0}</p>"
+    )
+    found = extracted(spark, [f"<body>{article.format(i)}</body>" for i in range(6)])
+    assert found[3] == "Impact 3\nwork 3\nboard 3\nEnergy is E=m as known 3.\nafter 3"
+
+
+def test_shared_paragraphs_stay_unless_they_have_a_fixed_place(spark):
+    def one(i):
+        long = [f"paragraph {k} of {i} " * 5 for k in range(3 + i % 4)]
+        long.insert(1 + i % 3, "The method is described below.")
+        return [f"Title {i}", *long]
+
+    pages = [
+        "<body><article>" + "".join(f"<p>{text}</p>" for text in [*one(i), "Follow us"]) + "</article></body>"
+        for i in range(12)
+    ]
+    assert extracted(spark, pages) == ["\n".join(text.strip() for text in one(i)) for i in range(12)]
+
+
+def test_near_copies_keep_their_common_paragraphs(spark):
+    same = [f"common paragraph {k} of the copied article, long enough to be one" for k in range(20)]
+    texts = [[*same[:10], f"own paragraph {i}", *same[10:]] for i in range(6)]
+    texts += [[f"page {i} paragraph {k} with its own words" for k in range(40)] for i in range(4)]
+    pages = ["<body><div>Same on all</div><article>" + "".join(f"<p>{t}</p>" for t in one) + "</article></body>" for one in texts]
+    assert extracted(spark, pages) == ["\n".join(one) for one in texts]
+
+
+@pytest.mark.parametrize("depth", [900, 20_000])
+def test_deep_pages_keep_their_text(spark, depth):
+    deep = "<div>" * depth + "<p>deep {0}</p>" + "</div>" * depth + "<p>end {0}</p>"
+    mixed = "".join(f"<div>level {k}" for k in range(300))
+    pages = ["<body>" + deep.format(i) + "</body>" for i in range(5)] + ["<body>" + mixed]
+    found = extracted(spark, pages)
+    assert found[:5] == [f"deep {i}\nend {i}" for i in range(5)]
+    assert found[5] == "\n".join(f"level {k}" for k in range(300))
