@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from logstats.llm.common import read_table
 from logstats.llm.decontamination import drop_leaks
 from logstats.llm.jaccard_join import drop_near_copies
-from logstats.llm.language import UNKNOWN, identify
+from logstats.llm.language import keep_told
 from logstats.llm.mixing import mix_documents
 from logstats.llm.sharding import document_dimensions, shard_documents
 from logstats.scratch import remove_path, scratch_path
@@ -21,8 +20,7 @@ LEAST_SCORE = 0.05
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that could be told; ``lang`` stays as it was given."""
-    told = identify(docs).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return told.select(*docs.columns)
+    return keep_told(docs, LEAST_SCORE)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

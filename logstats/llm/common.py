@@ -15,8 +15,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # The letters that lower-casing touches.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# A table of at most so many narrow rows may be broadcast.
+# A table of at most so many rows and bytes may be broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def ascii_lower(text: Column) -> Column:
@@ -44,10 +45,24 @@ def unused(name: str, *frames: DataFrame) -> str:
     return name
 
 
-def small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A checkpointed table, marked for broadcast only if it has at most ``limit`` rows."""
+def _bytes_of(name: str, kind: str) -> Column:
+    column = F.col(f"`{name}`")
+    text = column if kind in ("string", "binary") else F.to_json(F.struct(column))
+    return F.coalesce(F.octet_length(text), F.lit(0))
+
+
+def small(table: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A checkpointed table, marked for broadcast only if it has at most ``limit`` rows and
+    its columns of no fixed width at most ``most_bytes``."""
     kept = checkpointed(table)
-    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
+    if kept.limit(limit + 1).count() > limit:
+        return kept
+    wide = [both for both in kept.dtypes if both[1].startswith(("string", "binary", "array", "map", "struct"))]
+    if wide:
+        size = kept.agg(F.sum(sum((_bytes_of(*both) for both in wide), F.lit(0)))).head()[0]
+        if (size or 0) > most_bytes:
+            return kept
+    return F.broadcast(kept)
 
 
 @contextmanager
@@ -91,7 +106,7 @@ def ranked(rows: DataFrame, order: Sequence[Column], at: str) -> DataFrame:
     since a second evaluation might sample other range bounds. The counts have one row for
     each partition, which bounds their window and their broadcast.
     """
-    part = unused("_part", rows)
+    part, of, start = (unused(name, rows) for name in ("_part", "_of", "_start"))
     sorted_rows = (
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -101,11 +116,11 @@ def ranked(rows: DataFrame, order: Sequence[Column], at: str) -> DataFrame:
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
     starts = counts.select(
-        F.col(part).alias("_of"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+        F.col(part).alias(of), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(start)
     )
     within = F.col(at).bitwiseAND((1 << 33) - 1)
     return (
-        placed.join(F.broadcast(starts), F.col(part) == F.col("_of"))
-        .withColumn(at, within + F.col("_start"))
-        .drop(part, "_of", "_start")
+        placed.join(F.broadcast(starts), F.col(part) == F.col(of))
+        .withColumn(at, within + F.col(start))
+        .drop(part, of, start)
     )

@@ -256,9 +256,11 @@ def find_leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item; a removed row's repetitions go with it."""
-    key = unused("_row_key", docs)
-    leaks = find_leaks(docs, benchmark).select(F.col("row_key").alias(key)).distinct()
-    return docs.withColumn(key, F.xxhash64("doc_id", "text")).join(small(leaks), key, "left_anti").drop(key)
+    key, of_key, of_id = (unused(name, docs) for name in ("_row_key", "_of_key", "_of_id"))
+    named = [F.col("row_key").alias(of_key), F.col("doc_id").alias(of_id)]
+    leaks = small(find_leaks(docs, benchmark).select(*named).distinct())
+    same = (F.col(key) == F.col(of_key)) & F.col("doc_id").eqNullSafe(F.col(of_id))
+    return docs.withColumn(key, F.xxhash64("doc_id", "text")).join(leaks, same, "left_anti").drop(key)
 
 
 def op5_simhash_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

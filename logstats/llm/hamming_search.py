@@ -84,7 +84,9 @@ def _probes(queries: DataFrame, present: np.ndarray, segment: int, radius: int)
                     yield probes[held]
 
     parts = queries.select("query", "bound", F.posexplode("query").alias("part", "value"))
-    return parts.mapInPandas(flip, "query array<int>, bound int, part int, value int")
+    # A query has few bytes and many probes, so the number of partitions is given.
+    spread = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return parts.repartition(spread).mapInPandas(flip, "query array<int>, bound int, part int, value int")
 
 
 def _kth_distance(best: Column, k: int) -> Column:

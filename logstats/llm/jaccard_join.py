@@ -376,19 +376,22 @@ def link_documents(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component; see ``link_documents``.
 
-    Rows are told apart by their key. Rows that repeat one that stays are reduced to one;
-    the others that go are removed by an anti join, broadcast only if they are few.
+    Rows are told apart by their doc_id and key, so that keys of different documents may
+    collide. Rows that repeat one that stays are reduced to one; the others that go are
+    removed by an anti join, broadcast only if they are few.
     """
-    key = unused("_row_key", docs)
+    key, of_key, of_id = (unused(name, docs) for name in ("_row_key", "_of_key", "_of_id"))
     linked = checkpointed(link_documents(docs))
-    fate = linked.groupBy("row_key").agg(
+    fate = linked.groupBy("doc_id", "row_key").agg(
         F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"), F.max("n_shingles").alias("_size")
     )
-    gone = small(fate.filter("NOT _kept").select(F.col("row_key").alias(key)))
-    repeated = small(fate.filter("_kept AND _n > 1 AND _size > 0").select(F.col("row_key").alias(key)))
-    rows = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(gone, key, "left_anti")
-    once = rows.join(repeated, key, "left_semi").dropDuplicates([key])
-    return rows.join(repeated, key, "left_anti").unionByName(once).drop(key)
+    named = [F.col("row_key").alias(of_key), F.col("doc_id").alias(of_id)]
+    gone = small(fate.filter("NOT _kept").select(*named))
+    repeated = small(fate.filter("_kept AND _n > 1 AND _size > 0").select(*named))
+    same = (F.col(key) == F.col(of_key)) & F.col("doc_id").eqNullSafe(F.col(of_id))
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(gone, same, "left_anti")
+    once = rows.join(repeated, same, "left_semi").dropDuplicates(["doc_id", key])
+    return rows.join(repeated, same, "left_anti").unionByName(once).drop(key)
 
 
 def op9_size_aware_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,21 +158,26 @@ def learn_profiles(examples: DataFrame, most: int = PROFILE_GRAMS) -> Profiles:
     return Profiles.of(grams, most)
 
 
-def add_language(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    """Every row with ``lang_pred`` and ``score``.
-
-    A null text, one without letters, and any text if no language was learned is ``und``
-    with score 0. Equal texts get equal answers.
-    """
+def prediction(profiles: Profiles, text: str = "text") -> Column:
+    """A struct of ``lang_pred`` and ``score`` for a column of texts."""
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(map(profiles.predict, texts), columns=["lang_pred", "score"])
 
+    return predict(text)
+
+
+def add_language(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
+    """Every row with ``lang_pred`` and ``score``; columns of these names are replaced.
+
+    A null text, one without letters, and any text if no language was learned is ``und``
+    with score 0. Equal texts get equal answers.
+    """
     answer = unused("_language", docs)
     return (
-        docs.drop("lang_pred", "score")
-        .withColumn(answer, predict(text))
+        docs.withColumn(answer, prediction(profiles, text))
+        .drop("lang_pred", "score")
         .withColumns({name: F.col(f"{answer}.{name}") for name in ("lang_pred", "score")})
         .drop(answer)
     )
@@ -188,6 +193,15 @@ def identify(docs: DataFrame) -> DataFrame:
     return add_language(docs, learn_profiles(docs.filter(~held_out(F.col("doc_id")))))
 
 
+def keep_told(docs: DataFrame, least: float) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a score of ``least`` or more, as they
+    are; profiles are learned from their own labels."""
+    profiles = learn_profiles(docs.filter(~held_out(F.col("doc_id"))))
+    answer = unused("_language", docs)
+    told = docs.withColumn(answer, prediction(profiles))
+    return told.filter((F.col(answer)["lang_pred"] != UNKNOWN) & (F.col(answer)["score"] >= least)).drop(answer)
+
+
 def op6_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return identify(docs.select("doc_id", "lang", "text")).select(

@@ -86,10 +86,12 @@ def take_copies(
     ``docs`` has ``doc_id`` and ``source``; a null source is a source. A null size counts
     as 0. Repeated rows are documents of their own. Rows equal in source, size and
     doc_id are interchangeable but for columns not looked at; which of them is taken more
-    often is then open. An empty table gives an empty table.
+    often is then open. Columns named like the four added are replaced. An empty table
+    gives an empty table.
     """
-    at = unused("_at", docs)
+    at, of, first = (unused(name, docs) for name in ("_at", "_source", "_first"))
     rows = docs.withColumn("mix_size", F.coalesce(size, F.lit(0)).cast("long"))
+    rows = rows.drop("mix_source_size", "mix_target", "mix_copies")
     order = [F.col("source").isNull(), F.col("source"), F.col("mix_size"), F.col("doc_id")]
     placed = ranked(rows, order, at)
     sources = placed.groupBy("source").agg(
@@ -98,30 +100,32 @@ def take_copies(
     targets = source_targets(sources, weights, most)
     targets = small(
         targets.select(
-            F.col("source").alias("_source"),
+            F.col("source").alias(of),
             F.col("source_size").alias("mix_source_size"),
-            F.col("first").alias("_first"),
+            F.col("first").alias(first),
             F.col("target").alias("mix_target"),
         )
     )
-    joined = placed.join(targets, F.col("source").eqNullSafe(F.col("_source")))
+    joined = placed.join(targets, F.col("source").eqNullSafe(F.col(of)))
     expected = F.when(
         F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")
     ).otherwise(F.lit(0.0))
-    place = (F.col(at) - F.col("_first")).cast("double")
+    place = (F.col(at) - F.col(first)).cast("double")
     offset = _offset(F.col("source"), seed)
     crossed = F.floor((place + 1.0) * expected + offset) - F.floor(place * expected + offset)
-    return joined.withColumn("mix_copies", F.least(crossed, F.lit(most))).drop(
-        at, "_source", "_first"
-    )
+    return joined.withColumn("mix_copies", F.least(crossed, F.lit(most))).drop(at, of, first)
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    taken = take_copies(docs, word_count(F.col("text")), **options)
+    """The mix itself: the rows of ``docs``, each as often as it is taken.
+
+    Rows are carried whole in one column, so no name in ``docs`` clashes with one used here.
+    """
+    size = word_count(F.col("text")).alias("size")
+    whole = docs.select("doc_id", "source", size, F.struct("*").alias("whole"))
+    taken = take_copies(whole, F.col("size"), **options).filter("mix_copies > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))
-    copies = taken.filter("mix_copies > 0").select(*docs.columns, times.alias("_copy"))
-    return copies.select(*docs.columns)
+    return taken.select("whole", times.alias("copy")).select("whole.*")
 
 
 def op2_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

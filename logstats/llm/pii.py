@@ -228,7 +228,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     Null, empty and clean texts stay as they are, with 0. Equal texts get equal results. An
     empty table stays empty.
     """
-    row, found = unused("_row", docs), unused("_replacements", docs)
+    row, found, of = (unused(name, docs) for name in ("_row", "_replacements", "_of"))
     rows = docs.drop("n_replaced").withColumn(row, F.sha1("text"))
     spotted = rows.select(F.col(row).alias("row"), mentions_of(F.col("text")).alias("mentions"))
     mentions = checkpointed(
@@ -244,8 +244,8 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     )
     ordered = F.sort_array(F.collect_list(F.struct("at", "new")))
     by_row = written.groupBy("row").agg(F.transform(ordered, lambda m: m["new"]).alias(found))
-    by_row = small(by_row.withColumnRenamed("row", "_of"))
-    joined = rows.join(by_row, F.col(row) == F.col("_of"), "left")
+    by_row = small(by_row.withColumnRenamed("row", of))
+    joined = rows.join(by_row, F.col(row) == F.col(of), "left")
     pieces = F.split("text", ANY, -1)
     woven = F.zip_with(
         pieces, F.concat(found, F.array(F.lit(""))), lambda piece, new: F.concat(piece, new)
@@ -253,7 +253,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     text = F.when(F.col(found).isNull(), F.col("text")).otherwise(F.array_join(woven, ""))
     return joined.withColumns(
         {"text": text, "n_replaced": F.coalesce(F.size(found), F.lit(0))}
-    ).drop(row, found, "_of")
+    ).drop(row, found, of)
 
 
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,11 +64,12 @@ def add_bins(rows: DataFrame, dimension: Column, name: str, bits: int = BITS) ->
     """
     value = unused("_value", rows)
     rows = rows.withColumn(value, dimension)
-    counts = rows.groupBy(F.col(value).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    of = unused("_of", rows)
+    counts = rows.groupBy(F.col(value).alias(of)).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(of).rowsBetween(Window.unboundedPreceding, -1)
     share = F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.sum("_n").over(Window.partitionBy())
-    bins = counts.select("_of", F.floor(share * (1 << bits)).cast("long").alias(name))
-    return rows.join(small(bins), F.col(value).eqNullSafe(F.col("_of"))).drop(value, "_of")
+    bins = counts.select(of, F.floor(share * (1 << bits)).cast("long").alias(name))
+    return rows.join(small(bins), F.col(value).eqNullSafe(F.col(of))).drop(value, of)
 
 
 def shard_documents(
@@ -82,7 +83,8 @@ def shard_documents(
     Rows are ordered by curve index, CRC-32 of the text and doc_id; equal texts with equal
     metadata lie side by side. Nulls are values like others. Rows equal in all of these
     take neighbouring slots in any order. Counts per shard differ by one at most; with
-    fewer rows than shards some stay empty, and an empty table gives an empty table.
+    fewer rows than shards some stay empty, and an empty table gives an empty table. Columns
+    named ``shard`` or ``slot`` are replaced.
     """
     names = [unused(f"_bin{i}", docs) for i in range(len(dimensions))]
     rows = docs
@@ -92,14 +94,13 @@ def shard_documents(
     rows = rows.withColumn(curve, _curve(names, bits)).drop(*names)
     crc = F.coalesce("text_crc32", F.lit(-1)) if "text_crc32" in docs.columns else F.crc32("text")
     placed = ranked(rows, [F.col(curve), crc, F.col("doc_id")], at)
-    total = small(placed.agg(F.count(F.lit(1)).alias("_total")))
-    shard = F.floor(F.col(at) * shards / F.col("_total"))
-    first = F.ceil(F.col("shard") * F.col("_total") / F.lit(shards))
+    total = F.lit(max(placed.count(), 1)).cast("long")
+    shard = F.floor(F.col(at) * shards / total)
+    first = F.ceil(F.col("shard") * total / F.lit(shards))
     return (
-        placed.crossJoin(total)
-        .withColumn("shard", shard.cast("int"))
+        placed.withColumn("shard", shard.cast("int"))
         .withColumn("slot", (F.col(at) - first).cast("long"))
-        .drop(curve, at, "_total")
+        .drop(curve, at)
     )
 
 

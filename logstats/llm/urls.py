@@ -224,30 +224,30 @@ def filter_urls(
     allow, with a null score. Equal URLs are judged alike; an empty table stays empty.
     """
     rows = rows.drop("host", "path", "rule", "verdict", "score")
-    chars, raw = unused("_chars", rows), "_url"
+    chars, raw, ruled = (unused(name, rows) for name in ("_chars", "_url", "_ruled"))
     parsed = rows.withColumn(raw, F.col(url))
     host, path = url_parts(F.col(raw))
     parsed = parsed.withColumns({"host": host, "path": path, chars: model_text(F.col(raw))})
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    judged = parsed.withColumns({"rule": rule, "_ruled": verdict}).drop(raw)
-    examples = judged.filter("_ruled IS NOT NULL").select(
-        F.col("_ruled").alias("verdict"),
+    judged = parsed.withColumns({"rule": rule, ruled: verdict}).drop(raw)
+    examples = judged.filter(F.col(ruled).isNotNull()).select(
+        F.col(ruled).alias("verdict"),
         F.col(chars).alias("chars"),
         (F.pmod(F.xxhash64(chars), F.lit(HELD_OUT)) == 0).alias("held_out"),
     )
     counts = count_grams(examples.filter("NOT held_out"))
     trained = [kind for kind in KINDS if not counts.filter(F.col(kind) > 0).isEmpty()]
     if len(trained) < len(KINDS):
-        filled = {"verdict": F.coalesce("_ruled", F.lit("allow")), "score": F.lit(None).cast("double")}
-        return judged.withColumns(filled).drop(chars, "_ruled")
+        filled = {"verdict": F.coalesce(ruled, F.lit("allow")), "score": F.lit(None).cast("double")}
+        return judged.withColumns(filled).drop(chars, ruled)
     scores = small(text_scores(counts, judged.select(F.col(chars).alias("chars"))))
     held_out = examples.filter("held_out").join(scores, "chars")
     threshold = calibrated_threshold(held_out)
     by_score = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return (
         judged.join(scores.withColumnRenamed("chars", chars), chars)
-        .withColumn("verdict", F.coalesce("_ruled", by_score))
-        .drop(chars, "_ruled")
+        .withColumn("verdict", F.coalesce(ruled, by_score))
+        .drop(chars, ruled)
     )
 
 

@@ -29,6 +29,8 @@ from logstats.llm.zip_archive import read_members, stored_range
 from logstats.scratch import checkpointed, scratch_folder
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
+# Tasks that read archives, at most; each reads whole ones.
+READERS = 10_000
 ARCHIVE_BYTES = 64 << 20
 READ_BYTES = 1 << 20
 LEAST_REVISIT = 1000
@@ -204,7 +206,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
             if rows:
                 yield _frame(rows, columns)
 
-    return archives.repartition("archive").mapInPandas(read, RECORD)
+    # A number of partitions that is given is not merged by the size of the paths.
+    parts = min(max(archives.count(), 1), READERS)
+    return archives.repartition(parts, "archive").mapInPandas(read, RECORD)
 
 
 def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
