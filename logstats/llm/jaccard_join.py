@@ -14,22 +14,25 @@ less. So sets are found by keys:
   the single shingles of their prefix, and so are small sets that may be similar to a large
   one.
 
-The boundary minimises the estimated cost of both, from counts over all documents. The order
-is rare shingles first, by a table of fixed size with the order of magnitude of the frequency;
-any other order gives the same links, so the table may be as rough as it needs to be.
+The boundary minimises the estimated cost of both, from counts over all documents: a key costs
+one, and so do ``COMPARISONS_PER_KEY`` comparisons between members of its list. The lists'
+costs are counted exactly, those of the subsets by the first shingles of one slot in
+``COST_SLOTS``, whose subsets are counted over the whole corpus. The boundary has no upper end.
+The order is rare shingles first, by a table of fixed size with the order of magnitude of the
+frequency; any other order gives the same links, so the table may be as rough as it needs to be.
 
 Within one key's list, all members are compared with one of them only; that joins groups of
-near copies with a comparison for each member. Members still in different components are
-compared with another one, and when that has removed the bulk, all remaining pairs across
-components are compared. Pairs inside a component are never needed, and no pair across
-components is left out, so the components are exact.
+near copies with a comparison for each member. Once few comparisons are left, or this no longer
+lowers them by half, all remaining members of a list that are in different components and whose
+sizes and positions allow a link are compared, large lists in blocks. Pairs inside a component
+are never needed, and no pair across components is left out, so the components are exact.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -45,19 +48,20 @@ THRESHOLD = 75
 # Frequencies are kept for so many slots, which bounds the table that every task gets.
 SLOT_BITS = 22
 SLOTS_PER_BLOCK = 1 << 14
-# Sets above this have over 150 subsets each and count as large in any case.
-LARGEST_SMALL = 64
-# A candidate pair costs as much as so many keys.
-PAIR_COST = 30.0
+# So many comparisons of two entries of a list cost as much as one entry.
+COMPARISONS_PER_KEY = 20.0
+# The costs of subsets are taken from those that begin with a shingle in one of so many slots.
+COST_SLOTS = 16
 # Sizes are cut in bands by this factor, a little more than sizes of a link may differ by.
 BAND = 1.34
-# Rounds of comparing with one member before all pairs across components are compared,
+# Most rounds of comparing with one member before all pairs across components are compared,
 # and the number of such pairs for each list entry that makes further rounds needless.
 STAR_ROUNDS = 6
-PAIRS_PER_ENTRY = 2.0
+PAIRS_PER_ENTRY = 20.0
+# Members of larger lists are compared block by block.
+BLOCK = 2048
 
 _SLOTS = np.uint64((1 << SLOT_BITS) - 1)
-_FIRST, _SECOND = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
 
 def least_overlap(n: int) -> int:
@@ -65,51 +69,15 @@ def least_overlap(n: int) -> int:
     return -(-THRESHOLD * n // 100)
 
 
-def _size_bin(n: int) -> int:
-    return int(8 * math.log2(n))
-
-
-def _subset_keys(ordered: np.ndarray) -> np.ndarray:
-    """Keys of all two-element subsets."""
-    i, j = np.triu_indices(len(ordered), 1)
-    return mixed(ordered[i] * _FIRST + ordered[j] * _SECOND)
-
-
-def _costs(sets: list[np.ndarray], tokens: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-    """By size of set, what its keys and the pairs they lead to cost in these sets, as
-    subsets and as lists."""
-    lists, subsets = [], []
-    for one in sets:
-        length = len(one) - least_overlap(len(one)) + 2
-        ordered = one[np.argsort(counts[np.searchsorted(tokens, one)], kind="stable")[:length]]
-        lists.append(ordered[:-1])
-        subsets.append(_subset_keys(ordered))
-    bins = np.array([_size_bin(len(one)) for one in sets])
-
-    def cost(keys: list[np.ndarray]) -> np.ndarray:
-        _, place, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        owner = np.repeat(bins, [len(k) for k in keys])
-        return np.bincount(owner, weights=1 + PAIR_COST * (times[place] - 1))
-
-    by_lists, by_subsets = cost(lists), cost(subsets)
-    found = np.unique(bins)
-    return pd.DataFrame({"kind": 1, "at": found, "n": by_subsets[found], "more": by_lists[found]})
-
-
-def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per batch: how often frequent shingles occur, and both costs by size of set."""
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per batch: how often frequent shingles occur."""
     for batch in batches:
         sets = [s for s in shingle_sets(batch["text"]) if len(s) > 2]
         if not sets:
             continue
         tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
         frequent = counts > 1
-        yield pd.DataFrame(
-            {"kind": 0, "at": tokens[frequent].astype(np.int64), "n": counts[frequent].astype(float), "more": 0.0}
-        )
-        small_sets = [one for one in sets if len(one) <= LARGEST_SMALL]
-        if small_sets:
-            yield _costs(small_sets, tokens, counts)
+        yield pd.DataFrame({"token": tokens[frequent].astype(np.int64), "n": counts[frequent]})
 
 
 def _frequency_classes(slots: DataFrame) -> np.ndarray:
@@ -130,45 +98,22 @@ def _frequency_classes(slots: DataFrame) -> np.ndarray:
     return classes.view(np.uint8)
 
 
-def survey(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Frequency class by slot, and the size up to which sets count as small."""
-    counts = (
-        docs.select("text")
-        .mapInPandas(_survey, "kind int, at long, n double, more double")
-        .groupBy("kind", "at")
-        .agg(F.sum("n").alias("n"), F.sum("more").alias("more"))
-    )
-    # Slots of shingles, which share one if they must, and costs by size after them.
-    slot = F.when(F.col("kind") == 0, F.col("at").bitwiseAND(int(_SLOTS))).otherwise(F.col("at"))
-    found = checkpointed(
-        counts.groupBy("kind", slot.cast("int").alias("at")).agg(
-            F.max("n").alias("n"), F.max("more").alias("more")
-        )
-    )
-    classes = _frequency_classes(found.filter("kind = 0"))
-    costs = sorted(map(tuple, found.filter("kind = 1").select("at", "n", "more").collect()))
-    best, boundary = sum(scan for _, _, scan in costs), 0
-    total = best
-    for size, subsets, scan in costs:
-        total += subsets - scan
-        if total <= best:
-            best, boundary = total, math.ceil(2 ** ((size + 1) / 8)) - 1
-    return classes, boundary
+def survey(docs: DataFrame) -> np.ndarray:
+    """Frequency class by slot; shingles of one slot share the class of the most frequent."""
+    counts = docs.select("text").mapInPandas(_counted, "token long, n long")
+    counts = counts.groupBy("token").agg(F.sum("n").alias("n"))
+    slot = F.col("token").bitwiseAND(int(_SLOTS)).cast("int")
+    return _frequency_classes(counts.groupBy(slot.alias("at")).agg(F.max("n").alias("n")))
 
 
-def set_keys(one: np.ndarray, classes: np.ndarray, boundary: int) -> np.ndarray:
-    """The keys of a sorted set. Sets of one or two link with equal sets only."""
+def prefix(one: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The rarest shingles of a sorted set, among which any two sets that link have their first
+    two common ones. Sets of one or two link with equal sets only and have none."""
     n = len(one)
     if n < 3:
         return one[:0]
-    length = n - least_overlap(n) + 2
-    ordered = one[np.argsort(classes[(one & _SLOTS).astype(np.int64)], kind="stable")[:length]]
-    keys = []
-    if n <= boundary:
-        keys.append(_subset_keys(ordered))
-    if n > boundary or 100 * n >= THRESHOLD * (boundary + 1):
-        keys.append(ordered[:-1])
-    return np.concatenate(keys)
+    order = np.argsort(classes[(one & _SLOTS).astype(np.int64)], kind="stable")
+    return one[order[: n - least_overlap(n) + 2]]
 
 
 def _digest(one: np.ndarray) -> tuple[int, int]:
@@ -176,22 +121,25 @@ def _digest(one: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(data, dtype=np.int64).tolist())
 
 
-def hashed_sets(docs: DataFrame, classes: np.ndarray, boundary: int) -> DataFrame:
-    """Per row ``node`` (its number), ``doc_id``, ``row_key``, ``n``, the set's digest and keys."""
+def hashed_sets(docs: DataFrame, classes: np.ndarray) -> DataFrame:
+    """Per row ``node`` (its number), ``doc_id``, ``row_key``, ``n``, the set's digest and prefix."""
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = list(shingle_sets(batch.pop("text")))
             h1, h2 = zip(*map(_digest, sets), strict=True) if sets else ((), ())
-            keys = [set_keys(one, classes, boundary).view(np.int64) for one in sets]
+            rarest = [prefix(one, classes).view(np.int64) for one in sets]
             yield batch.assign(
-                n=[len(one) for one in sets], h1=np.array(h1, dtype=np.int64), h2=np.array(h2, dtype=np.int64), keys=keys
+                n=[len(one) for one in sets],
+                h1=np.array(h1, dtype=np.int64),
+                h2=np.array(h2, dtype=np.int64),
+                prefix=rarest,
             )
 
     # The id as text, for pandas turns numbers with nulls among them into floats.
     doc_id, row_key = F.col("doc_id").cast("string"), F.xxhash64("doc_id", "text")
     rows = docs.select(doc_id.alias("doc_id"), row_key.alias("row_key"), "text")
-    schema = "doc_id string, row_key long, n long, h1 long, h2 long, keys array<long>"
+    schema = "doc_id string, row_key long, n long, h1 long, h2 long, prefix array<long>"
     sets = rows.mapInPandas(hashed, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
     return checkpointed(sets.withColumn("node", F.monotonically_increasing_id()))
 
@@ -238,27 +186,98 @@ def _within_reach(n: str, most: str, other_n: str, other_most: str) -> Column:
     return (F.col(n) <= F.col(other_most)) & (F.col(other_n) <= F.col(most))
 
 
-def _inverted_lists(sets: DataFrame, boundary: int) -> DataFrame:
-    """Entries ``list``, ``node``, ``n``, ``most`` of the lists that could hold a link.
+def _subsets(of: str, first: Callable[[Column], Column] | None = None) -> Column:
+    """``key`` of the two-element subsets of an array, or of those that begin with an element
+    whose place ``first`` picks."""
 
-    A list is a key and a band of sizes; a set is in its band's and the next, and so meets
-    all sets of a size it can link to. ``most`` is the largest such size: the shingles
-    before the key in the order are not common to a pair whose first common one it is.
+    def beginning(i: Column) -> Column:
+        token, others = F.get(F.col(of), i), F.slice(F.col(of), i + 2, F.size(of))
+        return F.transform(others, lambda other: F.struct(F.lit(0).alias("at"), F.xxhash64(token, other).alias("key")))
+
+    places = F.sequence(F.lit(0), F.size(of) - 1)
+    return F.flatten(F.transform(places if first is None else first(places), beginning))
+
+
+def _singles(of: str) -> Column:
+    """``at`` and ``key`` of all elements but the last."""
+    front = F.slice(F.col(of), 1, F.size(of) - 1)
+    return F.transform(front, lambda token, i: F.struct(i.alias("at"), token.alias("key")))
+
+
+def _costs(keys: DataFrame, weight: int) -> dict[int, float]:
+    """By size bin, what ``key``s and the comparisons they lead to cost."""
+    by_bin = keys.groupBy("key", "bin").agg(F.count(F.lit(1)).alias("n"))
+    times = by_bin.groupBy("key").agg(F.sum("n").alias("_times"))
+    each = 1 + (F.col("_times") - 1) / COMPARISONS_PER_KEY
+    costs = by_bin.join(times, "key").groupBy("bin").agg(F.sum(F.col("n") * each).alias("cost"))
+    return {row["bin"]: weight * row["cost"] for row in costs.collect()}
 
-    One row stands for equal sets; the others leave before their keys are made rows.
+
+def choose_boundary(once: DataFrame) -> tuple[int, list[tuple[int, float, float]]]:
+    """The size up to which sets count as small, and per size bin (its last size) both costs.
+
+    There are eight bins for each doubling of the size, so few rows come to the driver. A
+    subset costs one at least; where all subsets up to a size cost more by that alone than
+    the lists do, the boundary lies below, and nothing more is counted.
     """
+    binned = once.withColumn("bin", F.floor(F.log2("n") * 8).cast("int"))
+    by_lists = _costs(binned.select("bin", F.explode(_singles("prefix")).alias("_k")).select("bin", "_k.key"), 1)
+    sizes = binned.groupBy("bin").agg(
+        F.max("n").alias("n"), F.sum(F.size("prefix") * (F.size("prefix") - 1) / 2).alias("subsets")
+    )
+    costs = [(row["bin"], row["n"], row["subsets"], by_lists[row["bin"]]) for row in sizes.orderBy("bin").collect()]
+    more = np.cumsum([subsets - scan for _, _, subsets, scan in costs])
+    possible = [at for (at, *_), least in zip(costs, more, strict=True) if least <= 0]
+    if not possible:
+        return 0, [(size, subsets, scan) for _, size, subsets, scan in costs]
+
+    def sampled(places: Column) -> Column:
+        return F.filter(places, lambda i: F.pmod(F.xxhash64(F.get(F.col("prefix"), i)), F.lit(COST_SLOTS)) == 0)
+
+    asked = binned.filter(F.col("bin") <= possible[-1])
+    keys = asked.select("bin", F.explode(_subsets("prefix", sampled)).alias("_k")).select("bin", "_k.key")
+    by_subsets = _costs(keys, COST_SLOTS)
+    costs = [(size, max(by_subsets.get(at, 0.0), subsets), scan) for at, size, subsets, scan in costs]
+    total = best = sum(scan for _, _, scan in costs)
+    boundary = 0
+    for size, subsets, scan in costs:
+        total += subsets - scan
+        if total <= best:
+            best, boundary = total, size
+    return boundary, costs
+
+
+def _distinct_sets(sets: DataFrame) -> DataFrame:
+    """One row for equal sets of three or more; the others leave before their keys are made rows."""
     narrow = sets.filter("n > 2").select("node", "h1", "h2")
     reps = narrow.groupBy("h1", "h2").agg(F.min("node").alias("_rep"))
     copies = narrow.join(reps, ["h1", "h2"]).filter("node <> _rep").select("node")
-    once = sets.filter("n > 2").join(small(copies), "node", "left_anti")
-    entries = once.select("node", "n", F.posexplode("keys").alias("at", "key"))
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    lists = entries.join(shared.select("key"), "key")
-    skipped = F.when(F.col("n") > boundary, F.col("at")).otherwise(0)
-    most = F.floor((F.col("n") * 100 - skipped * (100 + THRESHOLD)) / THRESHOLD)
+    return sets.filter("n > 2").join(small(copies), "node", "left_anti").select("node", "n", "prefix")
+
+
+def _inverted_lists(once: DataFrame, boundary: int) -> DataFrame:
+    """Entries ``list``, ``node``, ``n``, ``most`` of the lists that could hold a link.
+
+    A list is a key and a band of sizes; a set is in its band's and the next, and so meets
+    all sets of a size it can link to. ``most`` is the largest such size: the shingles
+    before the key in the order are not common to a pair whose first common one it is. Of two
+    sets in one list one must be as large as the other and still reach it, so a list
+    needs an entry that reaches its own size.
+    """
+    none = F.slice(_singles("prefix"), 1, 0)
+    light = F.when(F.col("n") <= boundary, _subsets("prefix")).otherwise(none)
+    meets_large = F.col("n") * 100 >= THRESHOLD * (boundary + 1)
+    heavy = F.when((F.col("n") > boundary) | meets_large, _singles("prefix")).otherwise(none)
+    entries = once.select("node", "n", F.explode(F.concat(light, heavy)).alias("_k"))
+    most = F.floor((F.col("n") * 100 - F.col("_k.at") * (100 + THRESHOLD)) / THRESHOLD)
+    entries = entries.select("node", "n", F.col("_k.key").alias("key"), most.alias("most"))
+    shared = entries.groupBy("key").agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.col("most") - F.col("n")).alias("_reach")
+    )
+    lists = entries.join(shared.filter("_n > 1 AND _reach >= 0").select("key"), "key")
     band = F.floor(F.log("n") / math.log(BAND)).cast("int")
     return lists.select(
-        "key", "node", "n", most.alias("most"), F.explode(F.array(band, band + 1)).alias("_band")
+        "key", "node", "n", "most", F.explode(F.array(band, band + 1)).alias("_band")
     ).select(F.xxhash64("key", "_band").alias("list"), "node", "n", "most")
 
 
@@ -274,13 +293,30 @@ def _live(lists: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
     stats = entries.groupBy("list").agg(
         pivot.alias("pivot"),
         F.count(F.lit(1)).alias("size"),
+        F.max(F.col("most") - F.col("n")).alias("_reach"),
         F.min("comp").alias("_low"),
         F.max("comp").alias("_high"),
     )
-    stats = stats.filter("_low <> _high").drop("_low", "_high")
+    stats = stats.filter("_low <> _high AND _reach >= 0").drop("_low", "_high", "_reach")
     return checkpointed(entries.join(stats, "list"))
 
 
+def _across(live: DataFrame) -> DataFrame:
+    """``a``, ``b`` of one list but different components, where sizes and positions allow a link."""
+    blocks = F.ceil(F.col("size") / BLOCK)
+    one = live.select(
+        "list",
+        F.pmod(F.xxhash64("node"), blocks).alias("block"),
+        *(F.col(name).alias(f"_{name}") for name in ("node", "n", "most", "comp")),
+    )
+    other = live.select("list", "node", "n", "most", "comp", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    near = (F.col("_comp") < F.col("comp")) & _within_reach("_n", "_most", "n", "most")
+    same = (one["list"] == other["list"]) & (one["block"] == other["block"])
+    return one.join(other, same & near).select(
+        F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")
+    )
+
+
 class _Verifier:
     """Compares pairs, each pair and each text once."""
 
@@ -306,11 +342,16 @@ class _Verifier:
         return checkpointed(_linked(pairs, self.tokens.join(asked, "node", "left_semi")))
 
 
-def similar_components(docs: DataFrame, sets: DataFrame, boundary: int) -> DataFrame:
-    """``node`` and ``component`` of all classes that link with another one."""
+def similar_components(docs: DataFrame, sets: DataFrame, boundary: int | None = None) -> DataFrame:
+    """``node`` and ``component`` of all classes that link with another one; the boundary is
+    chosen by cost where none is given."""
+    once = _distinct_sets(sets)
+    if boundary is None:
+        boundary, _ = choose_boundary(once)
     verifier = _Verifier(docs, sets)
-    live = _live(_inverted_lists(sets, boundary), None, 0)
-    links, labels = None, None
+    live = _live(_inverted_lists(once, boundary), None, 0)
+    links, labels, before = None, None, math.inf
+    entries = live.count()
     for turn in range(1, STAR_ROUNDS + 1):
         near = _within_reach("n", "most", "pivot.n", "pivot.most")
         stars = live.filter(near & (F.col("comp") != F.col("pivot.comp")))
@@ -321,33 +362,27 @@ def similar_components(docs: DataFrame, sets: DataFrame, boundary: int) -> DataF
         links = found if links is None else links.unionByName(found)
         labels = checkpointed(components(links))
         live = _live(live.select("list", "node", "n", "most"), labels, turn)
-        per_list = live.select("list", "size").distinct()
-        left = per_list.agg(F.sum(F.col("size") * (F.col("size") - 1) / 2), F.sum("size")).head()
-        if left[0] is None or left[0] <= PAIRS_PER_ENTRY * left[1] or found.isEmpty():
+        per_list = live.groupBy("list").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+        left = per_list.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).head()[0] or 0.0
+        if left <= PAIRS_PER_ENTRY * entries or left > before / 2:
             break
-    one = live.select("list", *(F.col(name).alias(f"_{name}") for name in ("node", "n", "most", "comp")))
-    across = one.join(live.select("list", "node", "n", "most", "comp"), "list").filter(
-        (F.col("_comp") < F.col("comp")) & _within_reach("_n", "_most", "n", "most")
-    )
-    rest = verifier.links(
-        across.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
-    )
+        before = left
+    rest = verifier.links(_across(live))
     return labels if rest.isEmpty() else components(links.unionByName(rest))
 
 
-def link_documents(docs: DataFrame) -> DataFrame:
+def link_documents(docs: DataFrame, boundary: int | None = None) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``row_key``, ``n_shingles``, ``component_id``, ``kept``.
 
     ``component_id`` is the smallest doc_id reachable by links. A null or empty text, or one
     of white space, has no shingles, links with nothing and is its own component. Repeated
-    rows are documents with equal texts. A null doc_id counts only where a component has
+    rows are documents with equal texts. ``boundary`` overrules the one by cost. A null doc_id counts only where a component has
     no other. ``kept`` marks one row of each component, of the smallest doc_id, and every row
     without shingles. An empty table gives an empty table.
     """
     docs = docs.select("doc_id", "text")
     with shuffles_removed(docs.sparkSession), small_batches(docs.sparkSession):
-        classes, boundary = survey(docs)
-        sets = hashed_sets(docs, classes, boundary)
+        sets = hashed_sets(docs, survey(docs))
         labels = checkpointed(similar_components(docs, sets, boundary))
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))
     equal = sets.filter("n > 0").groupBy("h1", "h2").agg(

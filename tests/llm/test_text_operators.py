@@ -296,17 +296,30 @@ def test_join_equals_brute_force(spark, monkeypatch, boundary):
     rows = [(1000 + i * 3 % 997, text) for i, text in enumerate(near_copies(boundary or 1))]
     rows += [(i, text) for i, text, *_ in ODD] + [(2**62 + 1, "x y z"), (2**62 + 3, "x y z")]
     if boundary is not None:
-        chosen = jaccard_join.survey
-        monkeypatch.setattr(jaccard_join, "survey", lambda docs: (chosen(docs)[0], boundary))
         monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", 1 + boundary // 20)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    linked = jaccard_join.link_documents(docs).collect()
+    linked = jaccard_join.link_documents(docs, boundary).collect()
     found = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in linked)
     assert found == brute_components(rows)
     kept = Counter(r["component_id"] for r in linked if r["kept"] and r["n_shingles"])
     assert set(kept.values()) == {1}
 
 
+def test_boundary_is_chosen_by_cost(spark):
+    rng = np.random.default_rng(5)
+    # Short texts of two words share single shingles by chance, and two of them less often.
+    rows = [(i, " ".join(rng.choice(["a", "b"], size=int(rng.integers(9, 15))))) for i in range(900)]
+    rows += [(5000 + i, " ".join(f"w{v}" for v in rng.integers(10**6, size=120))) for i in range(200)]
+    rows += [(9000 + i, rows[900 + i][1] + " end") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = jaccard_join.hashed_sets(docs, jaccard_join.survey(docs))
+    boundary, costs = jaccard_join.choose_boundary(jaccard_join._distinct_sets(sets))
+    assert 5 <= boundary < 100
+    assert sum(subsets - scan for size, subsets, scan in costs if size <= boundary) < 0
+    linked = jaccard_join.link_documents(docs).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in linked) == brute_components(rows)
+
+
 def test_near_copies_go_and_others_stay(odd, none):
     left = jaccard_join.drop_near_copies(odd.withColumn("row_key", F.lit(1)))
     found = Counter((r["doc_id"], r["text"]) for r in left.collect())
