@@ -15,9 +15,9 @@ less. So sets are found by keys:
   one.
 
 The boundary minimises the estimated cost of both, from counts over all documents: a key costs
-one, and so do ``COMPARISONS_PER_KEY`` comparisons between members of its list. The lists'
-costs are counted exactly, those of the subsets by the first shingles of one slot in
-``COST_SLOTS``, whose subsets are counted over the whole corpus. The boundary has no upper end.
+one, and so do ``COMPARISONS_PER_KEY`` comparisons between members of its list. Both costs are
+taken from the keys that begin with a shingle in one slot of ``COST_SLOTS``, each of which is
+counted over the whole corpus. The boundary has no upper end.
 The order is rare shingles first, by a table of fixed size with the order of magnitude of the
 frequency; any other order gives the same links, so the table may be as rough as it needs to be.
 
@@ -50,7 +50,7 @@ SLOT_BITS = 22
 SLOTS_PER_BLOCK = 1 << 14
 # So many comparisons of two entries of a list cost as much as one entry.
 COMPARISONS_PER_KEY = 20.0
-# The costs of subsets are taken from those that begin with a shingle in one of so many slots.
+# Costs are taken from the keys that begin with a shingle in one of so many slots, a power of two.
 COST_SLOTS = 16
 # Sizes are cut in bands by this factor, a little more than sizes of a link may differ by.
 BAND = 1.34
@@ -204,39 +204,48 @@ def _singles(of: str) -> Column:
     return F.transform(front, lambda token, i: F.struct(i.alias("at"), token.alias("key")))
 
 
-def _costs(keys: DataFrame, weight: int) -> dict[int, float]:
-    """By size bin, what ``key``s and the comparisons they lead to cost."""
+def _costs(keys: DataFrame) -> dict[int, float]:
+    """By size bin, what all keys and their comparisons cost, from the ``key``s of one slot."""
     by_bin = keys.groupBy("key", "bin").agg(F.count(F.lit(1)).alias("n"))
     times = by_bin.groupBy("key").agg(F.sum("n").alias("_times"))
     each = 1 + (F.col("_times") - 1) / COMPARISONS_PER_KEY
     costs = by_bin.join(times, "key").groupBy("bin").agg(F.sum(F.col("n") * each).alias("cost"))
-    return {row["bin"]: weight * row["cost"] for row in costs.collect()}
+    return {row["bin"]: COST_SLOTS * row["cost"] for row in costs.collect()}
 
 
 def choose_boundary(once: DataFrame) -> tuple[int, list[tuple[int, float, float]]]:
     """The size up to which sets count as small, and per size bin (its last size) both costs.
 
-    There are eight bins for each doubling of the size, so few rows come to the driver. A
-    subset costs one at least; where all subsets up to a size cost more by that alone than
+    There are eight bins for each doubling of the size, so few rows come to the driver. A key
+    costs one at least; where all subsets up to a size cost more by that alone than
     the lists do, the boundary lies below, and nothing more is counted.
     """
     binned = once.withColumn("bin", F.floor(F.log2("n") * 8).cast("int"))
-    by_lists = _costs(binned.select("bin", F.explode(_singles("prefix")).alias("_k")).select("bin", "_k.key"), 1)
+
+    def in_slot(token: Column) -> Column:
+        return token.bitwiseAND(COST_SLOTS - 1) == 0
+
+    singles = F.filter(F.slice(F.col("prefix"), 1, F.size("prefix") - 1), in_slot)
+    by_lists = _costs(binned.select("bin", F.explode(singles).alias("key")))
+    length = F.size("prefix")
     sizes = binned.groupBy("bin").agg(
-        F.max("n").alias("n"), F.sum(F.size("prefix") * (F.size("prefix") - 1) / 2).alias("subsets")
+        F.max("n").alias("n"), F.sum(length - 1).alias("keys"), F.sum(length * (length - 1) / 2).alias("subsets")
     )
-    costs = [(row["bin"], row["n"], row["subsets"], by_lists[row["bin"]]) for row in sizes.orderBy("bin").collect()]
+    costs = [
+        (row["bin"], row["n"], row["subsets"], max(by_lists.get(row["bin"], 0.0), float(row["keys"])))
+        for row in sizes.orderBy("bin").collect()
+    ]
     more = np.cumsum([subsets - scan for _, _, subsets, scan in costs])
     possible = [at for (at, *_), least in zip(costs, more, strict=True) if least <= 0]
     if not possible:
         return 0, [(size, subsets, scan) for _, size, subsets, scan in costs]
 
     def sampled(places: Column) -> Column:
-        return F.filter(places, lambda i: F.pmod(F.xxhash64(F.get(F.col("prefix"), i)), F.lit(COST_SLOTS)) == 0)
+        return F.filter(places, lambda i: in_slot(F.get(F.col("prefix"), i)))
 
     asked = binned.filter(F.col("bin") <= possible[-1])
     keys = asked.select("bin", F.explode(_subsets("prefix", sampled)).alias("_k")).select("bin", "_k.key")
-    by_subsets = _costs(keys, COST_SLOTS)
+    by_subsets = _costs(keys)
     costs = [(size, max(by_subsets.get(at, 0.0), subsets), scan) for at, size, subsets, scan in costs]
     total = best = sum(scan for _, _, scan in costs)
     boundary = 0
