@@ -21,8 +21,10 @@ counted over the whole corpus. The boundary has no upper end.
 The order is rare shingles first, by a table of fixed size with the order of magnitude of the
 frequency; any other order gives the same links, so the table may be as rough as it needs to be.
 
-Within one key's list, all members are compared with one of them only; that joins groups of
-near copies with a comparison for each member. Once few comparisons are left, or this no longer
+Lists with the same members are one. Within a list, all members are compared with one of them
+only, the one that reaches the furthest beyond its size; that joins groups of near copies with a
+comparison for each member. That one leaves the list, and so do those that sizes and positions
+allow no link with another component. Once few comparisons are left, or this no longer
 lowers them by half, all remaining members of a list that are in different components and whose
 sizes and positions allow a link are compared, large lists in blocks. Pairs inside a component
 are never needed, and no pair across components is left out, so the components are exact.
@@ -290,24 +292,63 @@ def _inverted_lists(once: DataFrame, boundary: int) -> DataFrame:
     ).select(F.xxhash64("key", "_band").alias("list"), "node", "n", "most")
 
 
+def _merged(lists: DataFrame) -> DataFrame:
+    """Lists with the same members as one, where each member has its largest ``most``.
+
+    Near copies share many keys, and so many lists with the same members. A list's new id is
+    a hash of its members; a collision would only put more sets in one list. Lists without
+    a second member, or without one that reaches its own size, hold no link.
+    """
+    lists = checkpointed(lists)
+    members = lists.groupBy("list").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.bit_xor(F.xxhash64("node")).alias("_members"),
+        F.max(F.col("most") - F.col("n")).alias("_reach"),
+    )
+    merged = members.filter("_n > 1 AND _reach >= 0").select("list", F.xxhash64("_n", "_members").alias("_merged"))
+    by_list = lists.join(merged, "list").groupBy(F.col("_merged").alias("list"), "node")
+    return by_list.agg(F.min("n").alias("n"), F.max("most").alias("most"))
+
+
 def _live(lists: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
-    """Entries of lists that hold several components, with the one to compare with."""
+    """Entries that sizes and positions allow a link with another component of their list, with
+    the list's size and the one to compare with.
+
+    That one is the entry that reaches the furthest beyond its size: it has the fewest
+    shingles of its own, as the text that the others are copies of.
+    """
     if labels is None:
         entries = lists.withColumn("comp", F.col("node"))
     else:
         comp = F.coalesce("component", "node").alias("comp")
         entries = lists.join(labels, "node", "left").select("list", "node", "n", "most", comp)
     entries = checkpointed(entries)
-    pivot = F.min_by(F.struct("node", "n", "most", "comp"), F.xxhash64("node", F.lit(turn)))
-    stats = entries.groupBy("list").agg(
-        pivot.alias("pivot"),
-        F.count(F.lit(1)).alias("size"),
-        F.max(F.col("most") - F.col("n")).alias("_reach"),
-        F.min("comp").alias("_low"),
-        F.max("comp").alias("_high"),
+    # The furthest reach and the least size of a list, and those of its other components.
+    comps = entries.groupBy("list", "comp").agg(F.max("most").alias("most"), F.min("n").alias("n"))
+    best = comps.groupBy("list").agg(
+        F.max(F.struct("most", "comp")).alias("_far"), F.min(F.struct("n", "comp")).alias("_low")
     )
-    stats = stats.filter("_low <> _high AND _reach >= 0").drop("_low", "_high", "_reach")
-    return checkpointed(entries.join(stats, "list"))
+    others = comps.join(best, "list").groupBy("list").agg(
+        F.max("_far").alias("_far"),
+        F.max("_low").alias("_low"),
+        F.max(F.when(F.col("comp") != F.col("_far.comp"), F.col("most"))).alias("_next_far"),
+        F.min(F.when(F.col("comp") != F.col("_low.comp"), F.col("n"))).alias("_next_low"),
+    )
+    others = others.filter("_next_far IS NOT NULL")
+    far = F.when(F.col("comp") == F.col("_far.comp"), F.col("_next_far")).otherwise(F.col("_far.most"))
+    low = F.when(F.col("comp") == F.col("_low.comp"), F.col("_next_low")).otherwise(F.col("_low.n"))
+    met = entries.join(others, "list").filter((F.col("n") <= far) & (low <= F.col("most")))
+    met = checkpointed(met.select("list", "node", "n", "most", "comp"))
+    one = F.struct("node", "n", "most", "comp")
+    reach = F.struct(F.col("most") - F.col("n"), F.xxhash64("node", F.lit(turn)))
+    stats = met.groupBy("list").agg(F.max_by(one, reach).alias("pivot"), F.count(F.lit(1)).alias("size"))
+    return checkpointed(met.join(stats, "list"))
+
+
+def _pairs_left(live: DataFrame) -> float:
+    """How many pairs of entries are of one list but different components."""
+    comps = live.groupBy("list", "comp").agg(F.count(F.lit(1)).cast("double").alias("_n"), F.max("size").alias("_of"))
+    return comps.agg(F.sum(F.col("_n") * (F.col("_of") - F.col("_n")) / 2)).head()[0] or 0.0
 
 
 def _across(live: DataFrame) -> DataFrame:
@@ -358,7 +399,7 @@ def similar_components(docs: DataFrame, sets: DataFrame, boundary: int | None =
     if boundary is None:
         boundary, _ = choose_boundary(once)
     verifier = _Verifier(docs, sets)
-    live = _live(_inverted_lists(once, boundary), None, 0)
+    live = _live(_merged(_inverted_lists(once, boundary)), None, 0)
     links, labels, before = None, None, math.inf
     entries = live.count()
     for turn in range(1, STAR_ROUNDS + 1):
@@ -370,9 +411,10 @@ def similar_components(docs: DataFrame, sets: DataFrame, boundary: int | None =
         found = verifier.links(pairs)
         links = found if links is None else links.unionByName(found)
         labels = checkpointed(components(links))
-        live = _live(live.select("list", "node", "n", "most"), labels, turn)
-        per_list = live.groupBy("list").agg(F.count(F.lit(1)).cast("double").alias("_n"))
-        left = per_list.agg(F.sum(F.col("_n") * (F.col("_n") - 1) / 2)).head()[0] or 0.0
+        # The one that all were compared with has met its list.
+        others = live.filter(F.col("node") != F.col("pivot.node"))
+        live = _live(others.select("list", "node", "n", "most"), labels, turn)
+        left = _pairs_left(live)
         if left <= PAIRS_PER_ENTRY * entries or left > before / 2:
             break
         before = left

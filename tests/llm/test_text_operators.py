@@ -305,6 +305,45 @@ def test_join_equals_brute_force(spark, monkeypatch, boundary):
     assert set(kept.values()) == {1}
 
 
+def test_a_group_of_near_copies_needs_few_comparisons(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(150):
+        copy = list(base)
+        # Some are near the base only, others near nothing.
+        for at in rng.choice(120, size=1 + i % 8, replace=False):
+            copy[at] = f"own{i}of{at}"
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts))
+    across, met = jaccard_join._across, []
+
+    def counted(live):
+        pairs = across(live)
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_across", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    linked = jaccard_join.link_documents(docs, 0).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in linked) == brute_components(rows)
+    assert sum(met) <= 10 * len(rows)
+
+
+def test_lists_with_equal_members_are_one_and_far_entries_leave(spark):
+    # A node may be met within its size and most; 4 reaches none, 9 is alone in its list.
+    entries = [(key, node, 10, 12 - key) for key in (1, 2) for node in (1, 2, 3)]
+    entries += [(7, 1, 10, 13), (7, 4, 50, 40), (8, 9, 10, 13)]
+    lists = spark.createDataFrame(entries, "list long, node long, n long, most long")
+    merged = jaccard_join._merged(lists).checkpoint()
+    found = Counter((r["node"], r["n"], r["most"]) for r in merged.collect())
+    assert found == Counter([(1, 10, 11), (2, 10, 11), (3, 10, 11), (1, 10, 13), (4, 50, 40)])
+    live = jaccard_join._live(merged, None, 0)
+    assert sorted((r["node"], r["size"]) for r in live.collect()) == [(1, 3), (2, 3), (3, 3)]
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node long, component long")
+    assert jaccard_join._live(merged, labels, 1).count() == 0
+
+
 def test_boundary_is_chosen_by_cost(spark):
     rng = np.random.default_rng(5)
     # Short texts of two words share single shingles by chance, and two of them less often.
