@@ -73,8 +73,9 @@ def _is_stop() -> Column:
     return F.col("is_monitored") & F.col("is_stop")
 
 
-def _chunk_summaries(hot: DataFrame) -> DataFrame:
-    """One row per chunk: its services and starts, and what it does to an open exam."""
+def _chunk_summaries(hot: DataFrame, *more: Column) -> DataFrame:
+    """One row per chunk: its services and starts, what it does to an open exam, and ``more``
+    aggregates of its rows."""
     steps = Window.partitionBy(*UNIT, CHUNK).orderBy(*ORDER)
     up_to = steps.rowsBetween(_FIRST, _THIS)
     tick = F.col("tick")
@@ -97,6 +98,7 @@ def _chunk_summaries(hot: DataFrame) -> DataFrame:
         F.max(F.when(_is_stop(), F.col("_start_row"))).alias("stopped_start"),
         F.min(F.when(before_starts & _is_stop(), tick)).alias("first_stop"),
         F.max(F.when(before_starts & F.col("is_monitored"), tick)).alias("last_monitored"),
+        *more,
     )
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from logstats.operators import exams
 from logstats.operators.catalog import add_roles
 from logstats.operators.cleaning import usable_rows
-from logstats.operators.groups import CHUNK, Bounded, split_groups
+from logstats.operators.groups import CHUNK, Bounded, GroupSizes, group_sizes, split_groups
 from logstats.scratch import checkpointed
 from logstats.settings import DEFAULTS, EXAM, ORDER, UNIT, Settings
 
@@ -130,6 +130,11 @@ def cut_next(
     follow from them.
     """
     rows = exams._with_start_id(usable_rows(_on_time(add_roles(log, code_actions), state)))
+    if not isinstance(bounded, GroupSizes):
+        bounded = GroupSizes((), None) if bounded else group_sizes(rows, UNIT, settings.max_group_rows)
+    if not bounded:
+        # Range bounds, chunks, and the machines that are whole all take the rows again.
+        rows = checkpointed(rows)
     split = split_groups(rows, UNIT, ORDER, settings.max_group_rows, bounded)
     whole = split.rows.repartition(*exams.TASK_KEYS).withColumn(CHUNK, F.lit(0))
     parts = [(whole, [*UNIT])]
@@ -137,8 +142,7 @@ def cut_next(
         parts.append((split.hot, [*UNIT, CHUNK]))
     summaries = None
     for part, _ in parts:
-        last = part.groupBy(*UNIT, CHUNK).agg(F.max(_place()).alias("last"))
-        summary = exams._chunk_summaries(part).join(last, [*UNIT, CHUNK])
+        summary = exams._chunk_summaries(part, F.max(_place()).alias("last"))
         summaries = summary if summaries is None else summaries.unionByName(summary)
     chunks = checkpointed(_past_and_chunks(summaries, state))
     carries = checkpointed(exams._carries_of(chunks, settings))

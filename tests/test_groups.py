@@ -51,3 +51,12 @@ def test_group_stats_keep_null_keys(spark, bounded):
     assert {(r.k, r.total, r.n_rows) for r in stats.collect()} == {
         ("a", 3, 3), ("b", 10, 5), (None, 3, 2)
     }
+
+
+def test_chunks_are_placed_without_a_shuffle_of_all_rows(spark):
+    rows = spark.range(100).withColumnRenamed("id", "place")
+    chunks = groups._chunked(rows, ["place"], 7)
+    assert {(r["place"], r[groups.CHUNK]) for r in chunks.collect()} == {(i, i // 7) for i in range(100)}
+    chunks = groups._chunked(rows, ["place"], 7)
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
