@@ -54,9 +54,14 @@ def test_group_stats_keep_null_keys(spark, bounded):
 
 
 def test_chunks_are_placed_without_a_shuffle_of_all_rows(spark):
+    # As for rows that Spark takes to be too many for a broadcast.
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
     rows = spark.range(100).withColumnRenamed("id", "place")
     chunks = groups._chunked(rows, ["place"], 7)
     assert {(r["place"], r[groups.CHUNK]) for r in chunks.collect()} == {(i, i // 7) for i in range(100)}
     chunks = groups._chunked(rows, ["place"], 7)
     plan = chunks._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(threshold, before)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
