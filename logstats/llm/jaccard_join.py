@@ -28,6 +28,11 @@ allow no link with another component. Once few comparisons are left, or this no
 lowers them by half, all remaining members of a list that are in different components and whose
 sizes and positions allow a link are compared, large lists in blocks. Pairs inside a component
 are never needed, and no pair across components is left out, so the components are exact.
+
+Pairs that share a key by chance grow faster than the corpus. So before the shingles of a pair
+travel, the parities of both sets are compared: a bit for each shingle or two, flipped by each
+shingle that falls on it. Bits that differ are no more than shingles of one set only, so a pair
+with more of them than a link allows is none, and all other pairs are compared whole.
 """
 
 from __future__ import annotations
@@ -38,7 +43,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logstats.llm.common import read_table, shuffles_removed, small, small_batches, unused
@@ -123,8 +128,16 @@ def _digest(one: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(data, dtype=np.int64).tolist())
 
 
+def parity(one: np.ndarray) -> np.ndarray:
+    """A set's parities in words of 64 bits: bit i is odd where shingles with i as their last bits
+    are. The bits are a power of two, as many as the set has shingles or more, and 64 at least."""
+    bits = 64 << max(0, (len(one) - 1).bit_length() - 6)
+    odd = np.bincount((one & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def hashed_sets(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """Per row ``node`` (its number), ``doc_id``, ``row_key``, ``n``, the set's digest and prefix."""
+    """Per row ``node`` (its number), ``doc_id``, ``row_key``, ``n``, the set's digest, prefix and ``parity``."""
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -136,12 +149,13 @@ def hashed_sets(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                 h1=np.array(h1, dtype=np.int64),
                 h2=np.array(h2, dtype=np.int64),
                 prefix=rarest,
+                parity=list(map(parity, sets)),
             )
 
     # The id as text, for pandas turns numbers with nulls among them into floats.
     doc_id, row_key = F.col("doc_id").cast("string"), F.xxhash64("doc_id", "text")
     rows = docs.select(doc_id.alias("doc_id"), row_key.alias("row_key"), "text")
-    schema = "doc_id string, row_key long, n long, h1 long, h2 long, prefix array<long>"
+    schema = "doc_id string, row_key long, n long, h1 long, h2 long, prefix array<long>, parity array<long>"
     sets = rows.mapInPandas(hashed, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
     return checkpointed(sets.withColumn("node", F.monotonically_increasing_id()))
 
@@ -169,6 +183,32 @@ def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return checkpointed(texts.mapInPandas(hashed, "node long, tokens array<long>"))
 
 
+def _folded(words: str, other: str) -> Column:
+    """Parities in as many words as the other set's, if they are twice as many."""
+    size = F.size(other)
+    halves = F.slice(F.col(words), 1, size), F.slice(F.col(words), size + 1, size)
+    half = F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(words) > size, half).otherwise(F.col(words))
+
+
+def _not_apart(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose parities allow a link; all that link are among them.
+
+    With s shingles in both sets together and d in one only, a link has
+    ``(100 - THRESHOLD) * s >= (100 + THRESHOLD) * d``. Parities of sets that may link are as
+    long or one is twice as long, and that one is folded.
+    """
+    for side in ("a", "b"):
+        own = (F.col(name).alias(f"_{name}_{side}") for name in ("n", "parity"))
+        pairs = pairs.join(sets.select(F.col("node").alias(side), *own), side)
+    flips = F.zip_with(
+        _folded("_parity_a", "_parity_b"), _folded("_parity_b", "_parity_a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))
+    )
+    apart = F.aggregate(flips, F.lit(0), lambda total, n: total + n)
+    both = F.col("_n_a") + F.col("_n_b")
+    return pairs.filter(both * (100 - THRESHOLD) >= apart * (100 + THRESHOLD)).select("a", "b")
+
+
 def _linked(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     """The pairs that are similar. A set travels once for each of its pairs on one side."""
     right = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("_right"))
@@ -282,10 +322,12 @@ def _inverted_lists(once: DataFrame, boundary: int) -> DataFrame:
     entries = once.select("node", "n", F.explode(F.concat(light, heavy)).alias("_k"))
     most = F.floor((F.col("n") * 100 - F.col("_k.at") * (100 + THRESHOLD)) / THRESHOLD)
     entries = entries.select("node", "n", F.col("_k.key").alias("key"), most.alias("most"))
-    shared = entries.groupBy("key").agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.col("most") - F.col("n")).alias("_reach")
+    # Most entries are alone with their key; a window moves them once.
+    of_key = Window.partitionBy("key")
+    shared = entries.withColumn("_n", F.count(F.lit(1)).over(of_key)).withColumn(
+        "_reach", F.max(F.col("most") - F.col("n")).over(of_key)
     )
-    lists = entries.join(shared.filter("_n > 1 AND _reach >= 0").select("key"), "key")
+    lists = shared.filter("_n > 1 AND _reach >= 0")
     band = F.floor(F.log("n") / math.log(BAND)).cast("int")
     return lists.select(
         "key", "node", "n", "most", F.explode(F.array(band, band + 1)).alias("_band")
@@ -368,10 +410,11 @@ def _across(live: DataFrame) -> DataFrame:
 
 
 class _Verifier:
-    """Compares pairs, each pair and each text once."""
+    """Compares pairs, each pair and each text once, and whole only where parities allow a link."""
 
     def __init__(self, docs: DataFrame, sets: DataFrame):
         self.docs = docs
+        self.sketches = sets.select("node", "n", "parity")
         times = sets.groupBy("row_key").agg(F.count(F.lit(1)).alias("rows"))
         self.places = sets.select("node", "row_key", "h1", "h2").join(times, "row_key")
         self.tokens: DataFrame | None = None
@@ -381,13 +424,15 @@ class _Verifier:
         pairs = pairs.distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
+        tested = pairs = checkpointed(pairs)
+        nodes = small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        pairs = checkpointed(_not_apart(pairs, self.sketches.join(nodes, "node", "left_semi")))
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         if self.tokens is not None:
             nodes = nodes.join(self.tokens.select("node"), "node", "left_anti")
         fetched = _token_sets(self.docs, self.places.join(nodes, "node", "left_semi"))
         self.tokens = fetched if self.tokens is None else self.tokens.unionByName(fetched)
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        self.tested = tested if self.tested is None else self.tested.unionByName(tested)
         asked = small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         return checkpointed(_linked(pairs, self.tokens.join(asked, "node", "left_semi")))
 

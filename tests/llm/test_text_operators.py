@@ -330,6 +330,49 @@ def test_a_group_of_near_copies_needs_few_comparisons(spark, monkeypatch):
     assert sum(met) <= 10 * len(rows)
 
 
+def test_parities_tell_apart_and_lose_no_link(spark):
+    rng = np.random.default_rng(3)
+    sets, pairs, links = [], [], set()
+    for size in [3, 4, 17, 55, 64, 65, 120, 129, 500]:
+        for own in {0, 1, size // 8, size // 7, size // 6, size // 3, size}:
+            tokens = rng.integers(2**64, size=size + own + 3, dtype=np.uint64)
+            # With tokens of its own on one or both sides, and a larger set beside a smaller one.
+            for left, right in [(tokens[:size], tokens[own : size + own]), (tokens[:size], tokens[: size + own])]:
+                a, b = len(sets), len(sets) + 1
+                common = len(np.intersect1d(left, right))
+                if 100 * common >= 75 * (len(left) + len(right) - common):
+                    links.add((a, b))
+                sets += [left, right]
+                pairs.append((a, b))
+    rows = [(node, len(one), jaccard_join.parity(one).tolist()) for node, one in enumerate(sets)]
+    told = spark.createDataFrame(rows, "node long, n long, parity array<long>")
+    left = {tuple(r) for r in jaccard_join._not_apart(spark.createDataFrame(pairs, "a long, b long"), told).collect()}
+    assert links <= left
+    unlike = {(a, b) for a, b in pairs if not len(np.intersect1d(sets[a], sets[b]))}
+    assert unlike and not unlike & left
+
+
+def test_pairs_that_share_keys_by_chance_are_not_compared_whole(spark):
+    texts = [" ".join(f"own{i}x{k}" for k in range(60)) + " a passage that all of them have" for i in range(6)]
+    rows = list(enumerate([*texts, f"{texts[2]} end"]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = jaccard_join.hashed_sets(docs, jaccard_join.survey(docs))
+    node = {r["doc_id"]: r["node"] for r in sets.collect()}
+    pairs = [sorted((node[i], node[j])) for i in node for j in node if i < j]
+    verifier = jaccard_join._Verifier(docs, sets)
+    found = verifier.links(spark.createDataFrame(pairs, "a long, b long"))
+    near = {node[2], node[6]}
+    assert [{*r} for r in found.collect()] == [near]
+    assert {r["node"] for r in verifier.tokens.collect()} == near
+    assert verifier.tested.count() == len(pairs)
+
+
+def test_keys_and_entries_are_moved_once(spark):
+    once = spark.createDataFrame([(i, 4, [1, 2, i + 9]) for i in range(9)], "node long, n long, prefix array<long>")
+    plan = jaccard_join._inverted_lists(once, 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(key") == 1
+
+
 def test_lists_with_equal_members_are_one_and_far_entries_leave(spark):
     # A node may be met within its size and most; 4 reaches none, 9 is alone in its list.
     entries = [(key, node, 10, 12 - key) for key in (1, 2) for node in (1, 2, 3)]
