@@ -542,6 +542,42 @@ def test_top_k_equals_brute_force(spark):
     assert hamming_search.search(frame.limit(3), frame.limit(1), "v").count() == 3
 
 
+def test_probes_stay_in_their_blocks(spark, monkeypatch, tmp_path):
+    for name, value in (("BLOCK_CODES", 16), ("FEWEST_BLOCKS", 3), ("ROW_QUERIES", 5), ("ROWS_AT_ONCE", 2), ("AT_ONCE", 7)):
+        monkeypatch.setattr(hamming_search, name, value, raising=False)
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(150, 70))
+    vectors[60:110] = vectors[60] + rng.normal(size=(50, 70)) * 0.1
+    rows = [(i // 2 if i < 30 else i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    rows += [(None, rows[60][1]), (900, rows[61][1]), (900, rows[61][1]), (910, [1.0, None, math.nan] + [2.0] * 80)]
+    spark.createDataFrame(rows, "id long, v array<double>").write.parquet(str(tmp_path / "vectors"))
+    frame = spark.read.parquet(str(tmp_path / "vectors"))
+
+    plans, kept = [], hamming_search.checkpointed
+    planned = lambda rows: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or rows
+    monkeypatch.setattr(hamming_search, "checkpointed", lambda rows: kept(planned(rows)))
+    found = hamming_search.search(frame, frame.filter("id % 20 = 0 or id = 910"), "v", 9)
+    got = sorted((r["query_id"], r["rank"], -1 if r["neighbor_id"] is None else r["neighbor_id"], r["distance"]) for r in found.collect())
+
+    bits = [(-1 if i is None else i, np.array([x or 0.0 for x in v] + [0.0] * 83)[:83] > 0) for i, v in rows]
+    want = []
+    for query, code in bits:
+        if query >= 0 and (query % 20 == 0 or query == 910):
+            near = sorted((int((code != other).sum()), i) for i, other in bits)[:9]
+            want += [(query, rank, i, d) for rank, (d, i) in enumerate(near, 1)]
+    # An id that comes twice asks twice, with different vectors or with the same one.
+    assert got == sorted(want)
+    # However small Spark takes the queries to be, what they are compared with is never broadcast.
+    planned(found)
+    assert plans and not [plan for plan in plans if "Broadcast" in plan]
+
+
+@pytest.mark.parametrize("rows, width", [(500, 64), (30_000, 64), (10**9, 64), (5, 1), (40, 83)])
+def test_segments_have_like_widths(rows, width):
+    widths = hamming_search.segment_widths(rows, width)
+    assert sum(widths) == width and max(widths) - min(widths) <= 1 and max(widths) <= hamming_search.WIDEST
+
+
 # Pages.
 
 
